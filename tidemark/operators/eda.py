@@ -42,7 +42,7 @@ def histogram(df: DataFrame, column: str, bins: int, *, keys: Sequence[str] = ()
     )
     width = (F.col("__hi") - F.col("__lo")) / bins
     frame = bounds.filter(F.col("__lo").isNotNull()).select(
-        *keys, "__lo", "__hi", F.explode(F.sequence(F.lit(0), F.lit(bins - 1))).cast("bigint").alias("bin")
+        *keys, "__lo", "__hi", F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(bins - 1).cast("bigint"))).alias("bin")
     )
     return frame.join(counted, [*keys, "bin"], "left").select(
         *keys,

@@ -40,19 +40,18 @@ def exact_quantiles(
         F.count("value").alias("n"),
         F.percentile_approx("value", [float(p) for p in wanted], ACCURACY).alias("__s"),
     )
-    brackets = []
-    for i, p in enumerate(probs):
-        lo, hi = p - MARGIN, p + MARGIN
-        # the sketch is off by at most n / ACCURACY + 1 ranks; small groups are taken whole
-        large = F.col("n") * MARGIN >= 3
-        low, high = F.lit(float("-inf")), F.lit(float("inf"))
-        if lo > 0:
-            low = F.when(large, F.col("__s")[wanted.index(lo)]).otherwise(low)
-        if hi < 1:
-            high = F.when(large, F.col("__s")[wanted.index(hi)]).otherwise(high)
-        brackets.append(F.struct(F.lit(i).alias("i"), F.lit(float(p)).alias("p"), low.alias("lo"), high.alias("hi")))
-    bracket = sketch.select(*group, "n", F.explode(F.array(*brackets)).alias("b")).select(
-        *group, "n", "b.i", "b.p", "b.lo", "b.hi"
+    count = len(probs)
+    edges = [(min(max(p - MARGIN, 0.0), 1.0), min(max(p + MARGIN, 0.0), 1.0)) for p in probs]
+    i = F.col("i")
+    lo_at = F.lit([wanted.index(lo) for lo, _ in edges])[i]
+    hi_at = F.lit([wanted.index(hi) for _, hi in edges])[i]
+    # the sketch is off by at most n / ACCURACY + 1 ranks; small groups are taken whole
+    large = F.col("n") * MARGIN >= 3
+    low = F.when(large & F.lit([lo > 0 for lo, _ in edges])[i], F.col("__s")[lo_at])
+    high = F.when(large & F.lit([hi < 1 for _, hi in edges])[i], F.col("__s")[hi_at])
+    bracket = sketch.select(*group, "n", "__s", F.explode(F.sequence(F.lit(0), F.lit(count - 1))).alias("i")).select(
+        *group, "n", "i", F.lit([float(p) for p in probs])[i].alias("p"),
+        F.coalesce(low, F.lit(float("-inf"))).alias("lo"), F.coalesce(high, F.lit(float("inf"))).alias("hi"),
     )
     inside = (
         long.join(bracket, group)

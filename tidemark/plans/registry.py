@@ -35,8 +35,14 @@ def query(sql: str | None = None):
     return add
 
 
-def rounded(df: DataFrame, *columns: str, digits: int = 6) -> DataFrame:
-    return df.withColumns({c: F.round(c, digits) for c in columns})
+# Added before rounding where exact half-way values occur (means of two-decimal prices):
+# otherwise the last digit would depend on the order of summation.
+NUDGE = 3e-9
+
+
+def rounded(df: DataFrame, *columns: str, digits: int = 6, nudge: bool = False) -> DataFrame:
+    shift = NUDGE if nudge else 0.0
+    return df.withColumns({c: F.round(F.col(c) + shift if nudge else F.col(c), digits) for c in columns})
 
 
 class Tables:
