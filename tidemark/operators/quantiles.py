@@ -15,7 +15,9 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 ACCURACY = 10_000
-MARGIN = 5.0 / ACCURACY
+# Bracket half-widths: the first whose width covers at least three ranks is used, so the
+# sketch error (n / ACCURACY + 1 ranks) always fits; tiny groups are taken whole.
+MARGINS = (5.0 / ACCURACY, 0.01)
 
 
 def to_long(df: DataFrame, keys: Sequence[str], columns: Sequence[str]) -> DataFrame:
@@ -34,37 +36,52 @@ def exact_quantiles(
     """One row per (keys, column) with ``n`` and the array ``q`` in the order of ``probs``."""
     keys = list(keys)
     group = [*keys, "column"]
+    order = sorted(range(len(probs)), key=lambda k: probs[k])
+    ps = [float(probs[k]) for k in order]
+    clip = lambda p: min(max(p, 0.0), 1.0)
+    wanted = sorted({clip(p + s * m) for p in ps for m in MARGINS for s in (-1, 1)})
+
+    def bound(sign: int, open_end: float):
+        """Array of bracket ends, one per probability."""
+        choice = F.lit([open_end] * len(ps))
+        for m in reversed(MARGINS):
+            at = [wanted.index(clip(p + sign * m)) for p in ps]
+            free = [not 0.0 < p + sign * m < 1.0 for p in ps]
+            ends = F.transform(
+                F.sequence(F.lit(0), F.lit(len(ps) - 1)),
+                lambda k: F.when(F.lit(free)[k], F.lit(open_end)).otherwise(F.col("__s")[F.lit(at)[k]]),
+            )
+            choice = F.when(F.col("n") * m >= 3, ends).otherwise(choice)
+        return choice
+
     long = to_long(df, keys, columns)
-    wanted = sorted({min(max(p + s, 0.0), 1.0) for p in probs for s in (-MARGIN, MARGIN)})
-    sketch = long.groupBy(*group).agg(
-        F.count("value").alias("n"),
-        F.percentile_approx("value", [float(p) for p in wanted], ACCURACY).alias("__s"),
-    )
-    count = len(probs)
-    edges = [(min(max(p - MARGIN, 0.0), 1.0), min(max(p + MARGIN, 0.0), 1.0)) for p in probs]
-    i = F.col("i")
-    lo_at = F.lit([wanted.index(lo) for lo, _ in edges])[i]
-    hi_at = F.lit([wanted.index(hi) for _, hi in edges])[i]
-    # the sketch is off by at most n / ACCURACY + 1 ranks; small groups are taken whole
-    large = F.col("n") * MARGIN >= 3
-    low = F.when(large & F.lit([lo > 0 for lo, _ in edges])[i], F.col("__s")[lo_at])
-    high = F.when(large & F.lit([hi < 1 for _, hi in edges])[i], F.col("__s")[hi_at])
-    bracket = sketch.select(*group, "n", "__s", F.explode(F.sequence(F.lit(0), F.lit(count - 1))).alias("i")).select(
-        *group, "n", "i", F.lit([float(p) for p in probs])[i].alias("p"),
-        F.coalesce(low, F.lit(float("-inf"))).alias("lo"), F.coalesce(high, F.lit(float("inf"))).alias("hi"),
+    brackets = (
+        long.groupBy(*group)
+        .agg(F.count("value").alias("n"), F.percentile_approx("value", wanted, ACCURACY).alias("__s"))
+        .select(*group, "n", bound(-1, float("-inf")).alias("lo"), bound(1, float("inf")).alias("hi"))
     )
-    inside = (
-        long.join(bracket, group)
-        .filter(F.col("value") <= F.col("hi"))
-        # everything below the bracket collapses into one counted row
-        .withColumn("v", F.when(F.col("value") >= F.col("lo"), F.col("value")))
-        .groupBy(*group, "i", "p", "n", "v")
+    # every row is counted once at the first bracket it lies below; it is repeated with
+    # its value only for the few brackets that contain it
+    v = F.col("value")
+    below = F.size(F.filter("lo", lambda x: x <= v))
+    every = F.sequence(F.lit(0), F.lit(len(ps) - 1))
+    hits = F.filter(every, lambda k: (k < F.col("__j")) & (v <= F.col("hi")[k]))
+    mark = F.struct(F.col("__j").alias("i"), F.lit(None).cast("double").alias("v"))
+    counted = (
+        long.join(brackets, group)
+        .withColumn("__j", below)
+        .select(*group, "n", F.explode(F.concat(F.array(mark), F.transform(hits, lambda k: F.struct(k.alias("i"), v.alias("v"))))).alias("__m"))
+        .select(*group, "n", "__m.i", "__m.v")
+        .groupBy(*group, "n", "i", "v")
         .agg(F.count("*").alias("c"))
+        # the counts below apply to their own and every higher bracket
+        .withColumn("i", F.explode(F.when(F.col("v").isNotNull(), F.array("i")).otherwise(F.filter(every, lambda k: k >= F.col("i")))))
     )
     w = Window.partitionBy(*group, "i").orderBy(F.col("v").asc_nulls_first())
-    rank = F.floor(F.col("p") * (F.col("n") - 1)) + 1
-    frac = F.col("p") * (F.col("n") - 1) - (rank - 1)
-    ranked = inside.withColumn("cum", F.sum("c").over(w.rowsBetween(Window.unboundedPreceding, 0)))
+    p = F.lit(ps)[F.col("i")]
+    rank = F.floor(p * (F.col("n") - 1)) + 1
+    frac = p * (F.col("n") - 1) - (rank - 1)
+    ranked = counted.withColumn("cum", F.sum("c").over(w.rangeBetween(Window.unboundedPreceding, 0)))
     picked = ranked.groupBy(*group, "i", "n", frac.alias("frac")).agg(
         F.min(F.when(F.col("cum") >= rank, F.col("v"))).alias("a"),
         F.min(F.when(F.col("cum") >= rank + 1, F.col("v"))).alias("b"),
@@ -73,10 +90,11 @@ def exact_quantiles(
         F.raise_error(F.lit("quantile rank outside its bracket")).cast("double")
     )
     value = lower + F.when(F.col("frac") > 0, F.col("frac") * (F.col("b") - F.col("a"))).otherwise(0.0)
+    asked = F.lit([order.index(k) for k in range(len(probs))])
     out = picked.groupBy(*group, "n").agg(
         F.array_sort(F.collect_list(F.struct("i", value.alias("v")))).alias("__q")
     )
-    return out.select(*group, "n", F.col("__q.v").alias("q"))
+    return out.select(*group, "n", F.transform(asked, lambda k: F.col("__q.v")[k]).alias("q"))
 
 
 def quantile_columns(stats: DataFrame, columns: Sequence[str], keys: Sequence[str] = ()) -> DataFrame:
