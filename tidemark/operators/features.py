@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from tidemark.functions.calendar import add_time_features
 from tidemark.functions.weather import HUMIDITY, RADIATION, TEMPERATURE, WIND, add_interactions, add_radiation_norm, add_weather_indices
+from tidemark.session import cut, prepare
 from tidemark.operators.blocks import CELL, DEFAULT_KEYS, Blocked, carry_in, grid_index, halo, with_position
 
 
@@ -103,6 +104,7 @@ def add_ewm(
     ts: str = "ts",
     step: str | None = None,
     cell: str = CELL,
+    pos: str | None = None,
     max_block: int | None = None,
 ) -> DataFrame:
     """Exponentially weighted mean ``<column>_ewm_<w>h`` over the whole past.
@@ -121,7 +123,9 @@ def add_ewm(
     if max_block:
         length = min(length, max_block)
     columns = df.columns
-    if step is not None:
+    if pos is not None:
+        rows = df.withColumn("__pos", F.col(pos))
+    elif step is not None:
         rows = df.withColumn("__pos", grid_index(ts, step))
     else:
         rows = with_position(df, keys, ts, cell=cell, name="__pos")
@@ -233,17 +237,27 @@ def build_features(
     size: int | None = None,
     cell: str = CELL,
     drop: bool = True,
+    materialize: bool = True,
 ) -> DataFrame:
     """All features and the lead target; rows with any null are dropped.
 
     Lags, rolling frames, differences and the target share one block shuffle and sort;
-    the exponentially weighted means add one more.
+    the exponentially weighted means add one more.  The block summaries read the input
+    again, so it is checkpointed first unless ``materialize`` is off (a plain table scan
+    needs no checkpoint).
     """
+    prepare(df.sparkSession)
+    if step is None:
+        df = with_position(df, keys, ts, cell=cell, name="__row")
+    else:
+        df = df.withColumn("__row", grid_index(ts, step))
+    if materialize:
+        df = cut(df)
     source = df
     if spec.windows:
-        df = add_ewm(df, spec.target, spec.windows, keys=keys, ts=ts, step=step, cell=cell)
+        df = add_ewm(df, spec.target, spec.windows, keys=keys, ts=ts, pos="__row")
     before = max(spec.history(), *(spec.other_lags or (0,)))
-    b = halo(df, keys, ts, before=before, after=spec.horizon or 0, step=step, size=size, cell=cell)
+    b = halo(df, keys, ts, before=before, after=spec.horizon or 0, pos="__row", size=size)
     rows = _pad(b, spec.target, before)
     new = lag_columns(b, spec.target, spec.lags)
     for c in spec.other_columns:
@@ -253,7 +267,7 @@ def build_features(
     new += diff_columns(b, spec.target, spec.diffs, "__pad")
     if spec.horizon:
         new.append(F.lead(spec.target, spec.horizon).over(b.w).alias(spec.target_column))
-    out = b.close(rows.select("*", *new)).drop("__pad")
+    out = b.close(rows.select("*", *new)).drop("__pad", "__row")
     out = add_time_features(out, ts)
     if spec.derived:
         out = add_weather_indices(out)

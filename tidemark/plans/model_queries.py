@@ -19,8 +19,8 @@ _M = ("rmse", "mae", "mape", "smape", "r2")
 
 def feature_table(t: Tables) -> tuple[DataFrame, list[str]]:
     """Features with a time split; cut once because every model fit reads it many times."""
-    filled = clean.impute(t.grid(), ["value"], step="1 hour")
-    table = features.build_features(filled, SPEC, step="1 hour")
+    filled = clean.impute(cut(t.grid()), ["value"], step="1 hour")
+    table = cut(features.build_features(filled, SPEC, step="1 hour"))
     split = cut(ti.temporal_split(table).withColumn("current", F.col("value")))
     names = [c for c in features.feature_columns(split, SPEC) if c != "current"]
     return split, names
@@ -72,7 +72,7 @@ def q_additive(t: Tables) -> DataFrame:
 
 @query()
 def q_seasonal_arima(t: Tables) -> DataFrame:
-    filled = clean.impute(t.grid(), ["value"], step="1 hour")
+    filled = cut(clean.impute(cut(t.grid()), ["value"], step="1 hour"))
     split = cut(ti.temporal_split(filled))
     train = split.filter("split = 'train'")
     made = arima.forecast(train, arima.fit(train, "value"), "value", 72)

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.operators.timeindex import downsample, regularize
-from tidemark.session import use_utc
+from tidemark.session import prepare
 
 
 @dataclass(frozen=True)
@@ -27,7 +27,7 @@ def query(sql: str | None = None):
 
     def add(fn):
         def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-            return fn(Tables(use_utc(spark), sf_dir))
+            return fn(Tables(prepare(spark), sf_dir))
 
         REGISTRY[fn.__name__] = Query(fn.__name__, run, sql)
         return fn

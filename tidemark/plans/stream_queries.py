@@ -37,11 +37,11 @@ _MS = "date_trunc('milliseconds', (SELECT max(ts) FROM events))"
 @query(f"""WITH e AS (SELECT event_type AS series_id, date_trunc('hour', ts) AS h, count(*) AS n, sum(50 - value) AS e, sum(pow(50 - value, 2)) AS ee, sum(abs(50 - value)) AS ae,
 sum(abs(50 - value) / (abs(value) + 1e-8)) AS pe FROM events GROUP BY 1, 2),
 x AS (SELECT *, unnest(generate_series(h - INTERVAL 71 HOUR, h, INTERVAL 1 HOUR)) AS window_start FROM e WHERE h + INTERVAL 1 HOUR <= {_MS} - INTERVAL 1 HOUR)
-SELECT series_id, window_start, window_start + INTERVAL 72 HOUR AS window_end, sum(n)::BIGINT AS n, round(sqrt(sum(ee) / sum(n)), 5) AS rmse, round(sum(ae) / sum(n), 5) AS mae,
-round(sum(pe) / sum(n) * 100, 5) AS mape, round(sum(e) / sum(n), 5) AS bias FROM x GROUP BY 1, 2 HAVING window_start + INTERVAL 72 HOUR <= {_MS} - INTERVAL 1 HOUR""")
+SELECT series_id, window_start, window_start + INTERVAL 72 HOUR AS window_end, sum(n)::BIGINT AS n, round(sqrt(sum(ee) / sum(n)) + 3e-9, 6) AS rmse, round(sum(ae) / sum(n) + 3e-9, 6) AS mae,
+round(sum(pe) / sum(n) * 100 + 3e-9, 6) AS mape, round(sum(e) / sum(n) + 3e-9, 6) AS bias FROM x GROUP BY 1, 2 HAVING window_start + INTERVAL 72 HOUR <= {_MS} - INTERVAL 1 HOUR""")
 def q_stream_live_metrics(t: Tables) -> DataFrame:
     scored = event_stream(t).select("series_id", "ts", F.lit(50.0).alias("predicted"), F.col("value").alias("actual"))
-    return rounded(streams.run_available(streams.live_metrics(scored)), "rmse", "mae", "mape", "bias", digits=5)
+    return rounded(streams.run_available(streams.live_metrics(scored)), "rmse", "mae", "mape", "bias", nudge=True)
 
 
 @query("""SELECT p.user_id, p.ts, p.value AS predicted, a.ts AS actual_ts, a.value AS actual FROM events p JOIN events a ON a.user_id = p.user_id

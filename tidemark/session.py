@@ -8,6 +8,15 @@ import tempfile
 from pyspark.sql import DataFrame, SparkSession
 
 
+# The zone makes TIMESTAMP_NTZ arithmetic exact.  Constraint propagation is switched off
+# because its cost grows exponentially with aliases and predicates; feature tables with
+# dozens of window columns would spend minutes in the optimizer.
+REQUIRED = {
+    "spark.sql.session.timeZone": "UTC",
+    "spark.sql.constraintPropagation.enabled": "false",
+}
+
+
 def build_session(app: str = "tidemark", master: str | None = None, **conf: str) -> SparkSession:
     """Session with adaptive execution and a UTC zone.
 
@@ -18,7 +27,7 @@ def build_session(app: str = "tidemark", master: str | None = None, **conf: str)
     if master:
         builder = builder.master(master)
     settings = {
-        "spark.sql.session.timeZone": "UTC",
+        **REQUIRED,
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.coalescePartitions.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
@@ -31,10 +40,11 @@ def build_session(app: str = "tidemark", master: str | None = None, **conf: str)
     return builder.getOrCreate()
 
 
-def use_utc(spark: SparkSession) -> SparkSession:
-    """Pin the session zone on a session somebody else created."""
-    if spark.conf.get("spark.sql.session.timeZone") != "UTC":
-        spark.conf.set("spark.sql.session.timeZone", "UTC")
+def prepare(spark: SparkSession) -> SparkSession:
+    """Apply the required settings to a session somebody else created."""
+    for key, value in REQUIRED.items():
+        if spark.conf.get(key, None) != value:
+            spark.conf.set(key, value)
     return spark
 
 
