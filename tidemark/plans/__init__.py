@@ -6,7 +6,7 @@ import importlib
 
 from tidemark.plans.registry import REGISTRY, Query
 
-MODULES = ("time_queries", "clean_queries", "feature_queries", "eda_queries", "forecast_queries", "stat_queries", "source_queries", "stream_queries", "model_queries")
+MODULES = ("time_queries", "clean_queries", "feature_queries", "eda_queries", "forecast_queries", "stat_queries", "source_queries", "stream_queries", "model_queries", "job_queries")
 
 
 def all_queries() -> dict[str, Query]:
