@@ -10,7 +10,7 @@ from pyspark.sql import types as T
 
 from tidemark.operators.blocks import DEFAULT_KEYS
 from tidemark.operators.eda import bin_edges, bin_index
-from tidemark.operators.quantiles import to_long
+from tidemark.operators.quantiles import rank_in, to_long
 from tidemark.operators.timeindex import tail_rows
 
 PSI_LIMIT = 0.25
@@ -111,9 +111,8 @@ def ks(ref: DataFrame, cur: DataFrame, columns: Sequence[str], splits: int = 200
         F.sum("n_ref").alias("t_ref"),
         F.sum("n_cur").alias("t_cur"),
     )
-    ranged = both.join(cuts, "column").withColumn(
-        "part", F.size(F.filter("cuts", lambda c: c < F.col("value")))
-    ).drop("cuts")
+    # beyond the distinct cuts the array has no entry, which ends the search
+    ranged = rank_in(both.join(cuts, "column"), "part", "value", "cuts", splits, inclusive=False).drop("cuts")
     parts = ranged.groupBy("column", "part").agg(F.sum("n_ref").alias("p_ref"), F.sum("n_cur").alias("p_cur"))
     earlier = Window.partitionBy("column").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     offsets = parts.select(

@@ -30,6 +30,23 @@ def to_long(df: DataFrame, keys: Sequence[str], columns: Sequence[str]) -> DataF
     )
 
 
+def rank_in(df: DataFrame, name: str, value: str, ends: str, size: int, *, inclusive: bool) -> DataFrame:
+    """Number of entries of a sorted array column below (or equal to) a value.
+
+    A binary search written as one projection per halving, so it stays in generated code.
+    """
+    v, ends_col = F.col(value), F.col(ends)
+    out = df.withColumn(name, F.lit(0))
+    step = 1 << max(size.bit_length() - 1, 0)
+    while step:
+        probe = F.col(name) + step
+        at = F.get(ends_col, probe - 1)
+        low = (at <= v) if inclusive else (at < v)
+        out = out.withColumn(name, F.when((probe <= size) & F.coalesce(low, F.lit(False)), probe).otherwise(F.col(name)))
+        step >>= 1
+    return out
+
+
 def exact_quantiles(
     df: DataFrame, columns: Sequence[str], probs: Sequence[float], keys: Sequence[str] = ()
 ) -> DataFrame:
@@ -60,22 +77,19 @@ def exact_quantiles(
         .agg(F.count("value").alias("n"), F.percentile_approx("value", wanted, ACCURACY).alias("__s"))
         .select(*group, "n", bound(-1, float("-inf")).alias("lo"), bound(1, float("inf")).alias("hi"))
     )
-    # every row is counted once at the first bracket it lies below; it is repeated with
-    # its value only for the few brackets that contain it
-    v = F.col("value")
-    below = F.size(F.filter("lo", lambda x: x <= v))
+    # every row is counted once at the first bracket it lies below (k = j) and repeated
+    # with its value only for the few brackets that contain it (k < j)
+    k = F.col("i")
     every = F.sequence(F.lit(0), F.lit(len(ps) - 1))
-    hits = F.filter(every, lambda k: (k < F.col("__j")) & (v <= F.col("hi")[k]))
-    mark = F.struct(F.col("__j").alias("i"), F.lit(None).cast("double").alias("v"))
+    placed = rank_in(long.join(brackets, group), "__j", "value", "lo", len(ps), inclusive=True)
+    placed = rank_in(placed, "__h", "value", "hi", len(ps), inclusive=False)
     counted = (
-        long.join(brackets, group)
-        .withColumn("__j", below)
-        .select(*group, "n", F.explode(F.concat(F.array(mark), F.transform(hits, lambda k: F.struct(k.alias("i"), v.alias("v"))))).alias("__m"))
-        .select(*group, "n", "__m.i", "__m.v")
+        placed.select(*group, "n", "value", "__j", F.explode(F.sequence(F.least("__h", "__j"), F.col("__j"))).alias("i"))
+        .select(*group, "n", "i", F.when(k < F.col("__j"), F.col("value")).alias("v"))
         .groupBy(*group, "n", "i", "v")
         .agg(F.count("*").alias("c"))
         # the counts below apply to their own and every higher bracket
-        .withColumn("i", F.explode(F.when(F.col("v").isNotNull(), F.array("i")).otherwise(F.filter(every, lambda k: k >= F.col("i")))))
+        .withColumn("i", F.explode(F.when(F.col("v").isNotNull(), F.array("i")).otherwise(F.filter(every, lambda x: x >= k))))
     )
     w = Window.partitionBy(*group, "i").orderBy(F.col("v").asc_nulls_first())
     p = F.lit(ps)[F.col("i")]
