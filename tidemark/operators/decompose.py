@@ -130,6 +130,7 @@ def stl(
     rows = with_position(rows, keys, ts, cell=cell, name="__pos", total="__n")
     size, reach = block_periods * period, halo_periods * period
     b = halo(rows, keys, ts, pos="__pos", before=reach, after=reach, size=size)
+    size = b.size  # a block is never shorter than its halo
     fields = ", ".join(f"`{k}` {rows.schema[k].dataType.simpleString()}" for k in keys)
 
     def block(pdf: pd.DataFrame) -> pd.DataFrame:
