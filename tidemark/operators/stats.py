@@ -20,6 +20,8 @@ from tidemark.operators.blocks import BLOCK_ROWS, CELL, DEFAULT_KEYS, attach, ha
 from tidemark.operators.timeindex import head_rows
 
 ACF_LAGS = 72
+# Verdicts when both tests say stationary, none does, only ADF, only KPSS.
+VERDICTS = ("STATIONNAIRE", "NON_STATIONNAIRE", "TREND_STATIONARY", "DIFFERENCE_STATIONARY")
 
 
 def _fields(df: DataFrame, names: Sequence[str]) -> str:
@@ -323,10 +325,8 @@ def stationarity(df: DataFrame, column: str, **kw) -> DataFrame:
     keys = list(kw.get("keys", DEFAULT_KEYS))
     both = adf(df, column, **kw).join(kpss(df, column, **kw), keys)
     a, k = F.col("stationary_adf"), F.col("stationary_kpss")
-    verdict = (
-        F.when(a & k, "STATIONNAIRE").when(~a & ~k, "NON_STATIONNAIRE").when(a, "TREND_STATIONARY")
-        .otherwise("DIFFERENCE_STATIONARY")
-    )
+    both_agree, neither, only_adf, only_kpss = VERDICTS
+    verdict = F.when(a & k, both_agree).when(~a & ~k, neither).when(a, only_adf).otherwise(only_kpss)
     return both.withColumn("conclusion", verdict).withColumn("differencing_recommended", ~a | ~k)
 
 

@@ -300,8 +300,11 @@ def q_score_map(t: Tables) -> DataFrame:
 @query(f"""WITH {_REQ}, bt AS (SELECT user_id, date_trunc('day', ts) AS day, count(*) AS n FROM events GROUP BY 1, 2)
 SELECT e.user_id, e.event_id, round(p, 3) AS predicted FROM events e JOIN sc ON sc.event_id = e.event_id JOIN bt ON bt.user_id = e.user_id AND bt.day = date_trunc('day', e.ts) WHERE bt.n BETWEEN 1 AND 168""")
 def q_score_batch(t: Tables) -> DataFrame:
-    # one batch per user and day; its size is bounded by what a user sends in a day
-    batches = requests(t).groupBy("user_id", F.to_date("ts").alias("day")).agg(
+    # one batch per user and day; batches over the limit are rejected by their count, before
+    # anything is collected, so no list is longer than the limit
+    rows = requests(t).withColumn("day", F.to_date("ts"))
+    small = rows.groupBy("user_id", "day").agg(F.count("*").alias("n")).filter(F.col("n") <= scoring.MAX_BATCH)
+    batches = rows.join(small, ["user_id", "day"], "left_semi").groupBy("user_id", "day").agg(
         F.collect_list(F.struct("event_id", "features")).alias("requests")
     )
     accepted, _ = scoring.explode_batches(batches)
