@@ -92,3 +92,10 @@ def op9_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.length("_loss").cast("long").alias("loss_chars"), F.sha2("_loss", 256).alias("loss_sha256"),
         F.length("formatted").cast("long").alias("formatted_chars"),
     )
+
+
+@query()
+def op2_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tidemark.llm import ngram_join as n
+
+    return n.near_duplicates(table(spark, sf_dir))
