@@ -99,3 +99,11 @@ def op2_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     from tidemark.llm import ngram_join as n
 
     return n.near_duplicates(table(spark, sf_dir))
+
+
+@query()
+def op7_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tidemark.llm import pii
+
+    docs = table(spark, sf_dir)
+    return pii.find_personal(docs, pii.fit_spans(docs))
