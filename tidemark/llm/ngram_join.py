@@ -23,15 +23,13 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm.components import components
+from tidemark.llm.sketch import block_batch, marked, merged
 from tidemark.llm.text import WordHashes, map_rows, mix, saved, shingles
 
-BLOCK = 1 << 16
-
 
 @dataclass(frozen=True)
 class JoinSpec:
@@ -53,35 +51,6 @@ class JoinSpec:
         return n - (self.percent * n + 99) // 100 + 1
 
 
-def _blocks(counts: np.ndarray, nonzero_only: bool = True):
-    """(block number, compressed counts) of a count table."""
-    pack = zstandard.ZstdCompressor(level=1).compress
-    for k in range(0, len(counts), BLOCK):
-        part = counts[k : k + BLOCK]
-        if not nonzero_only or part.any():
-            yield k // BLOCK, pack(part.astype(np.uint32).tobytes())
-
-
-def _merged(blocks: DataFrame, size: int, finish) -> np.ndarray:
-    """Add up count blocks (block, counts) over all tasks; ``finish`` maps a block to bytes of 8 bits."""
-
-    def add(batches):
-        sums: dict[int, np.ndarray] = {}
-        unpack = zstandard.ZstdDecompressor().decompress
-        for batch in batches:
-            for k, raw in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                part = np.frombuffer(unpack(raw), np.uint32)
-                sums[k] = sums[k] + part if k in sums else part.astype(np.uint64)
-        for k, total in sums.items():
-            yield pa.RecordBatch.from_arrays([pa.array([k], pa.int32()), pa.array([finish(total).tobytes()], pa.binary())], names=["block", "data"])
-
-    out = np.zeros(size, np.uint8)
-    for row in blocks.repartition("block").mapInArrow(add, "block int, data binary").collect():  # 2**bits bytes at most
-        part = np.frombuffer(row.data, np.uint8)
-        out[row.block * BLOCK : row.block * BLOCK + len(part)] = part
-    return out
-
-
 def profile(docs: DataFrame, spec: JoinSpec) -> DataFrame:
     """Rows (doc, n, s1, s2) for documents and (block, data) for the token counts of each task."""
     size, shift = 1 << spec.sketch_bits, np.uint64(64 - spec.sketch_bits)
@@ -102,10 +71,8 @@ def profile(docs: DataFrame, spec: JoinSpec) -> DataFrame:
                 counts += np.bincount((np.concatenate(held) >> shift).astype(np.int64), minlength=size).astype(np.uint32)
             empty = pa.nulls(len(rows), pa.int32()), pa.nulls(len(rows), pa.binary())
             yield pa.RecordBatch.from_arrays([batch.column("doc"), *[pa.array(c, pa.int64()) for c in zip(*rows)], *empty], schema=schema)
-        found = list(_blocks(counts))
-        if found:
-            no = [pa.nulls(len(found), pa.int64())] * 4
-            yield pa.RecordBatch.from_arrays([*no, pa.array([k for k, _ in found], pa.int32()), pa.array([d for _, d in found], pa.binary())], schema=schema)
+        found = block_batch(counts)
+        yield pa.RecordBatch.from_arrays([*[pa.nulls(found.num_rows, pa.int64())] * 4, *found.columns], schema=schema)
 
     return docs.mapInArrow(lambda it: run(b for b in it if b.num_rows), "doc long, n long, s1 long, s2 long, block int, data binary")
 
@@ -113,7 +80,7 @@ def profile(docs: DataFrame, spec: JoinSpec) -> DataFrame:
 def frequency_levels(profiled: DataFrame, spec: JoinSpec) -> np.ndarray:
     """log2 of the token count of each bucket, rounded down: 2**sketch_bits bytes on the driver."""
     blocks = profiled.where("block IS NOT NULL").select("block", "data")
-    return _merged(blocks, 1 << spec.sketch_bits, lambda c: np.log2(c + np.uint64(1)).astype(np.uint8))
+    return merged(blocks, 1 << spec.sketch_bits, lambda c: np.log2(c + np.uint64(1)).astype(np.uint8))
 
 
 class Orders:
@@ -209,47 +176,12 @@ def hub_pairs(found: DataFrame) -> DataFrame:
     return found.where("token IS NULL").select(F.col("hub").alias("a"), F.col("doc").alias("b")).unionByName(apart).where("a <> b").distinct()
 
 
-def marked(docs: DataFrame, ids: DataFrame, id_col: str, spec: JoinSpec, hit: bool) -> DataFrame:
-    """Rows of ``docs`` whose id may (``hit``) or cannot (not ``hit``) occur in any column of ``ids``.
-
-    A bitmap of fixed size decides, so that most rows skip a shuffle; some ids it lets through
-    by chance, which a join has to sort out.  Null ids never occur in it.
-    """
-    size = 1 << spec.filter_bits
-
-    def places(column) -> np.ndarray:
-        values = column.fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64)
-        return (mix(values.view(np.uint64)) % np.uint64(size)).astype(np.int64)
-
-    def mark(batches):
-        seen = np.zeros(size, np.uint8)
-        for batch in batches:
-            for column in batch.columns:
-                seen[places(column.drop_null())] = 1
-        found = list(_blocks(seen))
-        yield pa.RecordBatch.from_arrays([pa.array([k for k, _ in found], pa.int32()), pa.array([d for _, d in found], pa.binary())], names=["block", "data"])
-
-    bits = np.packbits(_merged(ids.mapInArrow(mark, "block int, data binary"), size, lambda c: (c > 0).astype(np.uint8)))
-    shared = docs.sparkSession.sparkContext.broadcast(bits)
-    where = docs.columns.index(id_col)
-
-    def keep(batches):
-        table = shared.value
-        for batch in batches:
-            column = batch.column(where)
-            at = places(column)
-            may = ((table[at >> 3] >> (7 - (at & 7)).astype(np.uint8)) & 1).astype(bool) & column.is_valid().to_numpy(zero_copy_only=False)
-            yield batch.filter(pa.array(may if hit else ~may))
-
-    return docs.mapInArrow(keep, docs.schema)
-
-
 def verify(pairs: DataFrame, docs: DataFrame, levels: np.ndarray, spec: JoinSpec, describe: bool) -> DataFrame:
     """(a, b, linked) for candidate pairs; with ``describe`` also what the second round needs:
     set sizes ``n_a``, ``n_b``, the overlap ``h``, the tokens of b outside a within the prefix
     (``extras``) and whether tokens of a reach into it (``inside``)."""
     shared = docs.sparkSession.sparkContext.broadcast(levels)
-    texts = marked(docs, pairs.select("a", "b"), "doc", spec, hit=True)
+    texts = marked(docs, pairs.select("a", "b"), "doc", True, spec.filter_bits)
     joined = pairs.select("a", "b").join(texts.select(F.col("doc").alias("b"), F.col("text").alias("tb")), "b")
     joined = joined.join(texts.select(F.col("doc").alias("a"), F.col("text").alias("ta")), "a").select("a", "b", "ta", "tb")
 
@@ -379,8 +311,8 @@ def keep_first(docs: DataFrame, spec: JoinSpec | None = None, id_col: str = "doc
     spec = spec or JoinSpec()
     found = near_duplicates(docs, spec, id_col, text_col).where(F.col(id_col) != F.col("component_id"))
     dropped = saved(found.select(F.col(id_col).cast("long").alias("_gone")).distinct(), "dropped")
-    suspects = marked(docs, dropped, id_col, spec, hit=True)
-    rest = marked(docs, dropped, id_col, spec, hit=False).unionByName(suspects.join(dropped, F.col(id_col) == F.col("_gone"), "left_anti"))
+    suspects = marked(docs, dropped, id_col, True, spec.filter_bits)
+    rest = marked(docs, dropped, id_col, False, spec.filter_bits).unionByName(suspects.join(dropped, F.col(id_col) == F.col("_gone"), "left_anti"))
     again = saved(docs.where(F.col(id_col).isNotNull()).groupBy(F.col(id_col).alias("_twice")).count().where("count > 1").select("_twice"), "twice")
     if again.isEmpty():
         return rest

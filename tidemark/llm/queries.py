@@ -107,3 +107,10 @@ def op7_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     docs = table(spark, sf_dir)
     return pii.find_personal(docs, pii.fit_spans(docs))
+
+
+@query()
+def op6_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tidemark.llm import decontaminate as d
+
+    return d.find_items(table(spark, sf_dir), table(spark, sf_dir, "benchmark"))
