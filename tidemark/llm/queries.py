@@ -114,3 +114,13 @@ def op6_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     from tidemark.llm import decontaminate as d
 
     return d.find_items(table(spark, sf_dir), table(spark, sf_dir, "benchmark"))
+
+
+@query()
+def op3_quality_knn(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tidemark.llm import quality_knn as k
+
+    docs, labels = table(spark, sf_dir), table(spark, sf_dir, "labels")
+    space = k.fit_space(docs, labels.where(~k.held_out()).select("doc_id", "quality"))
+    scored = k.score(docs.select("doc_id", "text"), space)
+    return scored.select("doc_id", F.coalesce(k.held_out(), F.lit(False)).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
