@@ -124,3 +124,10 @@ def op3_quality_knn(spark: SparkSession, sf_dir: str) -> DataFrame:
     space = k.fit_space(docs, labels.where(~k.held_out()).select("doc_id", "quality"))
     scored = k.score(docs.select("doc_id", "text"), space)
     return scored.select("doc_id", F.coalesce(k.held_out(), F.lit(False)).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
+@query()
+def op1_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tidemark.llm import mixing as m
+
+    return m.mix(table(spark, sf_dir), m.domain_labels(table(spark, sf_dir, "labels")))
