@@ -131,3 +131,10 @@ def op1_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     from tidemark.llm import mixing as m
 
     return m.mix(table(spark, sf_dir), m.domain_labels(table(spark, sf_dir, "labels")))
+
+
+@query()
+def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tidemark.llm import license_scan as s
+
+    return s.scan(table(spark, sf_dir)).withColumn("coverage", F.round("coverage", 6))
