@@ -10,7 +10,9 @@ Large groups of near copies would make all pairs of a bucket quadratic.  Only wh
 components is joined, without losing a link between components:
 
 1. Within a bucket (documents that share a prefix token) every document is paired with one
-   *hub*, the one whose tokens are the most frequent: linear in the size of the bucket.
+   *hub*, the one whose tokens are the most frequent: linear in the size of the bucket.  The
+   prefixes are lengthened so that linked sets share several tokens; chance meetings over
+   a token or two can then be left out.
 2. Where a document is not linked to its hub, it may be linked to another document of the
    hub's group.  Put the hub's own tokens last in the order: such a pair shares a token outside
    the hub in both prefixes (an equi-join), or shares hub tokens only, and then its
@@ -23,7 +25,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.llm.components import components
@@ -47,8 +49,18 @@ class JoinSpec:
     filter_bits: int = 24
     hot_count: int = 1024
 
-    def prefix(self, n):
-        return n - (self.percent * n + 99) // 100 + 1
+    def prefix(self, n: int, shared: int = 1) -> int:
+        """Length of a prefix in which two linked sets share at least ``shared`` tokens."""
+        return n - (self.percent * n + 99) // 100 + shared
+
+    def shared(self, n: int) -> int:
+        """Tokens that the prefixes of the first order share: one and a twenty-fifth of the set."""
+        return 1 + n // 25
+
+    def spare(self) -> str:
+        """SQL for the tokens of a set of ``n`` that may go unread: those of two linked sets (sizes within
+        ``percent``) together stay below what their prefixes share."""
+        return f"CAST(FLOOR(n * {self.percent} / (25.0 * (100 + {self.percent}))) AS BIGINT)"
 
 
 def profile(docs: DataFrame, spec: JoinSpec) -> DataFrame:
@@ -100,7 +112,7 @@ class Orders:
 
 
 def stars(docs: DataFrame, levels, spec: JoinSpec) -> DataFrame:
-    """Rows (hub, doc, token, pref): documents next to the hub of a bucket of the first order.
+    """Rows (hub, doc, token, pref, tokens): documents next to the hub of ``tokens`` buckets of the first order.
 
     ``token`` is null except for hot tokens, whose bucket is dealt out: their hubs are local
     to a part and are paired with the best of all parts by :func:`hub_pairs`.
@@ -118,7 +130,7 @@ def stars(docs: DataFrame, levels, spec: JoinSpec) -> DataFrame:
                 if doc is None or not len(s):
                     continue
                 level = orders.level(s)
-                p = spec.prefix(len(s))
+                p = spec.prefix(len(s), spec.shared(len(s)))
                 first = orders.ranked(s, 0, level)[:p]
                 token, lv = s[first], level[first].astype(np.int64)
                 hot = lv >= hot_from
@@ -151,29 +163,44 @@ def stars(docs: DataFrame, levels, spec: JoinSpec) -> DataFrame:
             last_key, hub = key[-1], hubs[-1]
             keep = (~start & (hubs != doc)) | (token != 0)
             cold = keep & (token == 0)
-            two = np.unique(np.stack([hubs[cold], doc[cold]]), axis=1) if cold.any() else np.empty((2, 0), np.int64)
+            a, b = hubs[cold], doc[cold]
+            by = np.lexsort((b, a))
+            a, b = a[by], b[by]
+            new = np.ones(len(a), bool)
+            new[1:] = (a[1:] != a[:-1]) | (b[1:] != b[:-1])
+            runs = np.flatnonzero(new)
             warm = keep & (token != 0)
-            n = two.shape[1]
+            n = len(runs)
             yield pa.RecordBatch.from_arrays(
                 [
-                    pa.array(np.concatenate([two[0], hubs[warm]])), pa.array(np.concatenate([two[1], doc[warm]])),
+                    pa.array(np.concatenate([a[runs], hubs[warm]])), pa.array(np.concatenate([b[runs], doc[warm]])),
                     pa.array(np.concatenate([np.zeros(n, np.int64), token[warm]]), mask=np.concatenate([np.ones(n, bool), np.zeros(int(warm.sum()), bool)])),
                     pa.array(np.concatenate([np.zeros(n, np.int32), pref[warm]])),
+                    pa.array(np.concatenate([np.diff(np.append(runs, len(a))), np.ones(int(warm.sum()), np.int64)])),
                 ],
-                names=["hub", "doc", "token", "pref"],
+                names=["hub", "doc", "token", "pref", "tokens"],
             )
 
     posted = docs.mapInArrow(post, "key long, token long, doc long, pref int")
     dealt = posted.repartition("key").sortWithinPartitions("key", F.desc("pref"), "doc")
-    return dealt.mapInArrow(pair, "hub long, doc long, token long, pref int")
+    return dealt.mapInArrow(pair, "hub long, doc long, token long, pref int, tokens long")
 
 
-def hub_pairs(found: DataFrame) -> DataFrame:
-    """Distinct (a, b): hub and document, with one hub for all parts of a hot token."""
+def hub_pairs(found: DataFrame, sizes: DataFrame, spec: JoinSpec) -> DataFrame:
+    """Distinct (a, b): hub and document, with one hub for all parts of a hot token.
+
+    Prefixes are longer than they need be, so linked sets share several tokens.  That allows
+    each document to leave the hubs with which it shares the fewest tokens, up to ``spare``
+    tokens of its set size (``sizes``: doc, n): any two linked documents still meet at one hub.
+    """
     hot = found.where("token IS NOT NULL")
     best = hot.where("hub = doc").groupBy("token").agg(F.min(F.struct(-F.col("pref"), "hub"))["hub"].alias("a"))
-    apart = hot.join(best, "token").select("a", F.col("doc").alias("b"))
-    return found.where("token IS NULL").select(F.col("hub").alias("a"), F.col("doc").alias("b")).unionByName(apart).where("a <> b").distinct()
+    apart = hot.join(best, "token").select("a", F.col("doc").alias("b"), "tokens")
+    met = found.where("token IS NULL").select(F.col("hub").alias("a"), F.col("doc").alias("b"), "tokens").unionByName(apart)
+    met = met.where("a <> b").groupBy("a", "b").agg(F.sum("tokens").alias("tokens"))
+    met = met.join(sizes.groupBy(F.col("doc").alias("b")).agg(F.min("n").alias("n")), "b")
+    lost = F.sum("tokens").over(Window.partitionBy("b").orderBy("tokens", "a").rowsBetween(Window.unboundedPreceding, 0))
+    return met.withColumn("lost", lost).where(f"lost > {spec.spare()}").select("a", "b")
 
 
 def verify(pairs: DataFrame, docs: DataFrame, levels: np.ndarray, spec: JoinSpec, describe: bool) -> DataFrame:
@@ -282,7 +309,7 @@ def near_duplicates(docs: DataFrame, spec: JoinSpec | None = None, id_col: str =
     stand_in = copies.where("doc <> rep").join(ambiguous, "doc", "left_anti")
 
     found = saved(stars(base, levels, spec), "stars")
-    pairs = hub_pairs(found)
+    pairs = hub_pairs(found, known, spec)
     for side in ("a", "b"):
         pairs = pairs.join(stand_in.select(F.col("doc").alias(side), F.col("rep").alias("_rep")), side, "left").withColumn(side, F.coalesce("_rep", side)).drop("_rep")
     pairs = saved(pairs.where("a <> b").distinct(), "pairs")
