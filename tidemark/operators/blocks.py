@@ -233,6 +233,17 @@ def carry_back(df: DataFrame, keys: Sequence[str], pos: str, size: int, after: i
     return _block_carry(df, list(keys), pos, size, -after, dict(named), F.min_by, True)
 
 
+def spread_join(rows: DataFrame, stats: DataFrame, on: Sequence[str], salts: int = 32) -> DataFrame:
+    """Inner join of many rows to the one row of their key in ``stats``.
+
+    The small side is repeated ``salts`` times and the rows are dealt over the copies, so that
+    no key, not even one that holds all rows, is joined on one task.
+    """
+    dealt = rows.withColumn("__salt", F.pmod(F.monotonically_increasing_id(), F.lit(salts)).cast("int"))
+    copies = stats.withColumn("__salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+    return dealt.join(copies, [*on, "__salt"]).drop("__salt")
+
+
 def attach(df: DataFrame, stats: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
     """Add per-series statistics to rows; without keys, one scalar subquery (no join)."""
     if keys:

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.operators.blocks import DEFAULT_KEYS
+from tidemark.operators.blocks import DEFAULT_KEYS, attach, spread_join
 from tidemark.operators.eda import bin_edges, bin_index
 from tidemark.operators.quantiles import rank_in, to_long
 from tidemark.operators.timeindex import tail_rows
@@ -17,6 +17,7 @@ PSI_LIMIT = 0.25
 KS_ALPHA = 0.05
 MIN_VALUES = 10
 SHARE_LIMIT = 0.20
+MAJORITY = 0.5
 # Variables whose stability index is always reported.
 PRIORITY = (
     "meteo_temperature_2m",
@@ -60,17 +61,25 @@ def _sides(ref: DataFrame, cur: DataFrame, columns: Sequence[str]) -> DataFrame:
 
 
 def psi(ref: DataFrame, cur: DataFrame, columns: Sequence[str], bins: int = 10) -> DataFrame:
-    """Population stability index per column over equal-width bins of the reference."""
-    lo, hi = bin_edges(F.min("value"), F.max("value"))
-    r_long = to_long(ref, (), columns).withColumn("r", F.lit(1))
-    c_long = to_long(cur, (), columns).withColumn("r", F.lit(0))
-    edges = r_long.groupBy("column").agg(lo.alias("lo"), hi.alias("hi"))
+    """Population stability index per column over equal-width bins of the reference.
+
+    The edges of all columns are one row that reaches the rows as a scalar, so the only
+    shuffle is the one of the bin counts.  A column without values on a side keeps its row,
+    with a null index.
+    """
+    columns = list(columns)
+    ends = [f(F.col(c).cast("double")).alias(f"{n}{i}") for i, c in enumerate(columns) for f, n in ((F.min, "__lo"), (F.max, "__hi"))]
+    side = lambda df, r: df.select(*[F.col(c).cast("double").alias(f"__v{i}") for i, c in enumerate(columns)], F.lit(r).alias("r"))
+    rows = attach(side(ref, 1).unionByName(side(cur, 0)), ref.agg(*ends))
+    cells = [F.struct(F.lit(c).alias("column"), F.col(f"__v{i}").alias("value"), F.col(f"__lo{i}").alias("l"), F.col(f"__hi{i}").alias("h")) for i, c in enumerate(columns)]
+    lo, hi = bin_edges(F.col("l"), F.col("h"))
     counted = (
-        r_long.unionByName(c_long)
-        .join(edges, "column")
-        .groupBy("column", bin_index(F.col("value"), F.col("lo"), F.col("hi"), bins).alias("bin"))
+        rows.select("r", F.inline(F.array(*cells))).filter(F.col("value").isNotNull())
+        .groupBy("column", bin_index(F.col("value"), lo, hi, bins).alias("bin"))
         .agg(F.sum("r").alias("r"), F.sum(1 - F.col("r")).alias("c"))
     )
+    every = ref.sparkSession.range(1).select(F.explode(F.array(*[F.lit(c) for c in columns])).alias("column"))
+    counted = every.join(counted, "column", "left").withColumns({c: F.coalesce(c, F.lit(0)) for c in ("r", "c")})
     return psi_from_counts(counted, ["column"])
 
 
@@ -97,11 +106,12 @@ def ks_pvalue(d: Column, n: Column, m: Column) -> Column:
     return F.when(t2 < 0.04, 1.0).otherwise(F.greatest(F.lit(0.0), F.least(F.lit(1.0), series)))
 
 
-def ks(ref: DataFrame, cur: DataFrame, columns: Sequence[str], splits: int = 200) -> DataFrame:
+def ks(ref: DataFrame, cur: DataFrame, columns: Sequence[str], splits: int = 64, cell: int = 50_000) -> DataFrame:
     """Two-sample KS statistic and asymptotic p-value per column.
 
-    Distinct values are cut into value ranges by approximate quantiles; the counts of the
-    lower ranges are carried in, so no task sorts more than one range of one column.
+    Distinct values are cut into value ranges by approximate quantiles, and each range into
+    slices by its own number of distinct values (about ``cell`` each); the counts of the
+    lower slices are carried in, so no task sorts more than one slice of one column.
     """
     both = _sides(ref, cur, columns)
     cuts = both.groupBy("column").agg(
@@ -112,21 +122,28 @@ def ks(ref: DataFrame, cur: DataFrame, columns: Sequence[str], splits: int = 200
         F.sum("n_cur").alias("t_cur"),
     )
     # beyond the distinct cuts the array has no entry, which ends the search
-    ranged = rank_in(both.join(cuts, "column"), "part", "value", "cuts", splits, inclusive=False).drop("cuts")
-    parts = ranged.groupBy("column", "part").agg(F.sum("n_ref").alias("p_ref"), F.sum("n_cur").alias("p_cur"))
-    earlier = Window.partitionBy("column").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = parts.select(
-        "column", "part",
+    ranged = rank_in(spread_join(both, cuts, ["column"]), "part", "value", "cuts", splits, inclusive=False).drop("cuts")
+    ranged = ranged.filter((F.col("t_ref") > 0) & (F.col("t_cur") > 0))
+    ends = ranged.groupBy("column", "part").agg(F.min("value").alias("lo"), F.max("value").alias("hi"), F.count("*").alias("k"))
+    slices = F.ceil(F.col("k") / F.lit(cell))
+    place = F.floor((F.col("value") - F.col("lo")) / (F.col("hi") - F.col("lo")) * slices)
+    sliced = spread_join(ranged, ends, ["column", "part"], salts=4).withColumn(
+        "slice", F.when(F.col("hi") > F.col("lo"), F.least(place, slices - 1)).otherwise(0)
+    )
+    group = ["column", "part", "slice"]
+    sizes = sliced.groupBy(*group).agg(F.sum("n_ref").alias("p_ref"), F.sum("n_cur").alias("p_cur"))
+    earlier = Window.partitionBy("column").orderBy("part", "slice").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = sizes.select(
+        *group,
         F.coalesce(F.sum("p_ref").over(earlier), F.lit(0)).alias("o_ref"),
         F.coalesce(F.sum("p_cur").over(earlier), F.lit(0)).alias("o_cur"),
     )
-    inside = Window.partitionBy("column", "part").orderBy("value").rowsBetween(Window.unboundedPreceding, 0)
+    inside = Window.partitionBy(*group).orderBy("value").rowsBetween(Window.unboundedPreceding, 0)
     below_ref = F.col("o_ref") + F.sum("n_ref").over(inside)
     below_cur = F.col("o_cur") + F.sum("n_cur").over(inside)
     gap = F.abs(below_ref / F.col("t_ref") - below_cur / F.col("t_cur"))
     stats = (
-        ranged.filter((F.col("t_ref") > 0) & (F.col("t_cur") > 0))
-        .join(offsets, ["column", "part"])
+        sliced.join(offsets, group)
         .select("column", "t_ref", "t_cur", gap.alias("gap"))
         .groupBy("column", "t_ref", "t_cur")
         .agg(F.max("gap").alias("ks_stat"))
@@ -137,16 +154,14 @@ def ks(ref: DataFrame, cur: DataFrame, columns: Sequence[str], splits: int = 200
 
 
 def column_drift(
-    ref: DataFrame, cur: DataFrame, columns: Sequence[str] | None = None, *, max_columns: int | None = None
+    ref: DataFrame, cur: DataFrame, columns: Sequence[str] | None = None
 ) -> DataFrame:
     """KS and PSI per common numeric column; drifted when KS p < 0.05 or PSI > 0.25.
 
-    ``max_columns`` restricts the tested columns (the drifted share still counts all).
-    Columns with fewer than ten values on a side are never drifted.
+    Columns with fewer than ten values on a side are never drifted but keep their row.
     """
     columns = list(columns or numeric_common(ref, cur))
-    tested = columns[:max_columns] if max_columns else columns
-    joined = psi(ref, cur, tested).join(ks(ref, cur, tested), "column", "left")
+    joined = psi(ref, cur, columns).join(ks(ref, cur, columns), "column", "left")
     enough = (F.col("n_ref") >= MIN_VALUES) & (F.col("n_cur") >= MIN_VALUES)
     moved = (F.col("ks_pvalue") < KS_ALPHA) | (F.col("psi") > PSI_LIMIT)
     return joined.select(
@@ -156,21 +171,25 @@ def column_drift(
 
 
 def drift_summary(per_column: DataFrame, n_total: int, threshold: float = SHARE_LIMIT) -> DataFrame:
-    """Dataset row: drifted count and share over all common columns, flag and action."""
+    """Dataset row: drifted count and share over all common columns, flags and action.
+
+    ``dataset_drift`` and the action follow ``threshold``, ``majority_drift`` a share of over one half.
+    """
     share = F.count_if("drifted") / F.lit(n_total)
     return per_column.agg(F.count_if("drifted").alias("n_drifted"), share.alias("share_drifted")).select(
         "n_drifted",
         F.lit(n_total).cast("bigint").alias("n_total"),
         "share_drifted",
         (F.col("share_drifted") > threshold).alias("dataset_drift"),
+        (F.col("share_drifted") > MAJORITY).alias("majority_drift"),
         F.when(F.col("share_drifted") > threshold, "RETRAIN").otherwise("MONITOR").alias("action_required"),
     )
 
 
 def priority_psi(ref: DataFrame, cur: DataFrame, priority: Sequence[str] = PRIORITY) -> DataFrame:
-    """Stability index of the priority columns, or of the first ten when none exists."""
+    """Stability index of the priority columns, or of all common columns when none exists."""
     common = numeric_common(ref, cur)
-    chosen = [c for c in priority if c in common] or common[:10]
+    chosen = [c for c in priority if c in common] or common
     return psi(ref, cur, chosen)
 
 

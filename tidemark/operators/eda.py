@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.functions.calendar import cyclic_columns
-from tidemark.operators.blocks import attach, micros
+from tidemark.operators.blocks import attach, micros, spread_join
 from tidemark.operators.quantiles import exact_quantiles, quantile_columns, to_long
 from tidemark.operators.timeindex import downsample, head_rows
 
@@ -62,8 +62,7 @@ def box_summary(df: DataFrame, columns: Sequence[str], *, keys: Sequence[str] =
     reach = 1.5 * (F.col("q3") - F.col("q1"))
     inside = F.col("value").between(F.col("q1") - reach, F.col("q3") + reach)
     return (
-        to_long(df, keys, columns)
-        .join(q, group)
+        spread_join(to_long(df, keys, columns), q, group)
         .groupBy(*group, "q1", "median", "q3")
         .agg(
             F.min("value").alias("min"),

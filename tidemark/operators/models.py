@@ -8,6 +8,7 @@ from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
 from pyspark import StorageLevel
+from pyspark.errors import AnalysisException, IllegalArgumentException
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.regression import GBTRegressor, LinearRegression
@@ -29,13 +30,19 @@ SEARCH_SPACE = {
     "gamma": (0.0, 3.0, "float"),
 }
 
+TREE_PARAMETERS = frozenset([*SEARCH_SPACE, "max_bins"])
+
 
 def gbt(features: Sequence[str], label: str, params: dict | None = None, seed: int = 42) -> Pipeline:
     """Boosted trees; parameter names follow the usual boosting vocabulary.
 
-    Row and column penalties have no counterpart in the Spark learner and are ignored.
+    Penalties on leaf weights have no counterpart in the Spark learner; a parameter that is
+    not in ``TREE_PARAMETERS`` is an error.
     """
     p = dict(params or {})
+    unknown = set(p) - TREE_PARAMETERS
+    if unknown:
+        raise ValueError(f"parameters without a counterpart: {sorted(unknown)}")
     tree = GBTRegressor(
         featuresCol="features", labelCol=label, predictionCol="prediction", seed=seed,
         maxIter=int(p.get("n_estimators", 100)), stepSize=float(p.get("learning_rate", 0.1)),
@@ -231,28 +238,36 @@ class Selection:
 def select_model(train: DataFrame, val: DataFrame, label: str, candidates: Sequence[Candidate]) -> Selection:
     """Fit the enabled candidates by priority and keep the smallest validation RMSE.
 
-    A candidate that fails is skipped and reported; without any result it is an error.
+    A candidate that cannot be fitted on these data (a value or analysis error) is a row of
+    the metrics with its ``error``; other errors are raised.  Without any result it is an error.
     """
     fitted, rows, failures = {}, [], {}
     for c in sorted((c for c in candidates if c.enabled), key=lambda c: c.priority):
         try:
             model = c.fit(train)
             m = regression_metrics(score(model, val, label)).first().asDict()
-        except Exception as exc:  # one bad model must not end the comparison
+        except (ValueError, ArithmeticError, AnalysisException, IllegalArgumentException) as exc:
             failures[c.name] = f"{type(exc).__name__}: {exc}"
+            rows.append((c.name, *[None] * 5, 0, failures[c.name][:500]))
             continue
         fitted[c.name] = model
-        rows.append((c.name, *[None if m[k] is None else float(m[k]) for k in ("rmse", "mae", "mape", "smape", "r2")], int(m["n"])))
+        rows.append((c.name, *[None if m[k] is None else float(m[k]) for k in ("rmse", "mae", "mape", "smape", "r2")], int(m["n"]), None))
     scored = [r for r in rows if r[1] is not None]
     if not scored:
         raise RuntimeError(f"no candidate could be evaluated: {failures}")
     best = min(scored, key=lambda r: r[1])[0]
     table = train.sparkSession.createDataFrame(
-        rows, "model string, rmse double, mae double, mape double, smape double, r2 double, n bigint"
+        rows, "model string, rmse double, mae double, mape double, smape double, r2 double, n bigint, error string"
     )
     return Selection(best, fitted[best], table, failures)
 
 
+def fit_best(train: DataFrame, val: DataFrame, features: Sequence[str], label: str, **search) -> tuple[PipelineModel, dict, DataFrame]:
+    """Search, then fit the best parameters again on the training rows: (model, parameters, trials)."""
+    trials, best = random_search(train, val, features, label, **search)
+    return gbt(features, label, best, search.get("seed", 42)).fit(train), best, trials
+
+
 def evaluate(model, test: DataFrame, label: str, *, keys: Sequence[str] = ()) -> DataFrame:
     """Metrics of a fitted model on held-out rows."""
     return regression_metrics(score(model, test, label), keys=keys)

@@ -14,6 +14,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tidemark.operators.blocks import spread_join
+
 ACCURACY = 10_000
 # Bracket half-widths: the first whose width covers at least three ranks is used, so the
 # sketch error (n / ACCURACY + 1 ranks) always fits; tiny groups are taken whole.
@@ -81,7 +83,7 @@ def exact_quantiles(
     # with its value only for the few brackets that contain it (k < j)
     k = F.col("i")
     every = F.sequence(F.lit(0), F.lit(len(ps) - 1))
-    placed = rank_in(long.join(brackets, group), "__j", "value", "lo", len(ps), inclusive=True)
+    placed = rank_in(spread_join(long, brackets, group), "__j", "value", "lo", len(ps), inclusive=True)
     placed = rank_in(placed, "__h", "value", "hi", len(ps), inclusive=False)
     counted = (
         placed.select(*group, "n", "value", "__j", F.explode(F.sequence(F.least("__h", "__j"), F.col("__j"))).alias("i"))

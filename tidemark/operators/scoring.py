@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 MAX_BATCH = 168
@@ -68,6 +68,16 @@ def check_requests(requests: DataFrame, *, time: str = "datetime_utc", payload:
     return parsed.withColumn("valid", F.col("ts").isNotNull() & F.col("features").isNotNull())
 
 
+def collect_batches(rows: DataFrame, keys: Sequence[str], order: Sequence[str], columns: Sequence[str], limit: int = MAX_BATCH) -> DataFrame:
+    """Requests per key as arrays of at most ``limit``; longer ones continue in further batches.
+
+    Rows are dealt to batches by their number in ``order``, so no list outgrows the limit.
+    """
+    number = F.row_number().over(Window.partitionBy(*keys).orderBy(*order)) - 1
+    dealt = rows.withColumn("batch_no", F.floor(number / F.lit(limit)))
+    return dealt.groupBy(*keys, "batch_no").agg(F.collect_list(F.struct(*columns)).alias("requests"))
+
+
 def explode_batches(batches: DataFrame, requests: str = "requests") -> tuple[DataFrame, DataFrame]:
     """Requests of the batches holding 1..168 of them, and the rejected batches."""
     good = F.size(requests).between(1, MAX_BATCH)

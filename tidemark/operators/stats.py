@@ -12,12 +12,12 @@ from collections.abc import Sequence
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidemark.functions.tails import chi2_tail, f_sf, level_pvalue, normal_cdf, unit_root_pvalue
-from tidemark.operators.blocks import BLOCK_ROWS, CELL, DEFAULT_KEYS, attach, halo, with_position
-from tidemark.operators.timeindex import head_rows
+from tidemark.operators.blocks import BLOCK_ROWS, CELL, DEFAULT_KEYS, attach, halo, spread_join, with_position
 
 ACF_LAGS = 72
 # Verdicts when both tests say stationary, none does, only ADF, only KPSS.
@@ -90,7 +90,10 @@ def autocovariance(
 def acf(df: DataFrame, column: str, lags: int = ACF_LAGS, **kw) -> DataFrame:
     """Biased autocorrelations 1..lags with their 95 % bound, one row per lag."""
     keys = list(kw.get("keys", DEFAULT_KEYS))
-    g = autocovariance(df, column, lags, **kw)
+    return _acf_of(autocovariance(df, column, lags, **kw), keys)
+
+
+def _acf_of(g: DataFrame, keys: Sequence[str]) -> DataFrame:
     rows = g.select(*keys, "n", F.col("g")[0].alias("g0"), F.posexplode("g").alias("lag", "x")).filter("lag > 0")
     bound = F.lit(1.96) / F.sqrt("n")
     value = F.when(F.col("g0") > 0, F.col("x") / F.col("g0"))
@@ -104,6 +107,9 @@ def _levinson(n: int, g: np.ndarray) -> np.ndarray:
         return np.full(len(g) - 1, np.nan)
     phi, var, out = np.zeros(0), r[0], []
     for k in range(1, len(r)):
+        if not var > 1e-12 * r[0]:  # explained without rest: later orders are not defined
+            out.append(np.nan)
+            continue
         last = (r[k] - phi @ r[k - 1 : 0 : -1]) / var
         phi = np.append(phi - last * phi[::-1], last)
         var *= 1.0 - last * last
@@ -114,7 +120,10 @@ def _levinson(n: int, g: np.ndarray) -> np.ndarray:
 def pacf(df: DataFrame, column: str, lags: int = ACF_LAGS, **kw) -> DataFrame:
     """Yule-Walker partial autocorrelations 1..lags (lag sums over their term counts)."""
     keys = list(kw.get("keys", DEFAULT_KEYS))
-    g = autocovariance(df, column, lags, **kw)
+    return _pacf_of(autocovariance(df, column, lags, **kw), keys)
+
+
+def _pacf_of(g: DataFrame, keys: Sequence[str]) -> DataFrame:
     fields = _fields(g, keys)
 
     def solve(batches):
@@ -134,7 +143,8 @@ def pacf(df: DataFrame, column: str, lags: int = ACF_LAGS, **kw) -> DataFrame:
 def order_suggestion(df: DataFrame, column: str, lags: int = ACF_LAGS, **kw) -> DataFrame:
     """Suggested orders: q and p are the last significant lag of ACF and PACF (0 if none)."""
     keys = list(kw.get("keys", DEFAULT_KEYS))
-    a, p = acf(df, column, lags, **kw), pacf(df, column, lags, **kw)
+    g = autocovariance(df, column, lags, **kw)
+    a, p = _acf_of(g, keys), _pacf_of(g, keys)
 
     def last(rows: DataFrame, order: str, count: str) -> DataFrame:
         return rows.groupBy(*keys).agg(
@@ -194,15 +204,20 @@ def _bandwidth_limit(n: int) -> int:
     return max(cov, min(int(1.1447 * cov ** (2.0 / 3.0) * n ** (1.0 / 3.0)) + 1, n - 1))
 
 
-def _kpss_row(n: int, g: np.ndarray, eta: float) -> tuple[float, int, float]:
+def _kpss_row(n: int, g: np.ndarray, eta: float) -> tuple[float | None, int | None, float | None]:
+    """Statistic, bandwidth and p-value; nothing for a constant series or one below three rows."""
     cov = int(n ** (2.0 / 9.0))
     i = np.arange(1, min(cov, len(g) - 1) + 1)
     inner = 2.0 * g[i] / n
     s0 = g[0] / n + inner.sum()
+    if n < 3 or not g[0] > 0 or s0 == 0:
+        return None, None, None
     ratio = (i @ inner) / s0
     lags = min(int(1.1447 * (ratio * ratio) ** (1.0 / 3.0) * n ** (1.0 / 3.0)), n - 1)
     k = np.arange(1, lags + 1)
     long_run = (g[0] + 2.0 * (g[k] @ (1.0 - k / (lags + 1.0)))) / n
+    if not long_run > 0:
+        return None, None, None
     stat = eta / long_run
     return float(stat), lags, level_pvalue(stat)
 
@@ -228,7 +243,7 @@ def kpss(
             got = [_kpss_row(n, np.asarray(x), e) for n, x, e in zip(pdf["n"], pdf["g"], pdf["eta"])]
             out = pdf[keys].copy()
             for j, name in enumerate(("kpss_stat", "kpss_lags", "kpss_pval")):
-                out[name] = [r[j] for r in got]
+                out[name] = pd.array([r[j] for r in got], "Int32" if j == 1 else "Float64")
             yield out
 
     schema = (fields + ", " if fields else "") + "kpss_stat double, kpss_lags int, kpss_pval double"
@@ -321,13 +336,21 @@ def adf(
 
 
 def stationarity(df: DataFrame, column: str, **kw) -> DataFrame:
-    """Joint verdict of both tests and whether differencing is recommended."""
+    """Joint verdict of both tests and whether differencing is recommended.
+
+    Where a test has no result (a constant or short series), ``conclusion`` and the
+    recommendation are null and ``reason`` says so.  Series without any value have no row.
+    """
     keys = list(kw.get("keys", DEFAULT_KEYS))
     both = adf(df, column, **kw).join(kpss(df, column, **kw), keys)
     a, k = F.col("stationary_adf"), F.col("stationary_kpss")
     both_agree, neither, only_adf, only_kpss = VERDICTS
     verdict = F.when(a & k, both_agree).when(~a & ~k, neither).when(a, only_adf).otherwise(only_kpss)
-    return both.withColumn("conclusion", verdict).withColumn("differencing_recommended", ~a | ~k)
+    known = a.isNotNull() & k.isNotNull()
+    return both.withColumns({
+        "conclusion": F.when(known, verdict), "differencing_recommended": F.when(known, ~a | ~k),
+        "reason": F.when(~known, "constant or too short for the tests"),
+    })
 
 
 # ------------------------------------------------------------------ Granger causality
@@ -416,63 +439,108 @@ def granger(
 # ------------------------------------------------------------------ normality
 
 
-def shapiro_w(x: np.ndarray) -> tuple[float, float]:
-    """W statistic and p-value for 4..5000 values (Royston's approximation)."""
+# Polynomial weights of the two outer order statistics and of the
+# transformation to normality, highest order first.
+SW_OUTER = (-2.706056, 4.434685, -2.071190, -0.147981, 0.221157)
+SW_SECOND = (-3.582633, 5.682633, -1.752461, -0.293762, 0.042981)
+TIE_CHUNK = 50_000
+
+
+def _shapiro_row(n: int, sxx: float, mm: float, mx: float, low: np.ndarray, high: np.ndarray) -> tuple[float | None, float | None]:
+    """W and p from sums over all order statistics: ``sxx`` squares about the mean, ``mm`` squared
+    normal scores, ``mx`` scores times values, and the outermost values in ascending order."""
     from statistics import NormalDist
 
-    x = np.sort(np.asarray(x, dtype=float))
-    n = len(x)
-    if n < 4 or x[-1] - x[0] < 1e-19:
-        return float("nan"), float("nan")
-    m = np.array([NormalDist().inv_cdf((i - 0.375) / (n + 0.25)) for i in range(1, n + 1)])
-    ssq = m @ m
-    u = 1.0 / math.sqrt(n)
-    # Polynomial weights of the two outer order statistics and of the
-    # transformation to normality, highest order first.
-    outer = (-2.706056, 4.434685, -2.071190, -0.147981, 0.221157, m[-1] / math.sqrt(ssq))
-    second = (-3.582633, 5.682633, -1.752461, -0.293762, 0.042981, m[-2] / math.sqrt(ssq))
-    a = np.empty(n)
-    a[-1] = np.polyval(outer, u)
+    if n < 4 or high[-1] - low[0] < 1e-19:
+        return None, None
+    score = lambda i: NormalDist().inv_cdf((i - 0.375) / (n + 0.25))
+    last, before, u = score(n), score(n - 1), 1.0 / math.sqrt(n)
+    a1 = float(np.polyval((*SW_OUTER, last / math.sqrt(mm)), u))
+    outer = a1 * (high[-1] - low[0])
+    inner = mx - last * (high[-1] - low[0])
     if n > 5:
-        a[-2] = np.polyval(second, u)
-        phi = (ssq - 2 * m[-1] ** 2 - 2 * m[-2] ** 2) / (1 - 2 * a[-1] ** 2 - 2 * a[-2] ** 2)
-        a[2:-2] = m[2:-2] / math.sqrt(phi)
-        a[1] = -a[-2]
+        a2 = float(np.polyval((*SW_SECOND, before / math.sqrt(mm)), u))
+        phi = (mm - 2 * last**2 - 2 * before**2) / (1 - 2 * a1**2 - 2 * a2**2)
+        outer += a2 * (high[-2] - low[1])
+        inner -= before * (high[-2] - low[1])
     else:
-        phi = (ssq - 2 * m[-1] ** 2) / (1 - 2 * a[-1] ** 2)
-        a[1:-1] = m[1:-1] / math.sqrt(phi)
-    a[0] = -a[-1]
-    centred = x - x.mean()
-    w = min(1.0, float((a @ centred) ** 2 / (centred @ centred)))
-    log_n = math.log(n)
+        phi = (mm - 2 * last**2) / (1 - 2 * a1**2)
+    w = min(1.0, (outer + inner / math.sqrt(phi)) ** 2 / sxx)
     if n < 12:
         gamma = -2.273 + 0.459 * n
         mu = np.polyval((-0.0006714, 0.025054, -0.39978, 0.5440), n)
         sigma = math.exp(np.polyval((-0.0020322, 0.062767, -0.77857, 1.3822), n))
-        y = -math.log(gamma - math.log(1.0 - w)) if gamma - math.log(1.0 - w) > 0 else 10.0
+        y = -math.log(gamma - math.log(1.0 - w)) if w < 1.0 and gamma - math.log(1.0 - w) > 0 else -50.0
     else:
-        mu = np.polyval((0.0038915, -0.083751, -0.31082, -1.5861), log_n)
-        sigma = math.exp(np.polyval((0.0030302, -0.082676, -0.4803), log_n))
+        mu = np.polyval((0.0038915, -0.083751, -0.31082, -1.5861), math.log(n))
+        sigma = math.exp(np.polyval((0.0030302, -0.082676, -0.4803), math.log(n)))
         y = math.log(1.0 - w) if w < 1.0 else -50.0
-    return w, 1.0 - normal_cdf((y - mu) / sigma)
+    return float(w), 1.0 - normal_cdf((y - mu) / sigma)
+
+
+@F.pandas_udf(T.StructType([T.StructField("a", T.DoubleType()), T.StructField("b", T.DoubleType())]))
+def _score_sums(first: pd.Series, last: pd.Series, n: pd.Series) -> pd.DataFrame:
+    """Sum of the normal scores of ranks first..last and of their squares."""
+    from statistics import NormalDist
+
+    inv = NormalDist().inv_cdf
+    rows = []
+    for a, b, size in zip(first, last, n):
+        m = [inv((i - 0.375) / (size + 0.25)) for i in range(int(a), int(b) + 1)]
+        rows.append((math.fsum(m), math.fsum(x * x for x in m)))
+    return pd.DataFrame(rows, columns=["a", "b"])
 
 
 def shapiro(
-    df: DataFrame, column: str, *, keys: Sequence[str] = DEFAULT_KEYS, ts: str = "ts", first: int = 5000
+    df: DataFrame, column: str, *, keys: Sequence[str] = DEFAULT_KEYS, ts: str = "ts", cell: int = 20_000
 ) -> DataFrame:
-    """Shapiro-Wilk on the first 5000 residuals of each series (the test's own limit)."""
+    """Shapiro-Wilk over all values of each series (the p-value's approximation is published for
+    up to 5000 values; the statistic has no limit).
+
+    Equal values are counted first.  Ranks come from counts by value range, so that no task
+    sorts a series; a run of equal values is summed in chunks.  Null columns for a
+    constant series or one of fewer than four values.
+    """
     keys = list(keys)
-    rows = df.select(*keys, ts, F.col(column).cast("double").alias("x")).dropna("any")
-    sample = head_rows(rows, first, keys=keys, ts=ts)
+    rows = df.select(*keys, F.col(column).cast("double").alias("x")).dropna("any")
+    counts = rows.groupBy(*keys, "x").agg(F.count("*").alias("c"))
+    ends = rows.groupBy(*keys).agg(
+        F.count("*").alias("n"), F.avg("x").alias("mean"), F.min("x").alias("lo"), F.max("x").alias("hi"),
+        (F.var_pop("x") * F.count("*")).alias("sxx"),
+    )
+    joined = spread_join(counts, ends, keys) if keys else attach(counts, ends)
+    slices = F.ceil(F.col("n") / F.lit(cell))
+    place = F.floor((F.col("x") - F.col("lo")) / (F.col("hi") - F.col("lo")) * slices)
+    parts = joined.withColumn("part", F.when(F.col("hi") > F.col("lo"), F.least(place, slices - 1)).otherwise(0))
+    sizes = parts.groupBy(*keys, "part").agg(F.sum("c").alias("s"))
+    before = Window.partitionBy(*keys).orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = sizes.select(*keys, "part", F.coalesce(F.sum("s").over(before), F.lit(0)).alias("o"))
+    inside = Window.partitionBy(*keys, "part").orderBy("x").rowsBetween(Window.unboundedPreceding, 0)
+    ranked = parts.join(offsets, [*keys, "part"]).withColumn("upto", F.col("o") + F.sum("c").over(inside))
+    first = F.col("upto") - F.col("c") + 1
+    chunk = F.explode(F.sequence(first, F.col("upto"), F.lit(TIE_CHUNK)))
+    chunks = ranked.select(*keys, "n", "x", "mean", "upto", chunk.alias("a"))
+    sums = _score_sums("a", F.least(F.col("a") + TIE_CHUNK - 1, F.col("upto")), "n")
+    scored = chunks.select(*keys, "x", "mean", sums.alias("m"))
+    total = scored.groupBy(*keys).agg(F.sum(F.col("m.a") * (F.col("x") - F.col("mean"))).alias("mx"), F.sum("m.b").alias("mm"))
+    edge = lambda at, name: F.max(F.when((F.col("upto") >= at) & (F.col("upto") - F.col("c") < at), F.col("x"))).alias(name)
+    tips = ranked.groupBy(*keys).agg(edge(F.lit(1), "x1"), edge(F.lit(2), "x2"), edge(F.col("n") - 1, "x3"), edge(F.col("n"), "x4"))
+    every = attach(attach(ends, total, keys), tips, keys)
     fields = _fields(rows, keys)
 
-    def one(pdf: pd.DataFrame) -> pd.DataFrame:
-        w, p = shapiro_w(pdf["x"].to_numpy())
-        return pd.DataFrame({**{c: [pdf[c].iloc[0]] for c in keys}, "n": [len(pdf)], "shapiro_w": [w], "shapiro_pval": [p]})
+    def solve(batches):
+        for pdf in batches:
+            got = [
+                _shapiro_row(int(r.n), r.sxx, r.mm, r.mx, np.array([r.x1, r.x2], float), np.array([r.x3, r.x4], float))
+                for r in pdf.itertuples()
+            ]
+            out = pdf[[*keys, "n"]].copy()
+            for j, name in enumerate(("shapiro_w", "shapiro_pval")):
+                out[name] = pd.array([r[j] for r in got], "Float64")
+            yield out
 
     schema = (fields + ", " if fields else "") + "n bigint, shapiro_w double, shapiro_pval double"
-    out = sample.groupBy(*keys).applyInPandas(one, schema)
-    return out.withColumn("normal_residuals", F.col("shapiro_pval") > 0.05)
+    return every.mapInPandas(solve, schema).withColumn("normal_residuals", F.col("shapiro_pval") > 0.05)
 
 
 def residual_tests(df: DataFrame, column: str, *, keys: Sequence[str] = DEFAULT_KEYS, ts: str = "ts", **kw) -> DataFrame:

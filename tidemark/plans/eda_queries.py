@@ -52,13 +52,13 @@ def q_corr(t: Tables) -> DataFrame:
     return rounded(eda.correlation_matrix(t.read("lineitem"), _CORR), "corr")
 
 
+_TICKERS = ("click", "error", "purchase", "signup", "view")
+
+
 @query(with_cte("d") + """, dm AS (SELECT date_trunc('day', ts) AS ts, avg(value) AS value FROM events GROUP BY 1)
-SELECT "column", round(corr, 6) AS corr FROM (
-SELECT 'click_close' AS "column", corr(value, close) AS corr FROM dm JOIN d ON d.ts = dm.ts AND ticker = 'click'
-UNION ALL SELECT 'view_close', corr(value, close) FROM dm JOIN d ON d.ts = dm.ts AND ticker = 'view'
-UNION ALL SELECT 'signup_close', corr(value, close) FROM dm JOIN d ON d.ts = dm.ts AND ticker = 'signup')""")
+SELECT ticker || '_close' AS "column", round(corr(value, close), 6) AS corr FROM dm JOIN d ON d.ts = dm.ts GROUP BY 1""")
 def q_corr_daily(t: Tables) -> DataFrame:
-    names = ["click", "view", "signup"]
+    names = list(_TICKERS)
     closes = outer_concat(t.bars(), "ticker", names, ["close"])
     # bars sit at midnight; events align on their day
     day = F.date_trunc("day", "ts").cast("timestamp_ntz")

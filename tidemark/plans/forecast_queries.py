@@ -187,7 +187,7 @@ def q_drift_columns(t: Tables) -> DataFrame:
     return rounded(drift.column_drift(*sides(t)), "psi", "ks_stat", "ks_pvalue")
 
 
-@query(_DRIFT + """SELECT count(*) FILTER (drifted) AS n_drifted, 4::BIGINT AS n_total, count(*) FILTER (drifted) / 4.0 AS share_drifted, count(*) FILTER (drifted) / 4.0 > 0.2 AS dataset_drift,
+@query(_DRIFT + """SELECT count(*) FILTER (drifted) AS n_drifted, 4::BIGINT AS n_total, count(*) FILTER (drifted) / 4.0 AS share_drifted, count(*) FILTER (drifted) / 4.0 > 0.2 AS dataset_drift, count(*) FILTER (drifted) / 4.0 > 0.5 AS majority_drift,
 CASE WHEN count(*) FILTER (drifted) / 4.0 > 0.2 THEN 'RETRAIN' ELSE 'MONITOR' END AS action_required FROM dr""")
 def q_drift_summary(t: Tables) -> DataFrame:
     ref, cur = sides(t)
@@ -201,11 +201,11 @@ def q_missing(t: Tables) -> DataFrame:
     return rounded(drift.quality_report(*sides(t), _DRIFT_COLS), "mean", "std", digits=4)
 
 
-@query(with_cte("h", more=_SPLIT) + """SELECT series_id, ts, round(value, 6) AS value, 'reference' AS side FROM sl WHERE split = 'train' QUALIFY row_number() OVER (PARTITION BY series_id ORDER BY ts DESC) <= 168
-UNION ALL SELECT series_id, ts, round(value, 6), 'current' FROM sl WHERE split = 'test' QUALIFY row_number() OVER (PARTITION BY series_id ORDER BY ts DESC) <= 48""")
+@query(with_cte("h", more=_SPLIT) + """SELECT series_id, ts, round(value, 6) AS value, 'reference' AS side FROM sl WHERE split = 'train' QUALIFY row_number() OVER (PARTITION BY series_id ORDER BY ts DESC) <= 720
+UNION ALL SELECT series_id, ts, round(value, 6), 'current' FROM sl WHERE split = 'test' QUALIFY row_number() OVER (PARTITION BY series_id ORDER BY ts DESC) <= 168""")
 def q_drift_windows(t: Tables) -> DataFrame:
     s = ti.temporal_split(t.hourly())
-    ref, cur = drift.drift_windows(s.filter("split = 'train'"), s.filter("split = 'test'"), ref_days=7, cur_days=2)
+    ref, cur = drift.drift_windows(s.filter("split = 'train'"), s.filter("split = 'test'"))
     tag = lambda df, side: df.select("series_id", "ts", F.round("value", 6).alias("value"), F.lit(side).alias("side"))
     return tag(ref, "reference").unionByName(tag(cur, "current"))
 
@@ -297,17 +297,11 @@ def q_score_map(t: Tables) -> DataFrame:
     return scoring.score_requests(requests(t).select("event_id", "features"), list(weights), model)
 
 
-@query(f"""WITH {_REQ}, bt AS (SELECT user_id, date_trunc('day', ts) AS day, count(*) AS n FROM events GROUP BY 1, 2)
-SELECT e.user_id, e.event_id, round(p, 3) AS predicted FROM events e JOIN sc ON sc.event_id = e.event_id JOIN bt ON bt.user_id = e.user_id AND bt.day = date_trunc('day', e.ts) WHERE bt.n BETWEEN 1 AND 168""")
+@query(f"""WITH {_REQ}
+SELECT e.user_id, e.event_id, round(p, 3) AS predicted FROM events e JOIN sc ON sc.event_id = e.event_id""")
 def q_score_batch(t: Tables) -> DataFrame:
-    # one batch per user and day; batches over the limit are rejected by their count, before
-    # anything is collected, so no list is longer than the limit
     rows = requests(t).withColumn("day", F.to_date("ts"))
-    small = rows.groupBy("user_id", "day").agg(F.count("*").alias("n")).filter(F.col("n") <= scoring.MAX_BATCH)
-    batches = rows.join(small, ["user_id", "day"], "left_semi").groupBy("user_id", "day").agg(
-        F.collect_list(F.struct("event_id", "features")).alias("requests")
-    )
-    accepted, _ = scoring.explode_batches(batches)
+    accepted, _ = scoring.explode_batches(scoring.collect_batches(rows, ["user_id", "day"], ["ts", "event_id"], ["event_id", "features"]))
     rows = accepted.select("user_id", "request.event_id", "request.features")
     weights = {"k": 0.25, "value": 0.0137001}
     out = scoring.score_requests(rows, list(weights), scoring.linear_prediction(weights, 1.5))

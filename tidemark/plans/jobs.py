@@ -7,9 +7,9 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.operators import clean, decompose, drift, features, models, monitor, quality, stats
+from tidemark.operators import clean, decompose, drift, features, models, monitor, quality, scoring, stats
 from tidemark.operators import timeindex as ti
-from tidemark.operators.blocks import DEFAULT_KEYS
+from tidemark.operators.blocks import DEFAULT_KEYS, attach
 from tidemark.session import cut
 from tidemark.sources import files
 
@@ -43,23 +43,30 @@ def preprocess(
 
 def statistics_report(
     table: DataFrame, target: str, candidates: Sequence[str], *, keys: Sequence[str] = DEFAULT_KEYS, ts: str = "ts",
-    max_candidates: int = 10, max_lag: int = 24, periods: Sequence[int] = (24, 168),
+    max_lag: int = 24, periods: Sequence[int] = (24, 168),
 ) -> dict[str, DataFrame]:
-    """Stationarity (raw and first difference), STL strengths, lag orders and causality."""
+    """Stationarity (raw and first difference), STL strengths, lag orders and causality.
+
+    Lag orders are taken on the first difference of the series for which differencing is
+    recommended, else on the series itself.  All candidates with over 100 values are tested.
+    """
     from tidemark.operators.blocks import halo
 
     kw = {"keys": keys, "ts": ts}
     b = halo(table.select(*keys, ts, target), keys, ts, before=1)
     moved = b.close(b.df.withColumn("diff_1", F.col(target) - F.lag(target, 1).over(b.w)))
     filled = table.agg(*[F.count(c).alias(c) for c in candidates]).first().asDict()
-    chosen = [c for c in candidates if c != target and filled[c] > 100][:max_candidates]
+    chosen = [c for c in candidates if c != target and filled[c] > 100]
+    verdict = cut(stats.stationarity(table, target, **kw))
+    advice = verdict.select(*keys, F.coalesce("differencing_recommended", F.lit(False)).alias("__differ"))
+    chosen_form = attach(moved, advice, keys).withColumn("__order", F.when(F.col("__differ"), F.col("diff_1")).otherwise(F.col(target)))
     return {
-        "stationarity": stats.stationarity(table, target, **kw),
+        "stationarity": verdict,
         "stationarity_diff": stats.stationarity(moved, "diff_1", **kw),
         **{
             f"strength_{p}": decompose.strengths(decompose.stl(table, target, p, **kw), keys=keys) for p in periods
         },
-        "orders": stats.order_suggestion(moved, "diff_1", **kw),
+        "orders": stats.order_suggestion(chosen_form, "__order", **kw),
         **({"granger": stats.granger(table, target, chosen, max_lag, **kw)} if chosen else {}),
     }
 
@@ -82,6 +89,36 @@ def run_training(
     return picked, metrics
 
 
+def run_inference(
+    table: DataFrame, train: DataFrame, model, names: Sequence[str], *, folder: str, stamp: str, hours: int = 72,
+    width: float = 3.0, keys: Sequence[str] = DEFAULT_KEYS, ts: str = "ts", drift_rows: int = 168, prefix: str = "meteo_",
+) -> tuple[DataFrame, DataFrame]:
+    """Score the newest ``hours`` of every series, write them as batch ``stamp`` and compare the slice
+    with the last training rows: (scored rows, drift per column).
+
+    ``model`` is fitted (``transform`` adds ``prediction``) on the columns ``names``.
+    """
+    recent = ti.trailing_window(table, hours, keys=keys, ts=ts)
+    scored = model.transform(recent.dropna(subset=list(names))).withColumnRenamed("prediction", "predicted")
+    out = cut(scoring.with_band(scored.select(*keys, ts, "predicted"), width=width))
+    files.write_predictions(out.withColumn("file", F.lit(f"predictions_{stamp}")), f"{folder}/predictions")
+    columns = drift.monitored_columns(table, prefix) or list(names)
+    reference = ti.tail_rows(train, drift_rows, keys=keys, ts=ts)
+    return out, drift.column_drift(reference.select(*columns), recent.select(*columns), columns)
+
+
+def monitor_stored(
+    spark, predictions: str, actuals: DataFrame, model: str, value: str, *, folder: str,
+    keys: Sequence[str] = DEFAULT_KEYS, ts: str = "ts", hours: int = 72, batches: int = 7,
+) -> DataFrame:
+    """Monitoring job over stored artefacts: newest prediction batches against the model's stored metrics."""
+    stored = files.latest_predictions(spark, predictions, batches)
+    baseline = files.load_baseline(spark, model)
+    if keys:
+        baseline = attach(stored.select(*keys).distinct(), baseline)
+    return monitor_performance(stored, actuals, baseline, value, folder=folder, order=["file_no"], keys=keys, ts=ts, hours=hours)
+
+
 def monitor_performance(
     predictions: DataFrame, actuals: DataFrame, baseline: DataFrame, value: str, *, folder: str, order: Sequence[str],
     keys: Sequence[str] = DEFAULT_KEYS, ts: str = "ts", hours: int = 72,

@@ -54,11 +54,11 @@ def q_continuity(t: Tables) -> DataFrame:
     return rounded(ti.continuity(t.hourly()), "missing_pct")
 
 
-@query(with_cte("d") + """, x AS (SELECT ticker, ts, close, lead(ts) OVER (PARTITION BY ticker ORDER BY ts) AS nx FROM d WHERE dayofweek(ts) BETWEEN 1 AND 5),
+@query(with_cte("d") + """, x AS (SELECT ticker, ts, close, lead(ts) OVER (PARTITION BY ticker ORDER BY ts) AS nx FROM d),
 y AS (SELECT ticker, ts AS src, close, unnest(generate_series(ts, coalesce(nx - INTERVAL 1 HOUR, ts), INTERVAL 1 HOUR)) AS ts FROM x)
 SELECT ticker, ts, CASE WHEN ts <= src + INTERVAL 24 HOUR THEN close END AS close FROM y""")
 def q_upsample_ffill(t: Tables) -> DataFrame:
-    bars = t.bars().filter(F.weekday("ts") < 5).select("ticker", "ts", "close")
+    bars = t.bars().select("ticker", "ts", "close")
     return ti.upsample_ffill(bars, keys=["ticker"])
 
 
@@ -96,10 +96,12 @@ def q_left_align(t: Tables) -> DataFrame:
     return rounded(ti.left_align(t.hourly(), right), "value")
 
 
-@query(with_cte("d") + """SELECT ts, max(CASE WHEN ticker = 'click' THEN close END) AS click_close, max(CASE WHEN ticker = 'click' THEN volume END) AS click_volume,
-max(CASE WHEN ticker = 'view' THEN close END) AS view_close, max(CASE WHEN ticker = 'view' THEN volume END) AS view_volume FROM d GROUP BY ts""")
+TICKERS = ("click", "error", "purchase", "signup", "view")
+
+
+@query(with_cte("d") + "SELECT ts, " + ", ".join(f"max(CASE WHEN ticker = '{k}' THEN {c} END) AS {k}_{c}" for k in TICKERS for c in ("close", "volume")) + " FROM d GROUP BY ts")
 def q_outer_concat(t: Tables) -> DataFrame:
-    return ti.outer_concat(t.bars(), "ticker", ["click", "view"], ["close", "volume"])
+    return ti.outer_concat(t.bars(), "ticker", TICKERS, ["close", "volume"])
 
 
 @query(with_cte("h") + """SELECT series_id, ts, round(value, 6) AS value FROM h

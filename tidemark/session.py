@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
-import os
-import tempfile
+import atexit
+import contextlib
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -51,23 +52,30 @@ def prepare(spark: SparkSession) -> SparkSession:
 def shared_dir(spark: SparkSession) -> str:
     """Folder for checkpoints and intermediate tables.
 
-    The cluster names it in ``spark.checkpoint.dir``; only where that is unset (local
-    tests) a fresh temporary folder is chosen and remembered on the session.
+    The cluster names it in ``spark.checkpoint.dir``.  Only where that is unset, a fresh folder
+    below the warehouse (which driver and executors share) is chosen, remembered on the
+    session and deleted when the program ends.
     """
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if not folder:
-        folder = tempfile.mkdtemp(prefix="tidemark-")
+        folder = f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_tidemark-{uuid.uuid4().hex[:12]}"
         spark.conf.set("spark.checkpoint.dir", folder)
+        atexit.register(_remove, spark, folder)
     if spark.sparkContext.getCheckpointDir() is None:
         spark.sparkContext.setCheckpointDir(folder)
     return folder
 
 
+def _remove(spark: SparkSession, folder: str) -> None:
+    """Delete a folder of our own through Spark's file system, if the session is still there."""
+    with contextlib.suppress(Exception):  # the session may have ended before
+        path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def new_dir(spark: SparkSession, prefix: str) -> str:
     """A fresh sub-folder path below :func:`shared_dir`."""
-    import uuid
-
-    return os.path.join(shared_dir(spark), f"{prefix}-{uuid.uuid4().hex[:12]}")
+    return f"{shared_dir(spark).rstrip('/')}/{prefix}-{uuid.uuid4().hex[:12]}"
 
 
 def cut(df: DataFrame) -> DataFrame:

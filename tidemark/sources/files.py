@@ -3,8 +3,12 @@
 from __future__ import annotations
 
 import json
+import re
+import warnings
 from collections.abc import Sequence
 
+from py4j.protocol import Py4JJavaError
+from pyspark.errors import PySparkException
 from pyspark.ml import PipelineModel
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -70,23 +74,26 @@ def read_market_csv(spark: SparkSession, path: str, *, ts: str = "ts") -> DataFr
     )
 
 
-def latest_predictions(spark: SparkSession, path: str, files: int = 7, *, marker: str = "predictions_") -> DataFrame:
-    """Rows of the ``files`` newest prediction batches by name, unreadable files skipped.
+def latest_predictions(spark: SparkSession, path: str, files: int = 7, *, skip_unreadable: bool = False) -> DataFrame:
+    """Rows of the ``files`` newest batches written by :func:`write_predictions`.
 
-    Batches are told apart by the ``predictions_<stamp>`` part of their path; ``file_no``
-    is 0 for the oldest batch kept.
+    Batches are told apart by their partition column ``file``; older ones are not read.
+    ``file_no`` is 0 for the oldest batch kept.  An unreadable batch is an error, or with
+    ``skip_unreadable`` is left out with a warning that names it.
     """
-    rows = (
-        spark.read.option("ignoreCorruptFiles", True).option("recursiveFileLookup", True).parquet(path)
-        .withColumn("file", F.regexp_extract(F.col("_metadata.file_path"), f"({marker}[0-9_]+)", 1))
-        .filter(F.col("file") != "")
-    )
-    # at most `files` names: small by construction
-    newest = rows.select("file").distinct().orderBy(F.col("file").desc()).limit(files)
-    ordered = newest.agg(F.array_sort(F.collect_list("file")).alias("names")).select(
-        F.posexplode("names").alias("file_no", "file")
-    )
-    return rows.join(F.broadcast(ordered), "file")
+    stored = spark.read.parquet(path)
+    names = sorted({m[1] for f in stored.inputFiles() if (m := re.search(r"/file=([^/]+)/", f))})[-files:]
+    places = {n: f"{path.rstrip('/')}/file={n}" for n in names}
+    if skip_unreadable:
+        for name, place in list(places.items()):
+            try:
+                spark.read.schema(stored.drop("file").schema).parquet(place).write.format("noop").mode("overwrite").save()
+            except (PySparkException, Py4JJavaError) as error:
+                warnings.warn(f"prediction batch {name} cannot be read: {str(error)[:200]}", stacklevel=2)
+                del places[name]
+    rows = spark.read.option("basePath", path).schema(stored.schema).parquet(*places.values()) if places else stored.limit(0)
+    number = F.array_position(F.array(*[F.lit(n) for n in places]) if places else F.array(F.lit("")), F.col("file").cast("string")) - 1
+    return rows.withColumn("file_no", number.cast("int"))
 
 
 def write_predictions(df: DataFrame, path: str, *, stamp: str = "file") -> None:
@@ -124,6 +131,13 @@ def load_model(path: str, spark: SparkSession, fallback: str | None = None) -> t
     raise FileNotFoundError(path)
 
 
+def load_baseline(spark: SparkSession, path: str, metrics: Sequence[str] = ("rmse", "mae", "mape", "r2")) -> DataFrame:
+    """One row with the test metrics stored with a model by :func:`save_model`; absent ones are null."""
+    stored = json.loads(spark.read.text(f"{path}/metadata").first().value).get("metrics") or {}
+    row = [None if stored.get(m) is None else float(stored[m]) for m in metrics]
+    return spark.createDataFrame([row], ", ".join(f"{m} double" for m in metrics))
+
+
 def log_run(spark: SparkSession, path: str, run_id: str, params: dict, metrics: dict) -> None:
     """Append one experiment row."""
     row = [(run_id, {k: str(v) for k, v in params.items()}, {k: float(v) for k, v in metrics.items()})]
@@ -141,7 +155,7 @@ def best_logged_run(spark: SparkSession, path: str, metric: str = "rmse") -> Dat
 def load_splits(spark: SparkSession, path: str) -> DataFrame:
     """Feature table partitioned by ``split``; all three parts must be there."""
     table = spark.read.parquet(path)
-    found = {r.split for r in table.select("split").distinct().collect()}
+    found = {m[1] for f in table.inputFiles() if (m := re.search(r"/split=([^/]+)/", f))}
     missing = {"train", "val", "test"} - found
     if missing:
         raise FileNotFoundError(f"missing splits: {sorted(missing)}")
