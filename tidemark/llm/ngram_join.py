@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 
 from tidemark.llm.components import components
 from tidemark.llm.sketch import block_batch, marked, merged
-from tidemark.llm.text import WordHashes, map_rows, mix, saved, shingles
+from tidemark.llm.text import WordHashes, map_rows, mix, pieces, saved, shingles
 
 
 @dataclass(frozen=True)
@@ -70,23 +70,20 @@ def profile(docs: DataFrame, spec: JoinSpec) -> DataFrame:
 
     def run(batches):
         hashes, counts = WordHashes(), np.zeros(size, np.uint32)
-        for batch in batches:
+        for batch in pieces(batches):
             rows, held = [], []
             for text in batch.column("text").to_pylist():
                 s = shingles(hashes, text, spec.shingle)
                 held.append(s)
                 rows.append((len(s), int(s.sum(dtype=np.uint64).view(np.int64)), int(np.bitwise_xor.reduce(mix(s)).view(np.int64)) if len(s) else 0))
-                if len(held) == 2000:
-                    counts += np.bincount((np.concatenate(held) >> shift).astype(np.int64), minlength=size).astype(np.uint32)
-                    held = []
-            if held:
-                counts += np.bincount((np.concatenate(held) >> shift).astype(np.int64), minlength=size).astype(np.uint32)
+            seen, often = np.unique(np.concatenate(held) >> shift, return_counts=True)
+            counts[seen.astype(np.int64)] += often.astype(np.uint32)
             empty = pa.nulls(len(rows), pa.int32()), pa.nulls(len(rows), pa.binary())
             yield pa.RecordBatch.from_arrays([batch.column("doc"), *[pa.array(c, pa.int64()) for c in zip(*rows)], *empty], schema=schema)
         found = block_batch(counts)
         yield pa.RecordBatch.from_arrays([*[pa.nulls(found.num_rows, pa.int64())] * 4, *found.columns], schema=schema)
 
-    return docs.mapInArrow(lambda it: run(b for b in it if b.num_rows), "doc long, n long, s1 long, s2 long, block int, data binary")
+    return docs.mapInArrow(run, "doc long, n long, s1 long, s2 long, block int, data binary")
 
 
 def frequency_levels(profiled: DataFrame, spec: JoinSpec) -> np.ndarray:
@@ -123,7 +120,7 @@ def stars(docs: DataFrame, levels, spec: JoinSpec) -> DataFrame:
         orders, hashes = Orders(mean.value, spec), WordHashes()
         typical = float(np.median(orders.levels)) if len(orders.levels) else 0.0
         hot_from = int(np.log2(2 * 2.0**typical + spec.hot_count))
-        for batch in batches:
+        for batch in pieces(batches):
             keys, tokens, ids, prefs = [], [], [], []
             for doc, text in zip(batch.column("doc").to_pylist(), batch.column("text").to_pylist()):
                 s = shingles(hashes, text, spec.shingle)

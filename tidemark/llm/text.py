@@ -64,8 +64,8 @@ def shingles(hashes: WordHashes, text: str | None, size: int = 5) -> np.ndarray:
     return np.unique(windows(ids, min(size, len(ids))))
 
 
-def map_rows(df: DataFrame, schema: str, make: Callable[[], Callable[[dict], dict]]) -> DataFrame:
-    """Arrow batches through ``make()(columns) -> columns``; ``make`` runs once in each task."""
+def map_rows(df: DataFrame, schema: str, make: Callable[[], Callable[[dict], dict]], rows: int = 1000) -> DataFrame:
+    """Pieces of at most ``rows`` rows through ``make()(columns) -> columns``; ``make`` runs once in each task."""
     from pyspark.sql.types import StructType
     from pyspark.sql.pandas.types import to_arrow_schema
 
@@ -73,15 +73,19 @@ def map_rows(df: DataFrame, schema: str, make: Callable[[], Callable[[dict], dic
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         work = make()
-        for batch in batches:
-            if batch.num_rows:
-                out = work({n: batch.column(i) for i, n in enumerate(batch.schema.names)})
-                if out is not None:
-                    yield to_batch(out, target)
+        for batch in pieces(batches, rows):
+            yield to_batch(work({n: batch.column(i) for i, n in enumerate(batch.schema.names)}), target)
 
     return df.mapInArrow(run, schema)
 
 
+def pieces(batches: Iterator[pa.RecordBatch], rows: int = 1000) -> Iterator[pa.RecordBatch]:
+    """Non-empty slices of the batches: what a task makes of one slice stays small."""
+    for batch in batches:
+        for lo in range(0, batch.num_rows, rows):
+            yield batch.slice(lo, rows)
+
+
 def to_batch(columns: dict, schema: pa.Schema) -> pa.RecordBatch:
     arrays = [c if isinstance(c := columns[f.name], pa.Array) and c.type == f.type else pa.array(c, f.type) for f in schema]
     return pa.RecordBatch.from_arrays(arrays, schema=schema)
