@@ -6,6 +6,7 @@ import math
 
 import numpy as np
 import pandas as pd
+from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -84,6 +85,14 @@ def chi2_tail(x: pd.Series, k: pd.Series) -> pd.Series:
     return pd.Series([None if pd.isna(v) else chi2_sf(float(v), float(d)) for v, d in zip(x, k)], dtype="float64")
 
 
+def chi2_tail_even(x: Column, degrees: int) -> Column:
+    """Chi-square tail for an even number of degrees: a finite sum, by Horner's rule."""
+    half, total = x / 2.0, F.lit(1.0)
+    for i in range(degrees // 2 - 1, 0, -1):
+        total = 1.0 + half / float(i) * total
+    return F.exp(-half) * total
+
+
 # Response-surface coefficients of the unit-root test with a constant
 # (published tables), lowest order first, and the range they hold in.
 UNIT_ROOT_SMALL = (2.1659, 1.4412, 0.038269)

@@ -15,7 +15,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.operators.blocks import CELL, DEFAULT_KEYS, from_micros, halo, micros, seconds, with_position
+from tidemark.operators.blocks import CELL, DEFAULT_KEYS, attach, from_micros, halo, micros, seconds, with_position
 from tidemark.operators.stats import _fields, _sum_arrays
 from tidemark.operators.timeindex import tail_rows
 
@@ -46,7 +46,10 @@ def fit(
     df: DataFrame, column: str, *, season: int = 24, keys: Sequence[str] = DEFAULT_KEYS, ts: str = "ts",
     size: int | None = None, cell: str = CELL, long_order: int | None = None,
 ) -> DataFrame:
-    """Per series: ``phi`` (long autoregression) and ``theta`` (own lags, then shock lags)."""
+    """Per series: ``phi`` (long autoregression), ``theta`` (own lags, then shock lags), ``n_rows``.
+
+    A series too short to be fitted keeps its row with null coefficients and a ``reason``.
+    """
     keys = list(keys)
     lags = _orders(season)
     order = long_order or 2 * season + 4
@@ -90,25 +93,31 @@ def fit(
     known = b.df.join(phi, keys)
     gram = known.groupBy(*b.partition).applyInPandas(products(b.size, lags, True, deep), schema)
     theta = _solve(_sum_arrays(gram, keys), keys, 2 * len(lags) + 1, "theta")
-    return phi.join(theta, keys)
+    every = rows.groupBy(*keys).agg(F.max("n").alias("n_rows"))
+    fitted = attach(attach(every, phi, keys), theta, keys)
+    return fitted.withColumn("reason", F.when(F.col("theta").isNull(), f"fewer than {2 * depth + 2 * season + 1} rows"))
 
 
 def forecast(
     df: DataFrame, model: DataFrame, column: str, steps: int, *, season: int = 24, step: str = "1 hour",
     keys: Sequence[str] = DEFAULT_KEYS, ts: str = "ts", long_order: int | None = None,
 ) -> DataFrame:
-    """``steps`` values after the last row of every fitted series."""
+    """``steps`` values after the last row of every series; null where the series was not fitted."""
     keys = list(keys)
     lags, order = _orders(season), long_order or 2 * season + 4
     need = season + 1 + order + max(lags) + 1
     rows = df.select(*keys, ts, F.col(column).cast("double").alias("y")).dropna("any")
-    tail = tail_rows(rows, need, keys=keys, ts=ts).join(model, keys)
+    tail = tail_rows(rows, need, keys=keys, ts=ts).join(model.select(*keys, "phi", "theta"), keys)
     prefix = _fields(rows, keys)
     prefix = prefix + ", " if prefix else ""
 
     def one(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values("__us")
         y = list(pdf["y"])
+        if pdf["theta"].iloc[0] is None:
+            last = int(pdf["__us"].iloc[-1])
+            times = [last + (i + 1) * seconds(step) * 1_000_000 for i in range(steps)]
+            return pd.DataFrame({**{c: [pdf[c].iloc[0]] * steps for c in keys}, "__us": times, "predicted": [None] * steps})
         arr = np.asarray(y)
         w = arr[season + 1 :] - arr[season:-1] - arr[1 : len(arr) - season] + arr[: len(arr) - season - 1]
         e = w.copy()

@@ -237,14 +237,13 @@ def build_features(
     size: int | None = None,
     cell: str = CELL,
     drop: bool = True,
-    materialize: bool = True,
+    materialize: bool = False,
 ) -> DataFrame:
     """All features and the lead target; rows with any null are dropped.
 
     Lags, rolling frames, differences and the target share one block shuffle and sort;
     the exponentially weighted means add one more.  The block summaries read the input
-    again, so it is checkpointed first unless ``materialize`` is off (a plain table scan
-    needs no checkpoint).
+    again: with ``materialize`` it is checkpointed first, otherwise the plan stays lazy.
     """
     prepare(df.sparkSession)
     if step is None:

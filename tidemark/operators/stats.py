@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.functions.tails import chi2_tail, f_sf, level_pvalue, normal_cdf, unit_root_pvalue
+from tidemark.functions.tails import chi2_tail, chi2_tail_even, f_sf, level_pvalue, normal_cdf, unit_root_pvalue
 from tidemark.operators.blocks import BLOCK_ROWS, CELL, DEFAULT_KEYS, attach, halo, spread_join, with_position
 
 ACF_LAGS = 72
@@ -165,9 +165,9 @@ def ljung_box(df: DataFrame, column: str, at: Sequence[int] = (10, 20, 40), **kw
     wide = terms.groupBy(*keys, "n").agg(
         *[(scale * F.sum(F.when(F.col("lag") <= h, share))).alias(f"q{h}") for h in at]
     )
-    rows = [F.struct(F.lit(h).alias("lag"), F.col(f"q{h}").alias("lb_stat")) for h in at]
-    out = wide.select(*keys, F.inline(F.array(*rows)))
-    return out.withColumn("lb_pvalue", chi2_tail(F.col("lb_stat"), F.col("lag").cast("double")))
+    tail = lambda h: chi2_tail_even(F.col(f"q{h}"), h) if h % 2 == 0 else chi2_tail(F.col(f"q{h}"), F.lit(float(h)))
+    rows = [F.struct(F.lit(h).alias("lag"), F.col(f"q{h}").alias("lb_stat"), tail(h).alias("lb_pvalue")) for h in at]
+    return wide.select(*keys, F.inline(F.array(*rows)))
 
 
 def durbin_watson(

@@ -56,7 +56,7 @@ def q_validate_weather(t: Tables) -> DataFrame:
 @query(with_cte("d") + """SELECT 'data_not_empty' AS check_name, count(*) > 0 AS passed, count(*)::DOUBLE AS observed, 0.0::DOUBLE AS threshold, true AS critical FROM d
 UNION ALL SELECT 'close_positive_close', avg((close > 0)::INT) >= 0.99, round(avg((close > 0)::INT), 6), 0.99, false FROM d
 UNION ALL SELECT 'close_no_nulls_close', avg((close IS NULL)::INT) < 0.2, round(avg((close IS NULL)::INT), 6), 0.2, false FROM d
-UNION ALL SELECT 'index_unique', true, 0.0, 0.0, true""")
+UNION ALL SELECT 'index_unique', count(*) = count(DISTINCT (ticker, ts)), (count(*) - count(DISTINCT (ticker, ts)))::DOUBLE, 0.0, true FROM d""")
 def q_validate_market(t: Tables) -> DataFrame:
     return rounded(quality.validate_market(t.bars(), keys=["ticker"]), "observed")
 

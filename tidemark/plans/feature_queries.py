@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from tidemark.functions import calendar, weather
 from tidemark.operators import features as fe
 from tidemark.plans.registry import Tables, query, rounded, with_cte
+from tidemark.session import cut
 
 _CYC = {
     "hour": "hour(ts) / 24.0", "dow": "(isodow(ts) - 1) / 7.0", "month": "month(ts) / 12.0", "doy": "dayofyear(ts) / 365.25",
@@ -170,9 +171,9 @@ def _tidy(df: DataFrame) -> DataFrame:
 
 @query(_features_sql(_LAGS, (6, 24, 168), (1, 24, 168), 24))
 def q_features_full(t: Tables) -> DataFrame:
-    return _tidy(fe.build_features(t.hourly(), fe.FeatureSpec(target="value")))
+    return _tidy(fe.build_features(cut(t.hourly()), fe.FeatureSpec(target="value")))
 
 
 @query(_features_sql((1, 2, 3, 6, 12, 24, 48), (6, 24), (1, 24, 168), None))
 def q_inference_features(t: Tables) -> DataFrame:
-    return _tidy(fe.build_features(t.hourly(), fe.FeatureSpec(target="value").for_scoring()))
+    return _tidy(fe.build_features(cut(t.hourly()), fe.FeatureSpec(target="value").for_scoring()))

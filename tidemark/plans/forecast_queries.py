@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from tidemark.functions.metrics import regression_metrics
 from tidemark.operators import baselines, clean, drift, eda, features, monitor, quality, scoring
 from tidemark.operators import timeindex as ti
-from tidemark.plans.registry import Tables, query, rounded, with_cte
+from tidemark.plans.registry import CTE, Tables, query, rounded, with_cte
 from tidemark.session import cut
 
 _M = ("rmse", "mae", "mape", "smape", "r2")
@@ -345,13 +345,13 @@ fb AS (SELECT *, row_number() OVER (PARTITION BY series_id ORDER BY ts) - 1 AS p
 fc AS (SELECT series_id, CASE WHEN pos < floor(n * 0.8::DOUBLE) THEN 'train' WHEN pos < floor(n * (0.8::DOUBLE + 0.1::DOUBLE)) THEN 'val' ELSE 'test' END AS split, target AS actual, bv AS predicted FROM fb)"""
 
 
-@query(with_cte("h", "g", "gg", "nb", "nb_interp", more=_FLAG) + f"SELECT series_id, split, {_metric_sql()} FROM fc GROUP BY 1, 2")
+@query(with_cte("h", "g", more=",\n".join(["gg AS (SELECT series_id, ts, value FROM g)", CTE["nb"], CTE["nb_interp"], _FLAG])) + f"SELECT series_id, split, {_metric_sql()} FROM fc GROUP BY 1, 2")
 def q_flagship(t: Tables) -> DataFrame:
     """Impute, build features, split in time and score the last value as the 24 h forecast."""
-    filled = clean.impute(cut(t.gappy()), ["value"], step="1 hour")
+    filled = clean.impute(t.grid(), ["value"], step="1 hour")
     spec = features.FeatureSpec(target="value", lags=(24, 168), windows=(24,), diffs=(24,), derived=False)
     b_cols = ["value", "value_lag_24h", "value_lag_168h", "value_roll_mean_24h", "target_24h"]
     table = features.build_features(filled, spec, step="1 hour", drop=False).dropna(subset=b_cols)
-    split = ti.temporal_split(cut(table))
+    split = ti.temporal_split(table)
     scored = split.select("series_id", "split", F.col("target_24h").alias("actual"), F.col("value").alias("predicted"))
     return rounded(regression_metrics(scored, keys=["series_id", "split"]), *_M)

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -39,7 +41,13 @@ def q_ljungbox_stat(t: Tables) -> DataFrame:
     return rounded(stats.ljung_box(t.hourly(), "value").drop("lb_pvalue"), "lb_stat")
 
 
-@query()
+def _chi2_sql(x: str, degrees: int) -> str:
+    terms = [f"pow({x} / 2, {i}) / {math.factorial(i)}::DOUBLE" for i in range(degrees // 2)]
+    return f"exp(-{x} / 2) * ({' + '.join(terms)})"
+
+
+@query(with_cte("h", more=_CEN + ",\n" + _lag_sums(40)) + " UNION ALL ".join(
+    f"SELECT series_id, {h} AS lag, round(x, 6) AS lb_stat, round({_chi2_sql('x', h)}, 6) AS lb_pvalue FROM (SELECT series_id, any_value(n) * (any_value(n) + 2) * sum(r * r / (n - lag)) AS x FROM ac WHERE lag <= {h} GROUP BY 1)" for h in (10, 20, 40)))
 def q_ljungbox(t: Tables) -> DataFrame:
     return rounded(stats.ljung_box(t.hourly(), "value"), "lb_stat", "lb_pvalue")
 
@@ -89,7 +97,18 @@ def q_adf(t: Tables) -> DataFrame:
     return rounded(stats.adf(t.hourly(), "value"), "adf_stat", "adf_pval")
 
 
-@query()
+@query(with_cte("h") + """, e0 AS (SELECT series_id, ts, value - avg(value) OVER (PARTITION BY series_id) AS e, row_number() OVER (PARTITION BY series_id ORDER BY ts) AS rn,
+count(*) OVER (PARTITION BY series_id) AS n FROM h),
+es AS (SELECT *, sum(e) OVER (PARTITION BY series_id ORDER BY rn ROWS UNBOUNDED PRECEDING) AS s FROM e0),
+et AS (SELECT series_id, any_value(n) AS n, sum(s * s) / pow(any_value(n), 2) AS eta, sum(e * e) AS g0, floor(pow(any_value(n), 2.0 / 9.0)) AS cov FROM es GROUP BY 1),
+gk AS (SELECT a.series_id, a.rn - b.rn AS k, sum(a.e * b.e) AS g FROM e0 a JOIN e0 b ON a.series_id = b.series_id AND a.rn - b.rn BETWEEN 1 AND 60 GROUP BY 1, 2),
+rt AS (SELECT et.series_id, any_value(n) AS n, any_value(eta) AS eta, any_value(g0) AS g0,
+sum(k * 2 * g / n) FILTER (k <= cov) / (any_value(g0) / any_value(n) + sum(2 * g / n) FILTER (k <= cov)) AS ratio FROM et JOIN gk ON gk.series_id = et.series_id GROUP BY 1),
+lg AS (SELECT *, least(floor(1.1447 * pow(ratio * ratio, 1.0 / 3.0) * pow(n, 1.0 / 3.0)), n - 1) AS lags FROM rt),
+st AS (SELECT lg.series_id, any_value(lags) AS lags, any_value(eta) / ((any_value(g0) + 2 * coalesce(sum(g * (1 - k / (lags + 1.0))) FILTER (k <= lags), 0)) / any_value(n)) AS stat FROM lg JOIN gk ON gk.series_id = lg.series_id GROUP BY 1),
+pv AS (SELECT *, CASE WHEN stat <= 0.347 THEN 0.1 WHEN stat <= 0.463 THEN 0.1 - 0.05 * (stat - 0.347) / 0.116 WHEN stat <= 0.574 THEN 0.05 - 0.025 * (stat - 0.463) / 0.111
+WHEN stat <= 0.739 THEN 0.025 - 0.015 * (stat - 0.574) / 0.165 ELSE 0.01 END AS p FROM st)
+SELECT series_id, round(stat, 6) AS kpss_stat, lags::INT AS kpss_lags, round(p, 6) AS kpss_pval, p > 0.05 AS stationary_kpss FROM pv""")
 def q_kpss(t: Tables) -> DataFrame:
     return rounded(stats.kpss(t.hourly(), "value"), "kpss_stat", "kpss_pval")
 
@@ -117,3 +136,15 @@ def q_residual_tests(t: Tables) -> DataFrame:
     resid = naive(t).dropna().withColumn("resid", F.col("actual") - F.col("predicted"))
     out = stats.residual_tests(resid, "resid")
     return rounded(out, "ljung_box_pmin", "shapiro_w", "shapiro_pval", "durbin_watson")
+
+
+@query()
+def q_battery(t: Tables) -> DataFrame:
+    """Verdict, lag orders and weekly strengths per daily series in one row."""
+    from tidemark.plans import jobs
+
+    wide = t.daily().withColumn("mean_price", F.col("value") / F.col("n"))
+    out = jobs.statistics_report(wide, "value", ["n", "mean_price"], max_lag=12, periods=(7,))
+    row = out["stationarity"].select("series_id", "adf_stat", "kpss_stat", "conclusion", "differencing_recommended")
+    row = row.join(out["orders"], "series_id").join(out["strength_7"], "series_id")
+    return rounded(row, "adf_stat", "kpss_stat", "seasonal_strength", "trend_strength", digits=5)

@@ -125,9 +125,11 @@ def q_year_chunks(t: Tables) -> DataFrame:
 
 @query("""WITH f AS (SELECT ts, event_id FROM events ORDER BY ts, event_id LIMIT 100),
 s AS (SELECT (epoch_us(ts) - lag(epoch_us(ts)) OVER (ORDER BY ts, event_id)) / 1000000.0 AS d FROM f),
-m AS (SELECT d FROM s WHERE d IS NOT NULL GROUP BY d ORDER BY count(*) DESC, d LIMIT 1)
-SELECT count(*) AS n_rows, 6 AS n_columns, min(ts) AS ts_min, max(ts) AS ts_max, 0.0 AS max_null_share, 0 AS n_sparse_columns,
-'bigint:2,double:1,string:2,timestamp_ntz:1' AS column_types, (SELECT round(d, 6) FROM m) AS step_seconds FROM events""")
+m AS (SELECT d FROM s WHERE d IS NOT NULL GROUP BY d ORDER BY count(*) DESC, d LIMIT 1),
+k AS (SELECT CASE data_type WHEN 'VARCHAR' THEN 'string' WHEN 'TIMESTAMP' THEN 'timestamp_ntz' ELSE lower(data_type) END AS kind FROM duckdb_columns() WHERE table_name = 'events'),
+u AS (SELECT unnest([avg((event_id IS NULL)::INT), avg((ts IS NULL)::INT), avg((user_id IS NULL)::INT), avg((event_type IS NULL)::INT), avg((value IS NULL)::INT), avg((props IS NULL)::INT)]) AS share FROM events)
+SELECT count(*) AS n_rows, (SELECT count(*)::INT FROM k) AS n_columns, min(ts) AS ts_min, max(ts) AS ts_max, (SELECT max(share) FROM u) AS max_null_share, (SELECT count(*) FILTER (share > 0.1)::INT FROM u) AS n_sparse_columns,
+(SELECT string_agg(kind || ':' || c, ',' ORDER BY kind) FROM (SELECT kind, count(*) AS c FROM k GROUP BY 1)) AS column_types, (SELECT round(d, 6) FROM m) AS step_seconds FROM events""")
 def q_profile(t: Tables) -> DataFrame:
     return rounded(profile(t.events(), tie=["event_id"]), "step_seconds")
 
@@ -142,8 +144,11 @@ def q_null_share(t: Tables) -> DataFrame:
 @query(with_cte("h") + """SELECT series_id, ts, round(value, 6) AS value FROM h
 WHERE ts >= (SELECT max(ts) FROM h) - INTERVAL 48 HOUR AND ts <= (SELECT max(ts) FROM h)""")
 def q_recent_slice(t: Tables) -> DataFrame:
-    h = t.hourly()
-    return rounded(ti.recent_slice(h, h.agg(F.max("ts")).scalar(), 48), "value")
+    # whole hours: the slice is cut from the raw rows, where the filter reaches the scan
+    newest = t.events().agg((F.date_trunc("hour", F.max("ts")) + F.expr("INTERVAL 1 HOUR") - F.expr("INTERVAL 1 MICROSECOND")).cast("timestamp_ntz").alias("m"))
+    first = newest.select(F.date_trunc("hour", F.col("m") - F.expr("INTERVAL 48 HOURS")).cast("timestamp_ntz")).scalar()
+    e = t.events().filter((F.col("ts") >= first) & (F.col("ts") <= newest.scalar())).withColumnRenamed("event_type", "series_id")
+    return rounded(ti.downsample(e, "1 hour", {"value": F.avg("value")}), "value")
 
 
 @query("SELECT event_id, ts, user_id, value FROM events")
