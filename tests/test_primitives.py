@@ -6,7 +6,7 @@ import pytest
 from conftest import column, frame
 from pyspark.sql import functions as F
 
-from tidemark.operators import clean, features, quantiles
+from tidemark.operators import blocks, clean, features, quantiles
 from tidemark.operators import timeindex as ti
 from tidemark.operators.blocks import cell_scan
 
@@ -122,3 +122,14 @@ def test_split_is_chronological(spark):
     row = ti.split_integrity(split).first()
     assert row.train_before_val and row.val_before_test
     assert (row.n_train, row.n_val, row.n_test) == (800, 100, 100)
+
+
+def test_cells_follow_the_number_of_rows(spark, monkeypatch):
+    monkeypatch.setattr(blocks, "CELL_ROWS", 50)
+    sparse = frame(spark, np.arange(60.0))
+    dense = spark.range(6000).select(F.lit("b").alias("series_id"), F.timestamp_micros(F.lit(1704067200000000) + F.col("id") * 36000000).cast("timestamp_ntz").alias("ts"), F.col("id").cast("double").alias("value"))
+    df = sparse.unionByName(dense)
+    cells = {r.series_id: r["__cells"] for r in blocks.row_spans(df, ["series_id"], "ts").collect()}
+    assert cells == {"a": 2, "b": 120}  # 100 times the rows in the same time: no larger cells
+    out = blocks.with_position(df, ["series_id"], "ts", name="pos", total="n")
+    assert out.filter("pos <> value").count() == 0 and {(r.series_id, r.n) for r in out.select("series_id", "n").distinct().collect()} == {("a", 60), ("b", 6000)}

@@ -44,7 +44,7 @@ def _solve(rows: DataFrame, keys: list[str], width: int, name: str) -> DataFrame
 
 def fit(
     df: DataFrame, column: str, *, season: int = 24, keys: Sequence[str] = DEFAULT_KEYS, ts: str = "ts",
-    size: int | None = None, cell: str = CELL, long_order: int | None = None,
+    size: int | None = None, cell: str | None = CELL, long_order: int | None = None,
 ) -> DataFrame:
     """Per series: ``phi`` (long autoregression), ``theta`` (own lags, then shock lags), ``n_rows``.
 

@@ -37,7 +37,7 @@ def fold_bounds(n: Column, k: int, gap: int, fold: int) -> tuple[Column, Column,
 
 def walk_forward(
     df: DataFrame, *, k: int = 5, gap: int = 24, keys: Sequence[str] = DEFAULT_KEYS, ts: str = "ts",
-    tie: Sequence[str] = (), cell: str = CELL,
+    tie: Sequence[str] = (), cell: str | None = CELL,
 ) -> DataFrame:
     """Add ``pos``, ``n_series`` and ``fold`` (the fold a row is tested in, else null).
 
@@ -74,7 +74,7 @@ def walk_forward_summary(per_fold: DataFrame, *, keys: Sequence[str] = DEFAULT_K
 
 def walk_forward_mean(
     df: DataFrame, column: str, *, k: int = 5, gap: int = 24, keys: Sequence[str] = DEFAULT_KEYS, ts: str = "ts",
-    tie: Sequence[str] = (), cell: str = CELL,
+    tie: Sequence[str] = (), cell: str | None = CELL,
 ) -> DataFrame:
     """Walk-forward of the training mean: all folds' means come from one aggregate."""
     rows = walk_forward(df, k=k, gap=gap, keys=keys, ts=ts, tie=tie, cell=cell)

@@ -7,7 +7,8 @@ building blocks instead:
 * :func:`cell_scan` - running sums and last/next non-null values over a whole series.
   Rows are grouped by (series, time cell); one summary row per cell is scanned per
   series and joined back, and the exact per-row answer comes from a window inside the
-  cell.  Tasks hold one cell, never one series.
+  cell.  A series is cut into as many equal time cells as its number of rows asks for
+  (about ``CELL_ROWS`` each), so tasks hold one cell, never one series, however dense.
 * :func:`halo` - bounded row frames (lag, rolling, bounded fill).  Rows are grouped by
   (series, block of ``size`` positions); the rows near a block edge are also copied
   into the neighbouring block, so that every frame is complete inside one block.
@@ -25,7 +26,8 @@ from pyspark.sql import functions as F
 
 DEFAULT_KEYS = ("series_id",)
 BLOCK_ROWS = 32_768
-CELL = "30 days"
+CELL = None  # cells by row count
+CELL_ROWS = 65_536
 
 _UNIT_SECONDS = {"second": 1, "minute": 60, "hour": 3_600, "day": 86_400, "week": 604_800}
 
@@ -60,7 +62,8 @@ def cell_scan(
     keys: Sequence[str],
     order: str | Column,
     *,
-    cell: str | int = CELL,
+    cell: str | int | None = CELL,
+    spans: DataFrame | None = None,
     tie: Sequence[str] = (),
     running: Mapping[str, Column] | None = None,
     totals: Mapping[str, Column] | None = None,
@@ -73,16 +76,24 @@ def cell_scan(
 
     ``running`` adds inclusive running sums, ``totals`` per-series sums, ``prev`` the
     last and ``nxt`` the next non-null value of an expression (including the row
-    itself unless ``exclusive``).  ``numeric=True`` orders by a number and ``cell`` is
-    then a width in that number.
+    itself unless ``exclusive``).  ``cell`` fixes the width of the cells; by default it follows
+    from the number of rows of each series (``spans``: the result of :func:`row_spans` where a caller
+    has it already).  ``numeric=True`` orders by a number and ``cell`` is then a width in that number.
     """
     running, totals = dict(running or {}), dict(totals or {})
     prev, nxt = dict(prev or {}), dict(nxt or {})
     keys = list(keys)
     axis = F.col(order) if isinstance(order, str) else order
-    width = float(cell) if numeric else float(seconds(cell) * 1_000_000)
     position = axis.cast("double") if numeric else micros(axis).cast("double")
-    rows = df.withColumn("__cell", F.floor(position / F.lit(width)))
+    if cell is None:
+        spans = row_spans(df, keys, order, numeric=numeric) if spans is None else spans
+        rows = spread_join(df, spans, keys) if keys else attach(df, spans)
+        place = F.floor((position - F.col("__lo")) / (F.col("__hi") - F.col("__lo")) * F.col("__cells"))
+        number = F.when(F.col("__hi") > F.col("__lo"), F.least(place, F.col("__cells") - 1)).otherwise(F.lit(0))
+        rows = rows.withColumn("__cell", number).drop("__lo", "__hi", "__cells")
+    else:
+        width = float(cell) if numeric else float(seconds(cell) * 1_000_000)
+        rows = df.withColumn("__cell", F.floor(position / F.lit(width)))
     sort = [axis, *[F.col(t) for t in tie]]
     rank = F.struct(*[c.alias(f"o{i}") for i, c in enumerate(sort)])
 
@@ -125,13 +136,22 @@ def cell_scan(
     return joined.select(*out)
 
 
+def row_spans(df: DataFrame, keys: Sequence[str], order: str | Column, *, numeric: bool = False) -> DataFrame:
+    """Per series: first and last position and the number of cells for its rows."""
+    axis = F.col(order) if isinstance(order, str) else order
+    position = axis.cast("double") if numeric else micros(axis).cast("double")
+    return df.groupBy(*keys).agg(
+        F.min(position).alias("__lo"), F.max(position).alias("__hi"), F.ceil(F.count("*") / F.lit(CELL_ROWS)).alias("__cells")
+    )
+
+
 def with_position(
     df: DataFrame,
     keys: Sequence[str],
     ts: str,
     *,
     tie: Sequence[str] = (),
-    cell: str | int = CELL,
+    cell: str | int | None = CELL,
     name: str = "pos",
     total: str | None = None,
 ) -> DataFrame:
@@ -181,7 +201,7 @@ def halo(
     pos: str | None = None,
     size: int | None = None,
     tie: Sequence[str] = (),
-    cell: str | int = CELL,
+    cell: str | int | None = CELL,
 ) -> Blocked:
     """Spread rows over blocks so that frames of ``before``/``after`` rows are complete.
 

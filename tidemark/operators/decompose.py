@@ -15,7 +15,7 @@ from tidemark.session import cut
 
 def decompose(
     df: DataFrame, column: str, period: int = 24, *, keys: Sequence[str] = DEFAULT_KEYS, ts: str = "ts",
-    size: int | None = None, cell: str = CELL,
+    size: int | None = None, cell: str | None = CELL,
 ) -> DataFrame:
     """Classical additive parts: centred moving average, period means, remainder."""
     keys = list(keys)
@@ -123,7 +123,7 @@ def _outlier_weight(resid, cut):
 def stl(
     df: DataFrame, column: str, period: int = 24, *, seasonal: int = 7, robust: bool = True,
     keys: Sequence[str] = DEFAULT_KEYS, ts: str = "ts", block_periods: int = 400, halo_periods: int = 20,
-    cell: str = CELL, outer: int = 15,
+    cell: str | None = CELL, outer: int = 15,
 ) -> DataFrame:
     """STL of series of any length: the same answer whatever the block size.
 

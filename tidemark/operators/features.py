@@ -103,7 +103,7 @@ def add_ewm(
     keys: Sequence[str] = DEFAULT_KEYS,
     ts: str = "ts",
     step: str | None = None,
-    cell: str = CELL,
+    cell: str | None = CELL,
     pos: str | None = None,
     max_block: int | None = None,
 ) -> DataFrame:
@@ -235,7 +235,7 @@ def build_features(
     ts: str = "ts",
     step: str | None = None,
     size: int | None = None,
-    cell: str = CELL,
+    cell: str | None = CELL,
     drop: bool = True,
     materialize: bool = False,
 ) -> DataFrame:

@@ -25,7 +25,7 @@ def attach_truth(
     order: Sequence[str],
     keys: Sequence[str] = DEFAULT_KEYS,
     ts: str = "ts",
-    cell: str = CELL,
+    cell: str | None = CELL,
 ) -> DataFrame:
     """Latest prediction per time with the nearest actual value as ``actual``."""
     latest = dedupe(predictions, keys=keys, ts=ts, order=order, keep="last")

@@ -109,7 +109,7 @@ def coverage(df: DataFrame, *, ts: str = "ts", min_days: int = MIN_DAYS) -> Data
 
 
 def max_gap_check(
-    df: DataFrame, *, keys: Sequence[str] = (), ts: str = "ts", limit: float = MAX_GAP_HOURS, cell: str = CELL
+    df: DataFrame, *, keys: Sequence[str] = (), ts: str = "ts", limit: float = MAX_GAP_HOURS, cell: str | None = CELL
 ) -> DataFrame:
     row = gaps(df, keys=keys, ts=ts, cell=cell).agg(F.max("max_gap_hours").alias("g"))
     gap = F.coalesce(F.col("g"), F.lit(0.0))
@@ -123,7 +123,7 @@ def validate_weather(
     keys: Sequence[str] = (),
     ts: str = "ts",
     order: str | None = None,
-    cell: str = CELL,
+    cell: str | None = CELL,
 ) -> DataFrame:
     """Full report for hourly measurements, one row per check.
 

@@ -28,7 +28,7 @@ def _fields(df: DataFrame, names: Sequence[str]) -> str:
     return ", ".join(f"`{n}` {df.schema[n].dataType.simpleString()}" for n in names)
 
 
-def _centred(df: DataFrame, columns: Sequence[str], keys: Sequence[str], ts: str, cell: str) -> DataFrame:
+def _centred(df: DataFrame, columns: Sequence[str], keys: Sequence[str], ts: str, cell: str | None) -> DataFrame:
     """Rows complete in ``columns``, minus the series mean, with ``pos`` and ``n``."""
     keys = list(keys)
     rows = df.select(*keys, ts, *[F.col(c).cast("double").alias(c) for c in columns]).dropna("any")
@@ -57,7 +57,7 @@ def _sum_arrays(parts: DataFrame, keys: Sequence[str]) -> DataFrame:
 
 def autocovariance(
     df: DataFrame, column: str, max_lag, *, keys: Sequence[str] = DEFAULT_KEYS, ts: str = "ts",
-    size: int | None = None, cell: str = CELL,
+    size: int | None = None, cell: str | None = CELL,
 ) -> DataFrame:
     """Per series ``n`` and ``g[k] = sum (y[t]-m)(y[t-k]-m)`` for k = 0..max_lag.
 
@@ -172,7 +172,7 @@ def ljung_box(df: DataFrame, column: str, at: Sequence[int] = (10, 20, 40), **kw
 
 def durbin_watson(
     df: DataFrame, column: str, *, keys: Sequence[str] = DEFAULT_KEYS, ts: str = "ts", step: str | None = None,
-    size: int | None = None, cell: str = CELL,
+    size: int | None = None, cell: str | None = CELL,
 ) -> DataFrame:
     """Sum of squared first differences over the sum of squares; fine within (1.5, 2.5)."""
     rows = df.select(*keys, ts, column).dropna(subset=[column])
@@ -224,7 +224,7 @@ def _kpss_row(n: int, g: np.ndarray, eta: float) -> tuple[float | None, int | No
 
 def kpss(
     df: DataFrame, column: str, *, keys: Sequence[str] = DEFAULT_KEYS, ts: str = "ts", size: int | None = None,
-    cell: str = CELL,
+    cell: str | None = CELL,
 ) -> DataFrame:
     """Level stationarity with the automatic bandwidth; p-value clipped to [0.01, 0.10]."""
     from tidemark.operators.blocks import cell_scan
@@ -294,7 +294,7 @@ def _adf_row(n: int, g: np.ndarray, head: np.ndarray) -> tuple[float, float, int
 
 def adf(
     df: DataFrame, column: str, *, keys: Sequence[str] = DEFAULT_KEYS, ts: str = "ts", size: int | None = None,
-    cell: str = CELL,
+    cell: str | None = CELL,
 ) -> DataFrame:
     """Unit-root test with a constant, lag order by AIC on a common sample."""
     keys = list(keys)
@@ -392,7 +392,7 @@ def _granger_design(y, x, start, stop, depth, have):
 
 def granger(
     df: DataFrame, target: str, candidates: Sequence[str], max_lag: int = 24, *, keys: Sequence[str] = DEFAULT_KEYS,
-    ts: str = "ts", size: int | None = None, cell: str = CELL,
+    ts: str = "ts", size: int | None = None, cell: str | None = CELL,
 ) -> DataFrame:
     """Smallest F-test p-value over lags 1..max_lag per candidate; causes when below 0.05.
 

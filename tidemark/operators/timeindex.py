@@ -11,6 +11,7 @@ from tidemark.operators.blocks import (
     CELL,
     DEFAULT_KEYS,
     cell_scan,
+    row_spans,
     from_micros,
     grid_index,
     halo,
@@ -62,7 +63,7 @@ def downsample(
 
 
 def regularize(
-    df: DataFrame, step: str, *, keys: Sequence[str] = DEFAULT_KEYS, ts: str = "ts", cell: str = CELL
+    df: DataFrame, step: str, *, keys: Sequence[str] = DEFAULT_KEYS, ts: str = "ts", cell: str | None = CELL
 ) -> DataFrame:
     """Insert the missing grid rows of each series between its first and last row.
 
@@ -104,7 +105,7 @@ def continuity(
     return found.withColumn("missing_pct", pct).withColumn("warn", F.col("missing_pct") > warn_pct)
 
 
-def gaps(df: DataFrame, *, keys: Sequence[str] = DEFAULT_KEYS, ts: str = "ts", cell: str = CELL) -> DataFrame:
+def gaps(df: DataFrame, *, keys: Sequence[str] = DEFAULT_KEYS, ts: str = "ts", cell: str | None = CELL) -> DataFrame:
     """Largest distance in hours between neighbouring rows of a series.
 
     Needs no row window: per cell only the inner gaps (a window inside the cell) and the
@@ -123,7 +124,7 @@ def upsample_ffill(
     keys: Sequence[str] = DEFAULT_KEYS,
     ts: str = "ts",
     dense: bool = True,
-    cell: str = CELL,
+    cell: str | None = CELL,
 ) -> DataFrame:
     """Coarse rows onto a finer grid, repeating each row at most ``limit`` times.
 
@@ -166,7 +167,7 @@ def asof_backward(
     ts: str = "ts",
     limit: int | None = None,
     step: str | None = None,
-    cell: str = CELL,
+    cell: str | None = CELL,
 ) -> DataFrame:
     """Attach to every left row the right row at the same time or the last one before.
 
@@ -178,9 +179,10 @@ def asof_backward(
     payload = [c for c in left.columns if c not in (*keys, ts)]
     both = _tagged(left, right, keys, ts, values)
     counted = limit is not None and step is None
+    spans = row_spans(both, keys, ts) if cell is None else None
     if counted:
         both = cell_scan(
-            both, keys, ts, tie=["__side"], cell=cell,
+            both, keys, ts, tie=["__side"], cell=cell, spans=spans,
             running={"__seen": F.when(F.col("__side") == 0, 1).otherwise(0).cast("bigint")},
         )
     mark = [F.col(ts).alias("t"), F.col("__right").alias("r")]
@@ -189,7 +191,7 @@ def asof_backward(
     match = F.when(F.col("__side") == 1, F.struct(*mark))
     # left rows sort before right rows of the same time: `prev` is strictly earlier and
     # `nxt` is an exact match when its time is equal
-    found = cell_scan(both, keys, ts, tie=["__side"], cell=cell, prev={"__prev": match}, nxt={"__nxt": match})
+    found = cell_scan(both, keys, ts, tie=["__side"], cell=cell, spans=spans, prev={"__prev": match}, nxt={"__nxt": match})
     exact = F.col("__nxt.t") == F.col(ts)
     if limit is None:
         near = F.lit(True)
@@ -213,7 +215,7 @@ def asof_nearest(
     *,
     keys: Sequence[str] = DEFAULT_KEYS,
     ts: str = "ts",
-    cell: str = CELL,
+    cell: str | None = CELL,
 ) -> DataFrame:
     """Attach the right row nearest in time; on a tie the later one wins."""
     payload = [c for c in left.columns if c not in (*keys, ts)]
@@ -331,7 +333,7 @@ def temporal_split(
     keys: Sequence[str] = DEFAULT_KEYS,
     ts: str = "ts",
     tie: Sequence[str] = (),
-    cell: str = CELL,
+    cell: str | None = CELL,
 ) -> DataFrame:
     """Label rows train / val / test by their rank in time; never shuffled.
 

@@ -44,7 +44,7 @@ def q_grid_missing(t: Tables) -> DataFrame:
 SELECT series_id, round(max(d) / 3600000000.0, 6) AS max_gap_hours FROM w GROUP BY 1""")
 def q_max_gap(t: Tables) -> DataFrame:
     e = t.events().withColumnRenamed("event_type", "series_id")
-    return rounded(ti.gaps(e, cell="1 day"), "max_gap_hours")
+    return rounded(ti.gaps(e), "max_gap_hours")
 
 
 @query(with_cte("h") + """, c AS (SELECT series_id, count(*) AS n_rows, (epoch(max(ts))::BIGINT - epoch(min(ts))::BIGINT) // 3600 + 1 AS n_expected FROM h GROUP BY 1)

@@ -9,13 +9,8 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 
-# The zone makes TIMESTAMP_NTZ arithmetic exact.  Constraint propagation is switched off
-# because its cost grows exponentially with aliases and predicates; feature tables with
-# dozens of window columns would spend minutes in the optimizer.
-REQUIRED = {
-    "spark.sql.session.timeZone": "UTC",
-    "spark.sql.constraintPropagation.enabled": "false",
-}
+# The zone makes TIMESTAMP_NTZ arithmetic exact.
+REQUIRED = {"spark.sql.session.timeZone": "UTC"}
 
 
 def build_session(app: str = "tidemark", master: str | None = None, **conf: str) -> SparkSession:
