@@ -12,6 +12,8 @@ from pyspark.sql import functions as F
 from tidemark.llm.text import SPACES, map_rows
 
 N_SHAPES = 64
+_EDGE = "\"'`([{<>)]}.,;:!?#*$%&|_-"
+_STOPS, _CRIES = set(".,;:?\"'"), set("!?.,")
 N_STYLE = 10
 
 
@@ -37,12 +39,19 @@ class TokenFeatures(dict):
         if len(self) >= 400_000:
             self.clear()
         text = token.decode(errors="replace")
-        bare = text.strip("\"'`([{<>)]}.,;:!?#*$%&|_-")
-        case = 0 if bare.islower() else 1 if bare[:1].isupper() and (len(bare) == 1 or bare[1:].islower()) else 2 if bare.isupper() else 3
-        tail = text[len(text.rstrip("\"'`([{<>)]}.,;:!?#*$%&|_-")) :]
-        end = 0 if not tail else 1 if set(tail) <= set(".,;:?\"'") else 2 if set(tail) <= set("!?.,") else 3
-        kind = 3 if not bare else 2 if any(c.isdigit() for c in bare) else int(len(bare) > 9)
-        value = self[token] = (xxhash.xxh3_64_intdigest(bare.lower().encode()) & self.mask) << 6 | case << 4 | end << 2 | kind
+        if text.isalpha():  # most tokens: nothing to strip, no symbol, no digit
+            low = text.lower()
+            case = 0 if low == text else 1 if text[0].isupper() and (len(text) == 1 or text[1:].islower()) else 2 if text.isupper() else 3
+            shape = case << 4 | int(len(text) > 9)
+        else:
+            bare = text.strip(_EDGE)
+            low = bare.lower()
+            case = 0 if bare.islower() else 1 if bare[:1].isupper() and (len(bare) == 1 or bare[1:].islower()) else 2 if bare.isupper() else 3
+            tail = text[len(text.rstrip(_EDGE)) :]
+            end = 0 if not tail else 1 if set(tail) <= _STOPS else 2 if set(tail) <= _CRIES else 3
+            kind = 3 if not bare else 2 if not bare.isalpha() and any(c.isdigit() for c in bare) else int(len(bare) > 9)
+            shape = case << 4 | end << 2 | kind
+        value = self[token] = (xxhash.xxh3_64_intdigest(low.encode()) & self.mask) << 6 | shape
         return value
 
 
@@ -55,11 +64,14 @@ def describe(text: str | None, tokens: TokenFeatures) -> tuple[int, np.ndarray,
     if not n:
         return 0, np.empty(0, np.int32), np.empty(0, np.float32), dense
     code = np.fromiter(map(tokens.__getitem__, words), np.int64, n)
-    bucket, count = np.unique(code >> 6, return_counts=True)
-    dense[:N_SHAPES] = np.sqrt(np.bincount(code & 63, minlength=N_SHAPES) / n)
     word = code >> 6
+    ordered = np.sort(word)
+    starts = np.flatnonzero(np.concatenate(([True], ordered[1:] != ordered[:-1])))
+    bucket, count = ordered[starts], np.diff(np.append(starts, n))
+    dense[:N_SHAPES] = np.sqrt(np.bincount(code & 63, minlength=N_SHAPES) / n)
     lines = [x for x in raw.split(b"\n") if x.strip(SPACES)]
-    pairs = len(np.unique(word[1:] * (1 << 24) + word[:-1])) / (n - 1) if n > 1 else 1.0
+    both = np.sort(word[1:] * (1 << 24) + word[:-1])
+    pairs = (1 + np.count_nonzero(both[1:] != both[:-1])) / (n - 1) if n > 1 else 1.0
     shares = (
         float((word[1:] == word[:-1]).mean()) if n > 1 else 0.0, pairs, len(set(lines)) / max(1, len(lines)),
         (len(raw) - len(raw.translate(None, b"#*$%&|<>!"))) / len(raw), min(1.0, len(raw) / n / 16),
