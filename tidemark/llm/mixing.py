@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm.features import N_SHAPES, N_STYLE, Features, Sample, TokenFeatures, describe, labelled_sample
-from tidemark.llm.text import map_rows, saved, without
+from tidemark.llm.text import map_rows, pieces, saved, without
 
 
 @dataclass(frozen=True)
@@ -202,7 +202,7 @@ def memberships_beside(docs: DataFrame, model: DomainModel, spec: MixSpec, text_
 
     def run(batches):
         tokens = TokenFeatures(spec.features)
-        for batch in batches:
+        for batch in pieces(batches):
             got = [describe(t, tokens) for t in batch.column(at).to_pylist()]
             more = [pa.array([g[0] for g in got], pa.int64()), pa.array([shared.value.posteriors(*g[1:]).round(6) for g in got], pa.list_(pa.float64()))]
             yield pa.RecordBatch.from_arrays([*batch.columns, *more], names=[*batch.schema.names, "n_tokens", "posteriors"])

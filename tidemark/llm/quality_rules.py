@@ -10,7 +10,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.text import SPACES, WordHashes, map_rows, windows
+from tidemark.llm.text import SPACES, WordHashes, map_rows, pieces, windows
 
 SYMBOLS = b"#*$%&|<>"
 
@@ -125,7 +125,7 @@ def keep_good(docs: DataFrame, rules: BandRules | None = None, text_col: str = "
         import pyarrow as pa
 
         hashes, compress = WordHashes(), zstandard.ZstdCompressor(level=rules.level).compress
-        for batch in batches:
+        for batch in pieces(batches):
             keep = []
             for text in batch.column(names.index(text_col)).to_pylist():
                 counts = base_counts(text or "", hashes, rules.repeat_window)

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.llm.text import document_table as table
+from tidemark.llm.text import small_batches
 
 QUERIES: dict = {}
 SQL: dict[str, str] = {}
@@ -13,7 +14,7 @@ SQL: dict[str, str] = {}
 
 def query(sql: str | None = None):
     def add(fn):
-        QUERIES[fn.__name__] = fn
+        QUERIES[fn.__name__] = lambda spark, sf_dir: fn(small_batches(spark), sf_dir)
         if sql:
             SQL[fn.__name__] = sql
         return fn

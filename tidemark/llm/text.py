@@ -7,7 +7,7 @@ from collections.abc import Callable, Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.session import new_dir
@@ -20,7 +20,7 @@ _ODD = np.uint64(0x9E3779B97F4A7C15)
 class WordHashes(dict):
     """64-bit hash of a word; a bounded cache that one task keeps over its rows."""
 
-    def __init__(self, limit: int = 400_000):
+    def __init__(self, limit: int = 200_000):
         super().__init__()
         self.limit = limit
 
@@ -84,6 +84,7 @@ def pieces(batches: Iterator[pa.RecordBatch], rows: int = 1000) -> Iterator[pa.R
     for batch in batches:
         for lo in range(0, batch.num_rows, rows):
             yield batch.slice(lo, rows)
+    pa.default_memory_pool().release_unused()  # workers live on for later tasks
 
 
 def to_batch(columns: dict, schema: pa.Schema) -> pa.RecordBatch:
@@ -98,6 +99,18 @@ def saved(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def small_batches(spark: SparkSession, rows: int = 1000) -> SparkSession:
+    """Have Spark hand texts to Python workers ``rows`` at a time instead of 10 000.
+
+    For jobs over whole documents: a batch of long texts takes memory in the JVM and in the
+    worker.  Jobs call it, operators leave the session alone.
+    """
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(spark.conf.get(key)) <= rows:
+        spark.conf.set(key, str(rows))
+    return spark
+
+
 def without(df: DataFrame, *names: str) -> DataFrame:
     """``df`` without columns whose names an operator is about to add (upper or lower case)."""
     taken = {n.lower() for n in names}
