@@ -10,31 +10,36 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from tidemark.llm import decontaminate, mixing, ngram_join, pii, quality_rules
-from tidemark.llm.text import saved
+from tidemark.llm.text import saved, small_batches
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that pass the word and compression rules."""
+    small_batches(spark)
     return quality_rules.keep_good(docs)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document (the smallest id) of each group of near copies."""
+    small_batches(spark)
     return ngram_join.keep_first(docs)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without passages of the benchmark."""
+    small_batches(spark)
     return decontaminate.drop_contaminated(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
 
 
 def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, personal data masked and ``n_chars`` set anew."""
+    small_batches(spark)
     return pii.mask_personal(docs, pii.fit_spans(docs))
 
 
 def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents with domain posteriors, sampling rates and copies."""
+    small_batches(spark)
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
     return mixing.mix(docs, mixing.domain_labels(labels), keep=True)
 
