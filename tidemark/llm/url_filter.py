@@ -58,15 +58,21 @@ def matched_rule(host: Column, path: Column, rules: list[UrlRule]) -> Column:
 
 
 def grams(host: Column, path: Column, sizes: tuple[int, ...]) -> Column:
-    """Character n-grams of host and of path, each marked with the part it comes from."""
+    """Character n-grams of host and of path, each marked with the part it comes from.
 
-    def of(part: Column, mark: str, n: int) -> Column:
-        chars = F.split(F.concat(F.lit("^"), part, F.lit("$")), "")
+    The characters are bound to a lambda variable, so a part is split once, whatever its length.
+    """
+
+    def runs(chars: Column, mark: str, n: int) -> Column:
         starts = F.when(F.size(chars) >= n, F.sequence(F.lit(1), F.size(chars) - (n - 1)))
-        runs = F.transform(starts, lambda i: F.concat(F.lit(mark), *[F.element_at(chars, i + k) for k in range(n)]))
-        return F.coalesce(runs, F.array().cast("array<string>"))
+        found = F.transform(starts, lambda i: F.concat(F.lit(mark), *[F.element_at(chars, i + k) for k in range(n)]))
+        return F.coalesce(found, F.array().cast("array<string>"))
+
+    def of(part: Column, mark: str) -> Column:
+        chars = F.split(F.concat(F.lit("^"), part, F.lit("$")), "")
+        return F.flatten(F.transform(F.array(chars), lambda c: F.concat(*[runs(c, mark, n) for n in sizes])))
 
-    return F.concat(*[of(part, mark, n) for n in sizes for part, mark in ((host, "h"), (path, "p"))])
+    return F.concat(of(host, "h"), of(path, "p"))
 
 
 @dataclass(frozen=True)
