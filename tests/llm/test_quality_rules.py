@@ -1,8 +1,11 @@
 """Counts against plain Python, bands at their limits, odd rows."""
 
+import gzip
 import random
 import re
+from pathlib import Path
 
+import pytest
 import zstandard
 
 from tidemark.llm.quality_rules import BandRules, base_counts, keep_good, measure, ratios
@@ -65,3 +68,27 @@ def test_odd_rows(spark):
     assert len(out) == 6 and not any(r.kept for r in out) and all(r.base_failed for r in out)
     assert keep_good(df).count() == 0 and keep_good(df).columns == df.columns
     assert measure(df.where("false")).count() == 0
+
+
+def test_bands_at_lengths_of_natural_prose():
+    rules, compress = BandRules(), zstandard.ZstdCompressor(level=3).compress
+    assert rules.limits(1 << 22)[1] > rules.limits(1 << 20)[1] > rules.limits(1 << 16)[1] > 3.4
+    notes = sorted(Path("/usr/share/doc/git/RelNotes").glob("*"))
+    if not notes:
+        pytest.skip("no release notes on this machine")
+    prose = b"\n".join(gzip.open(p).read() if p.suffix == ".gz" else p.read_bytes() for p in notes)
+    for size in (1 << 14, 1 << 16, 200_000, 1 << 20):
+        texts = [prose[i : i + size] for i in range(0, len(prose) - size + 1, size)]
+        assert texts and all(ratios(t, rules, compress)[3] for t in texts), size
+    assert not ratios(prose[:500_000] + prose[:60_000] * 9, rules, compress)[3]  # copies of a part
+    assert not ratios(prose[:500_000] + b"buy now, pay later. " * 300 + prose[500_000:900_000], rules, compress)[3]
+
+
+@pytest.mark.parametrize("name", ["GPL-3", "GPL-2", "LGPL-3", "LGPL-2.1", "Apache-2.0", "CC0-1.0"])
+def test_license_texts_are_kept(spark, name):
+    path = Path("/usr/share/common-licenses") / name
+    if not path.exists():
+        pytest.skip("no such text on this machine")
+    text = path.read_text()
+    row = measure(spark.createDataFrame([(1, text)], "doc_id long, text string")).first()
+    assert row.kept, (row.ratio, row.chunk_low, row.chunk_high)

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from bisect import bisect_right
 from dataclasses import dataclass, field
+from math import log2
 
 import numpy as np
 import zstandard
@@ -21,22 +22,34 @@ class BandRules:
 
     ``bands`` holds (shortest length, least ratio, greatest ratio), ascending.  Short texts
     compress badly because of the frame overhead, so each length has limits of its own.
+    The greatest ratio of clean prose grows with the logarithm of its length, so the limits do:
+    they lie above what license texts, manuals and release notes reach at each length, and go on by
+    ``growth`` for each doubling past the last band.
     A text outside its band, or one of its ``chunk_bytes`` chunks outside the band of that
     chunk's length, is rejected.  A last chunk below half the size is left to the whole text.
     """
 
     bands: tuple[tuple[int, float, float], ...] = field(
         default=(
-            (0, 0.0, 1.9), (128, 0.9, 2.2), (256, 1.1, 2.1), (512, 1.25, 2.2), (1024, 1.35, 2.3),
-            (2048, 1.4, 2.35), (4096, 1.45, 2.45), (8192, 1.5, 2.55), (16384, 1.5, 2.7),
+            (0, 0.0, 1.9), (128, 0.9, 2.2), (256, 1.1, 2.6), (512, 1.25, 2.9), (1024, 1.35, 3.1),
+            (2048, 1.4, 3.2), (4096, 1.45, 3.4), (8192, 1.5, 3.5), (16384, 1.5, 3.6), (32768, 1.5, 3.8),
+            (65536, 1.5, 4.0), (131072, 1.5, 4.2), (262144, 1.5, 4.4), (524288, 1.5, 4.6), (1048576, 1.5, 4.8),
         )
     )
+    growth: float = 0.2
     chunk_bytes: int = 4096
     level: int = 3
     min_words: int = 20
     repeat_window: int = 8
     max_repeat_percent: int = 30
 
+    def limits(self, n_bytes: int) -> tuple[float, float]:
+        """(least, greatest) ratio of a text of so many bytes."""
+        start, low, high = self.bands[bisect_right(self.bands, n_bytes, key=lambda b: b[0]) - 1]
+        if start and start == self.bands[-1][0]:
+            high += self.growth * log2(n_bytes / start)
+        return low, high
+
 
 MEASURES = (
     "n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, base_failed boolean, "
@@ -68,11 +81,10 @@ def ratios(raw: bytes, rules: BandRules, compress) -> tuple[float | None, float
     """(ratio of the whole, least and greatest chunk ratio, inside all bands)."""
     if not raw:
         return None, None, None, True
-    starts = [b[0] for b in rules.bands]
 
     def one(part: bytes) -> tuple[float, bool]:
         ratio = len(part) / len(compress(part))
-        _, low, high = rules.bands[bisect_right(starts, len(part)) - 1]
+        low, high = rules.limits(len(part))
         return ratio, low <= ratio <= high
 
     whole, fits = one(raw)
