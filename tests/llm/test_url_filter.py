@@ -55,6 +55,21 @@ def test_model_on_held_out_rows(spark):
     assert judged.count() > 50 and right > 0.93
 
 
+def test_repeated_urls_do_not_fill_the_sample(spark):
+    spec = u.UrlModelSpec(max_labelled=40)
+    rows = [(f"https://good.org/page/{k}", "allow") for k in range(60)] + [(f"https://bad.com/page/{k}", "block") for k in range(60)]
+    labelled = spark.createDataFrame(rows, "url string, verdict string")
+    hot = labelled.orderBy(F.xxhash64("url")).limit(1).crossJoin(spark.range(1000)).select("url", "verdict")
+    model = u.fit_urls(labelled.unionByName(hot), spec)
+    assert model.fitted is not None
+    new = spark.createDataFrame([("https://good.org/page/900",), ("https://bad.com/page/900",)], "url string")
+    assert {r.host: r.verdict for r in u.filter_urls(new, [], model).collect()} == {"good.org": "allow", "bad.com": "block"}
+    rare = labelled.where("verdict = 'allow' OR url = 'https://bad.com/page/7'")
+    assert u.fit_urls(rare, spec).fitted is not None  # one URL of a verdict is in the sample
+    assert u.draws({"allow": 60, "block": 1}, spec) == {"allow": 39, "block": 1}
+    assert u.draws({"allow": 10**6, "block": 10**3}, u.UrlModelSpec()) == {"block": 200, "allow": 3800}
+
+
 def test_query(spark):
     out = op4_url_filter(spark, "/root/testdata/sf0.001")
     plan = out._jdf.queryExecution().toString()

@@ -32,11 +32,13 @@ class UrlRule:
 
 @dataclass(frozen=True)
 class UrlModelSpec:
-    """``max_labelled`` bounds the rows a model is fitted on (those with the least URL hash)."""
+    """``max_labelled`` bounds the distinct URLs a model is fitted on (those with the least hash of each
+    verdict); a verdict gets its share of them, but at least ``least_share`` as far as it has URLs."""
 
     sizes: tuple[int, ...] = (3, 4)
     buckets: int = 4096
     max_labelled: int = 4000
+    least_share: float = 0.05
     max_iter: int = 40
     reg: float = 1e-3
 
@@ -96,25 +98,35 @@ def hasher(spec: UrlModelSpec) -> HashingTF:
     return HashingTF(numFeatures=spec.buckets, inputCol="_grams", outputCol="_x")
 
 
+def draws(counts: dict[str, int], spec: UrlModelSpec) -> dict[str, int]:
+    """URLs to draw of each of two verdicts with so many distinct URLs; both are present."""
+    rare, common = sorted(counts, key=lambda v: (counts[v], v))
+    share = counts[rare] / (counts[rare] + counts[common])
+    few = min(counts[rare], max(1, round(spec.max_labelled * max(share, spec.least_share))))
+    return {rare: few, common: min(counts[common], max(1, spec.max_labelled - few))}
+
+
 def fit_urls(labelled: DataFrame, spec: UrlModelSpec | None = None) -> UrlModel:
     """Fit on ``labelled`` (url, verdict); rows with another verdict than allow / block are ignored.
 
-    At most ``spec.max_labelled`` rows are used, the same ones on every run.  Without any
-    labelled row the model allows everything.
+    A repeated row counts once.  At most ``spec.max_labelled`` URLs are used, the same ones on every run,
+    weighted so that the verdicts keep their shares.  Without any labelled row the model allows everything.
     """
     spec = spec or UrlModelSpec()
     host, path = split_url(F.col("url"))
-    rows = (
-        labelled.where(F.col("verdict").isin("allow", "block"))
-        .select(F.xxhash64("url").alias("h"), F.coalesce("url", F.lit("")).alias("url"), "verdict")
-        .orderBy("h", "url", "verdict").limit(spec.max_labelled)
-    )
-    rows = rows.select(grams(host, path, spec.sizes).alias("_grams"), (F.col("verdict") == "block").cast("double").alias("label")).coalesce(1).cache()
+    known = labelled.where(F.col("verdict").isin("allow", "block")).select(F.coalesce("url", F.lit("")).alias("url"), "verdict").distinct()
+    counts = {r.verdict: r["count"] for r in known.groupBy("verdict").count().collect()}  # two rows at most
+    if len(counts) < 2:
+        return UrlModel(spec, None, next(iter(counts), "allow"))
+    quotas = draws(counts, spec)
+    drawn = [
+        known.where(F.col("verdict") == v).orderBy(F.xxhash64("url"), "url").limit(n).withColumn("weight", F.lit(counts[v] / n * sum(quotas.values()) / sum(counts.values())))
+        for v, n in sorted(quotas.items())
+    ]
+    rows = drawn[0].unionByName(drawn[1])
+    rows = rows.select(grams(host, path, spec.sizes).alias("_grams"), (F.col("verdict") == "block").cast("double").alias("label"), "weight").coalesce(1).cache()
     try:
-        seen = [r.label for r in rows.select("label").distinct().collect()]
-        if len(seen) < 2:
-            return UrlModel(spec, None, "block" if seen == [1.0] else "allow")
-        learner = LogisticRegression(featuresCol="_x", labelCol="label", predictionCol="_block", rawPredictionCol="_raw", probabilityCol="_p", maxIter=spec.max_iter, regParam=spec.reg)
+        learner = LogisticRegression(featuresCol="_x", labelCol="label", weightCol="weight", predictionCol="_block", rawPredictionCol="_raw", probabilityCol="_p", maxIter=spec.max_iter, regParam=spec.reg)
         return UrlModel(spec, learner.fit(hasher(spec).transform(rows)))
     finally:
         rows.unpersist()
