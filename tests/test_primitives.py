@@ -133,3 +133,14 @@ def test_cells_follow_the_number_of_rows(spark, monkeypatch):
     assert cells == {"a": 2, "b": 120}  # 100 times the rows in the same time: no larger cells
     out = blocks.with_position(df, ["series_id"], "ts", name="pos", total="n")
     assert out.filter("pos <> value").count() == 0 and {(r.series_id, r.n) for r in out.select("series_id", "n").distinct().collect()} == {("a", 60), ("b", 6000)}
+
+
+def test_series_without_a_key_are_kept(spark, monkeypatch):
+    monkeypatch.setattr(blocks, "CELL_ROWS", 50)
+    rows = spark.range(400).select(
+        F.when(F.col("id") < 200, "a").alias("series_id"), F.timestamp_micros(F.lit(1704067200000000) + F.col("id") * 36000000).cast("timestamp_ntz").alias("ts"), (F.col("id") % 200).alias("value"))
+    out = blocks.with_position(rows, ["series_id"], "ts", name="pos", total="n")
+    assert out.filter("pos = value AND n = 200").count() == 400 and out.filter("series_id IS NULL").count() == 200
+    stats = rows.groupBy("series_id").agg(F.count("*").alias("c"))
+    assert blocks.spread_join(rows, stats, ["series_id"]).filter("c = 200").count() == 400
+    assert blocks.attach(rows, stats, ["series_id"]).filter("c = 200").count() == 400

@@ -13,7 +13,7 @@ building blocks instead:
   (series, block of ``size`` positions); the rows near a block edge are also copied
   into the neighbouring block, so that every frame is complete inside one block.
 
-Series keys and the time column must be non-null.
+The time column must be non-null; a null series key is a key like any other.
 """
 
 from __future__ import annotations
@@ -119,7 +119,7 @@ def cell_scan(
     carried += [F.last(f"__n_{n}", True).over(later).alias(f"__n_{n}") for n in nxt]
     carry = cells.select(*carried)
 
-    joined = rows.join(carry, [*keys, "__cell"], "left")
+    joined = null_safe_join(rows, carry, [*keys, "__cell"], "left")
     inside = Window.partitionBy(*keys, "__cell").orderBy(*sort)
     backwards = Window.partitionBy(*keys, "__cell").orderBy(*[c.desc() for c in sort])
     edge = -1 if exclusive else 0
@@ -254,18 +254,25 @@ def carry_back(df: DataFrame, keys: Sequence[str], pos: str, size: int, after: i
 
 
 def spread_join(rows: DataFrame, stats: DataFrame, on: Sequence[str], salts: int = 32) -> DataFrame:
-    """Inner join of many rows to the one row of their key in ``stats``.
+    """Inner join of many rows to the one row of their key in ``stats``; null keys are equal.
 
     The small side is repeated ``salts`` times and the rows are dealt over the copies, so that
     no key, not even one that holds all rows, is joined on one task.
     """
     dealt = rows.withColumn("__salt", F.pmod(F.monotonically_increasing_id(), F.lit(salts)).cast("int"))
     copies = stats.withColumn("__salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-    return dealt.join(copies, [*on, "__salt"]).drop("__salt")
+    return null_safe_join(dealt, copies, [*on, "__salt"]).drop("__salt")
+
+
+def null_safe_join(rows: DataFrame, stats: DataFrame, on: Sequence[str], how: str = "inner") -> DataFrame:
+    """Equi-join (inner or left) on columns of equal names, with null equal to null."""
+    renamed = stats.withColumnsRenamed({k: f"__on{i}" for i, k in enumerate(on)})
+    fits = [F.col(k).eqNullSafe(F.col(f"__on{i}")) for i, k in enumerate(on)]
+    return rows.join(renamed, fits, how).drop(*[f"__on{i}" for i in range(len(on))])
 
 
 def attach(df: DataFrame, stats: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
     """Add per-series statistics to rows; without keys, one scalar subquery (no join)."""
     if keys:
-        return df.join(stats, list(keys), "left")
+        return null_safe_join(df, stats, list(keys), "left")
     return df.withColumn("__st", stats.select(F.struct("*")).scalar()).select(*df.columns, "__st.*")
