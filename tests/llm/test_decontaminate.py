@@ -55,3 +55,19 @@ def test_odd_rows(spark):
     assert sorted((r.doc_id for r in drop_contaminated(docs, bench).collect()), key=str) == [1, 2, 5]
     assert find_items(docs, bench.where("item_id > 99")).count() == 0
     assert drop_contaminated(docs.where("doc_id > 99"), bench).count() == 0
+
+
+def test_edited_quoted_and_slot_heavy_items(spark):
+    long = " ".join(f"word{k}" for k in range(60))
+    heavy = "Convert 3 km 200 m and 5 km 40 m to 7 km 90 m now"
+    words = long.split()
+    more = " ".join(w + (" extra" if k in (12, 24, 36, 48) else "") for k, w in enumerate(words, 1))
+    less = " ".join(w for k, w in enumerate(words) if k not in (11, 23, 35, 47))
+    texts = [f"Before it {more} after it", f"Before it {less} after it", "some prose " + " ".join(words[20:34]) + " other prose", "some prose " + " ".join(words[20:30]) + " other prose", f"so {heavy} please", "Convert 4 km 300 m and 6 km 50 m"]
+    _, _, found = run(spark, texts, (long, heavy))
+    assert set(found) == {0, 1, 2, 4}
+    assert (found[0].matched, found[0].n_windows, found[2].matched) == (35, 55, 9) and found[1].matched > 25
+    assert found[4].item_id == 1 and found[4].share == 1.0
+    one = "In May Alice paid 5 euros for the red book and 7 euros for the blue book on the shelf"
+    _, _, found = run(spark, [one.replace("7", "5")], (one,))
+    assert found[0].share == 1.0 and found[0].reparameterised  # two values of the item may meet one of the document
