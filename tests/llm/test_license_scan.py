@@ -63,3 +63,21 @@ def test_edited_and_odd_texts(spark):
     span = s.scan(df.where("doc_id = 1")).first()
     assert rows[0][1][span.start : span.end].startswith("PERMISSION") and rows[0][1][: span.end].endswith("SOFTWARE.")
     assert s.scan(df.where("false")).count() == 0
+
+
+def test_near_variants_get_their_own_license():
+    spec = s.ScanSpec()
+    index, codes = s.build_index(s.TEMPLATES, spec), s.WordCodes()
+    named = lambda text: [m[0] for m in s.scan_text(text, index, codes, spec)]
+    for name, (spdx, text) in s.TEMPLATES.items():
+        assert named(f"some words before {text} some words after") == [spdx], name
+    cc = "This work is licensed under a Creative Commons Attribution-NonCommercial 4.0 International License."
+    assert named(cc) == ["CC-BY-NC-4.0"]
+    assert named("This work is licensed under the GNU General Public License, version 2.") == ["GPL-2.0"]
+    assert named("This work is licensed under the GNU General Public License, version 1.") == []
+    assert named("Licensed under the Apache License, Version 1.1.") == [] == named("Released under the BSD License.")
+    header = s.TEMPLATES["GPL header"][1]
+    assert named(header.replace("GNU General", "GNU Affero General")) == ["AGPL-3.0"]
+    assert named(header.replace("GNU General", "GNU Lesser General")) == ["LGPL-3.0"]
+    bsd = s.TEMPLATES["BSD-3-Clause"][1].replace("the copyright holder", "Example Inc.")
+    assert named(bsd) == ["BSD-3-Clause"] and named(s.TEMPLATES["BSD-2-Clause"][1]) == ["BSD-2-Clause"]

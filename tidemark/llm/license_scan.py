@@ -64,6 +64,66 @@ TEMPLATES: dict[str, tuple[str, str]] = {
     "CC-BY-SA-4.0 notice": ("CC-BY-SA-4.0", "This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License."),
 }
 
+_BSD_2 = TEMPLATES["BSD-2-Clause"][1]
+_BSD_AD = (
+    "All advertising materials mentioning features or use of this software must display the following acknowledgement: This product "
+    "includes software developed by the organization."
+)
+_BSD_NAME = (
+    "Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products derived "
+    "from this software without specific prior written permission."
+)
+
+
+def _gnu(what: str, name: str, version: str) -> str:
+    return TEMPLATES["GPL header"][1].replace("This program", f"This {what}").replace("GNU General", f"GNU {name}").replace("version 3 ", f"version {version} ")
+
+
+TEMPLATES |= {
+    "BSD-3-Clause": ("BSD-3-Clause", f"{_BSD_2} {_BSD_NAME}"),
+    "BSD-4-Clause": ("BSD-4-Clause", f"{_BSD_2} {_BSD_AD} {_BSD_NAME}"),
+    "Unlicense": (
+        "Unlicense",
+        "This is free and unencumbered software released into the public domain. Anyone is free to copy, modify, publish, use, compile, "
+        "sell, or distribute this software, either in source code form or as a compiled binary, for any purpose, commercial or "
+        "non-commercial, and by any means.",
+    ),
+    "CC0-1.0 notice": ("CC0-1.0", "To the extent possible under law, the author has waived all copyright and related or neighboring rights to this work."),
+}
+#: Words that must stand one after the other in a match, by template; ``|`` parts alternatives.
+DECIDING: dict[str, tuple[str, ...]] = {
+    "MIT notice": ("MIT License",),
+    "MIT": ("sell copies of", "above copyright notice"),
+    "Apache-2.0 notice": ("Apache License, Version 2.0",),
+    "Apache-2.0 header": ("Apache License, Version 2.0",),
+    "MPL-2.0": ("Mozilla Public License, v. 2.0|Mozilla Public License, version 2.0",),
+    "ISC": ("above copyright notice",),
+    "BSD-3-Clause": ("to endorse or promote",),
+    "BSD-4-Clause": ("advertising materials mentioning", "to endorse or promote"),
+    "Unlicense": ("free and unencumbered software",),
+    "CC0-1.0 notice": ("waived all copyright and related or neighboring rights",),
+    "CC-BY-NC-4.0 notice": ("CC BY-NC 4.0",),
+}
+for _short, _name, _version in (
+    ("GPL", "General", "3"), ("GPL", "General", "2"), ("LGPL", "Lesser General", "2.1"), ("LGPL", "Lesser General", "3"),
+    ("LGPL", "Library General", "2"), ("AGPL", "Affero General", "3"),
+):
+    _spdx = f"{_short}-{_version if '.' in _version else _version + '.0'}"
+    _notice, _called = f"{_spdx} notice", f"GNU {_name} Public License"
+    TEMPLATES.setdefault(_notice, (_spdx, f"This work is licensed under the {_called}, version {_version}."))
+    DECIDING[_notice] = (f"{_called}, version {_version}|{_called}, version {_version}.0|{_called} v{_version}|{_called} v{_version}.0",)
+    for _what in ("program", "library"):
+        _header = "GPL header" if (_spdx, _what) == ("GPL-3.0", "program") else f"{_spdx} {_what} header"
+        TEMPLATES.setdefault(_header, (_spdx, _gnu(_what, _name, _version)))
+        DECIDING[_header] = (_called, f"version {_version} of the|version {_version}.0 of the")
+for _version in ("4.0", "3.0"):
+    for _kind in ("", "-ShareAlike", "-NonCommercial", "-NoDerivatives", "-NonCommercial-ShareAlike", "-NonCommercial-NoDerivatives"):
+        _spdx = "CC-BY" + "".join({"ShareAlike": "-SA", "NonCommercial": "-NC", "NoDerivatives": "-ND"}[x] for x in _kind.split("-")[1:]) + f"-{_version}"
+        _where = "Unported" if _version == "3.0" else "International"
+        _notice = f"{_spdx} notice" if _spdx != "CC-BY-NC-4.0" else f"{_spdx} long notice"
+        TEMPLATES.setdefault(_notice, (_spdx, f"This work is licensed under a Creative Commons Attribution{_kind} {_version} {_where} License."))
+        DECIDING[_notice] = (f"Commons Attribution{_kind} {_version}",)
+
 _EDGE = "\"'`([{<>)]}.,;:!?#*$%&|_-"
 _WORD = re.compile(r"\S+")
 
@@ -116,10 +176,16 @@ class Index:
     words: tuple[np.ndarray, ...]
     hashes: np.ndarray
     entries: tuple[tuple[tuple[int, int], ...], ...]
+    deciding: tuple[tuple[tuple[tuple[int, ...], ...], ...], ...]
+
+    def decided(self, t: int, span: list[int]) -> bool:
+        """Whether each deciding run of template ``t`` stands unbroken in the words of a match."""
+        return all(any(tuple(span[k : k + len(run)]) == run for run in runs for k in range(len(span) - len(run) + 1)) for runs in self.deciding[t])
 
 
 def build_index(templates: dict[str, tuple[str, str]], spec: ScanSpec) -> Index:
-    """Index of (license, text) templates.  Templates of fewer than ``gram`` words have no fingerprint."""
+    """Index of (license, text) templates.  Templates of fewer than ``gram`` words have no fingerprint.
+    The ones of ``TEMPLATES`` bring their deciding words."""
     codes, found, words = WordCodes(), {}, []
     for t, (_, text) in enumerate(templates.values()):
         ids = words_of(text, codes)
@@ -129,7 +195,11 @@ def build_index(templates: dict[str, tuple[str, str]], spec: ScanSpec) -> Index:
         for k, x in enumerate(h.tolist()):
             found.setdefault(x, []).append((t, k))
     keys = sorted(found)
-    return Index(tuple(templates), tuple(x[0] for x in templates.values()), tuple(words), np.array(keys, np.uint64), tuple(tuple(found[x]) for x in keys))
+    deciding = []
+    for name, entry in templates.items():
+        runs = DECIDING.get(name, ()) if entry == TEMPLATES.get(name) else ()
+        deciding.append(tuple(tuple(tuple(words_of(x, codes).tolist()) for x in run.split("|")) for run in runs))
+    return Index(tuple(templates), tuple(x[0] for x in templates.values()), tuple(words), np.array(keys, np.uint64), tuple(tuple(found[x]) for x in keys), tuple(deciding))
 
 
 def align(template: np.ndarray, doc: np.ndarray, shift: int, band: int) -> tuple[int, int, int]:
@@ -185,8 +255,8 @@ def scan_text(text: str, index: Index, codes: WordCodes, spec: ScanSpec) -> list
             last = shift
             words = index.words[t]
             matched, a, b = align(words.tolist(), ids[max(0, shift - spec.band) : shift + len(words) + spec.band].tolist(), min(shift, spec.band), spec.band)
-            if matched >= spec.min_coverage * len(words):
-                base = max(0, shift - spec.band)
+            base = max(0, shift - spec.band)
+            if matched >= spec.min_coverage * len(words) and index.decided(t, ids[base + a : base + b + 1].tolist()):
                 found.append((matched, t, base + a, base + b))
     found.sort(key=lambda x: (-x[0], x[2], x[1]))
     kept: list = []
