@@ -3,7 +3,7 @@
 import numpy as np
 import pandas as pd
 import pytest
-from conftest import column, frame
+from series_frames import column, frame
 from pyspark.sql import functions as F
 
 from tidemark.operators import blocks, clean, features, quantiles

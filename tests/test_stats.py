@@ -3,7 +3,7 @@
 import math
 
 import numpy as np
-from conftest import column, frame
+from series_frames import column, frame
 
 from tidemark.functions import tails
 from tidemark.operators import decompose, stats

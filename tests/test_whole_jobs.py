@@ -2,7 +2,7 @@
 
 import numpy as np
 import pytest
-from conftest import column, frame
+from series_frames import column, frame
 from pyspark.sql import functions as F
 
 from tidemark.operators import arima, drift, features, models, quality, scoring

@@ -13,6 +13,7 @@ from tidemark.functions.calendar import add_time_features
 from tidemark.functions.weather import HUMIDITY, RADIATION, TEMPERATURE, WIND, add_interactions, add_radiation_norm, add_weather_indices
 from tidemark.session import cut, prepare
 from tidemark.operators.blocks import CELL, DEFAULT_KEYS, Blocked, carry_in, grid_index, halo, with_position
+from tidemark.operators.timeindex import drop_incomplete
 
 
 def _label(hours: int) -> str:
@@ -273,7 +274,7 @@ def build_features(
         if RADIATION in df.columns:
             out = add_radiation_norm(out, fit_on=source)
         out = add_interactions(out)
-    return out.dropna("any") if drop else out
+    return drop_incomplete(out) if drop else out
 
 
 def feature_columns(df: DataFrame, spec: FeatureSpec, *, keys: Sequence[str] = DEFAULT_KEYS, ts: str = "ts") -> list[str]:

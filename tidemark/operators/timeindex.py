@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -308,8 +310,12 @@ def lead_target(
 
 
 def drop_incomplete(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
-    """Drop rows with a null in any (or the given) column."""
-    return df.dropna("any", subset=list(columns) if columns else None)
+    """Drop rows with a null in any (or the given) column, as one condition per column.
+
+    ``dropna`` is one condition over all columns; below the projection that made them it holds every
+    feature's expression at once, and the optimizer then doubles its constraints with each feature.
+    """
+    return df.filter(reduce(and_, [F.col(f"`{c}`").isNotNull() for c in columns or df.columns]))
 
 
 def drop_report(df: DataFrame, columns: Sequence[str]) -> DataFrame:

@@ -351,7 +351,7 @@ def q_flagship(t: Tables) -> DataFrame:
     filled = clean.impute(t.grid(), ["value"], step="1 hour")
     spec = features.FeatureSpec(target="value", lags=(24, 168), windows=(24,), diffs=(24,), derived=False)
     b_cols = ["value", "value_lag_24h", "value_lag_168h", "value_roll_mean_24h", "target_24h"]
-    table = features.build_features(filled, spec, step="1 hour", drop=False).dropna(subset=b_cols)
+    table = ti.drop_incomplete(features.build_features(filled, spec, step="1 hour", drop=False), b_cols)
     split = ti.temporal_split(table)
     scored = split.select("series_id", "split", F.col("target_24h").alias("actual"), F.col("value").alias("predicted"))
     return rounded(regression_metrics(scored, keys=["series_id", "split"]), *_M)

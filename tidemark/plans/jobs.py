@@ -99,7 +99,7 @@ def run_inference(
     ``model`` is fitted (``transform`` adds ``prediction``) on the columns ``names``.
     """
     recent = ti.trailing_window(table, hours, keys=keys, ts=ts)
-    scored = model.transform(recent.dropna(subset=list(names))).withColumnRenamed("prediction", "predicted")
+    scored = model.transform(ti.drop_incomplete(recent, list(names))).withColumnRenamed("prediction", "predicted")
     out = cut(scoring.with_band(scored.select(*keys, ts, "predicted"), width=width))
     files.write_predictions(out.withColumn("file", F.lit(f"predictions_{stamp}")), f"{folder}/predictions")
     columns = drift.monitored_columns(table, prefix) or list(names)
