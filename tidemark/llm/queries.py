@@ -139,3 +139,28 @@ def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     from tidemark.llm import license_scan as s
 
     return s.scan(table(spark, sf_dir)).withColumn("coverage", F.round("coverage", 6))
+
+
+@query(r"""
+WITH texts AS (
+  SELECT doc_id, list_filter(regexp_split_to_array(coalesce(text, ''), '[ \t\n\v\f\r]+'), lambda x: x <> '') AS words FROM documents),
+places AS (SELECT doc_id, words, unnest(generate_series(1, len(words))) AS p FROM texts),
+words AS (SELECT doc_id, p, words[p] AS word, CASE WHEN p + 19 <= len(words) THEN array_to_string(words[p : p + 19], ' ') END AS run FROM places),
+judged AS (SELECT *, run IS NOT NULL AND row_number() OVER (PARTITION BY run ORDER BY doc_id, p) > 1 AS again FROM words),
+covered AS (SELECT *, max(CAST(again AS INT)) OVER (PARTITION BY doc_id ORDER BY p ROWS BETWEEN 19 PRECEDING AND CURRENT ROW) = 1 AS gone FROM judged),
+counted AS (SELECT doc_id, count(*) FILTER (gone) AS n_removed, string_agg(word, ' ' ORDER BY p) FILTER (NOT gone) AS kept FROM covered GROUP BY 1)
+SELECT t.doc_id, CAST(len(t.words) AS BIGINT) AS n_words, coalesce(c.n_removed, 0) AS n_removed, sha256(coalesce(c.kept, '')) AS kept_sha256
+FROM texts t LEFT JOIN counted c ON c.doc_id = t.doc_id
+""")
+def op12_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tidemark.llm import substring_dedup as s
+
+    cleaned = s.remove_repeats(table(spark, sf_dir))
+    return cleaned.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+@query()
+def op13_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tidemark.llm import spelling as s
+
+    return s.variants(table(spark, sf_dir))

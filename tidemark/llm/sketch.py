@@ -81,3 +81,74 @@ def marked(rows: DataFrame, ids: DataFrame, id_col: str, hit: bool, bits: int =
             yield batch.filter(pa.array(may if hit else ~may))
 
     return rows.mapInArrow(keep, rows.schema)
+
+
+# ------------------------------------------------------------------ Bloom bitmaps from sparse marks
+
+SPAN = 1 << 16
+MARKS = "span int, marks binary"
+
+
+def bloom_places(values: np.ndarray, bits: int) -> tuple[np.ndarray, np.ndarray]:
+    """The two places of each 64-bit value in a bitmap of 2**bits places."""
+    one = mix(values.astype(np.uint64, copy=False))
+    two = mix(one ^ np.uint64(0xD6E8FEB86659FD93))
+    return one >> np.uint64(64 - bits), two >> np.uint64(64 - bits)
+
+
+def mark_rows(values: np.ndarray, bits: int) -> pa.RecordBatch:
+    """(span, marks): the places of the values, cut into spans of 2**16 places; no dense table."""
+    at = np.unique(np.concatenate(bloom_places(values, bits)))
+    span = (at >> np.uint64(16)).astype(np.int64)
+    cuts = np.concatenate(([0], np.flatnonzero(np.diff(span)) + 1, [len(at)])) if len(at) else np.zeros(1, np.int64)
+    low = (at & np.uint64(SPAN - 1)).astype(np.uint16)
+    rows = [(int(span[a]), low[a:b].tobytes()) for a, b in zip(cuts[:-1], cuts[1:])]
+    return pa.RecordBatch.from_arrays([pa.array([s for s, _ in rows], pa.int32()), pa.array([m for _, m in rows], pa.binary())], names=["span", "marks"])
+
+
+def mark_batches(arrays, bits: int, most: int = 1 << 21):
+    """:func:`mark_rows` of about ``most`` values of a stream of arrays at a time."""
+    held, n = [], 0
+    for values in arrays:
+        held.append(values)
+        n += len(values)
+        if n >= most:
+            yield mark_rows(np.concatenate(held), bits)
+            held, n = [], 0
+    if n:
+        yield mark_rows(np.concatenate(held), bits)
+
+
+def bloom(marks: DataFrame, bits: int) -> np.ndarray:
+    """Bitmap of the (span, marks) rows: each span is merged in one task, the driver gets 2**bits bits."""
+
+    def add(batches):
+        spans: dict[int, np.ndarray] = {}
+        for batch in batches:
+            for k, raw in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                spans.setdefault(k, np.zeros(SPAN, np.bool_))[np.frombuffer(raw, np.uint16)] = True
+                if len(spans) > 256:  # a span may come twice, the driver joins the parts
+                    yield _span_batch(spans)
+                    spans = {}
+        yield _span_batch(spans)
+
+    out = np.zeros((1 << bits) // 8, np.uint8)
+    for row in marks.repartition("span").mapInArrow(add, "span int, part binary").collect():
+        part = np.frombuffer(row.part, np.uint8)
+        out[row.span * (SPAN // 8) : (row.span + 1) * (SPAN // 8)] |= part
+    return out
+
+
+def _span_batch(spans: dict) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays(
+        [pa.array(list(spans), pa.int32()), pa.array([np.packbits(v).tobytes() for v in spans.values()], pa.binary())], names=["span", "part"]
+    )
+
+
+def in_bloom(table: np.ndarray, values: np.ndarray) -> np.ndarray:
+    """False where a value surely was not marked."""
+    bits = (len(table) * 8).bit_length() - 1
+    found = np.ones(len(values), bool)
+    for at in bloom_places(values, bits):
+        found &= ((table[at >> np.uint64(3)] >> (7 - (at & np.uint64(7))).astype(np.uint8)) & 1).astype(bool)
+    return found
