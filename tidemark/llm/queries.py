@@ -164,3 +164,32 @@ def op13_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
     from tidemark.llm import spelling as s
 
     return s.variants(table(spark, sf_dir))
+
+
+@query(r"""
+WITH parts AS (
+  SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[.,;:!?\n\v\f\r]')) AS piece FROM documents),
+lists AS (SELECT lang, list_filter(regexp_split_to_array(piece, '[ \t]+'), lambda x: x <> '') AS w FROM parts),
+places AS (SELECT lang, w, unnest(generate_series(1, len(w))) AS p FROM lists),
+f1 AS (SELECT lang, w[p] AS x, count(*) AS c FROM places GROUP BY ALL),
+f2 AS (SELECT lang, w[p] AS x, w[p + 1] AS y, count(*) AS c FROM places WHERE p < len(w) GROUP BY ALL),
+f3 AS (SELECT lang, w[p] AS x, w[p + 1] AS y, w[p + 2] AS z, count(*) AS c FROM places WHERE p + 1 < len(w) GROUP BY ALL),
+total AS (SELECT lang, CAST(sum(c) AS BIGINT) AS n FROM f1 GROUP BY 1),
+longer AS (SELECT lang, x, y, c FROM f3 WHERE c >= 10 UNION ALL SELECT lang, y, z, c FROM f3 WHERE c >= 10),
+most AS (SELECT lang, x, y, max(c) AS c FROM longer GROUP BY ALL),
+two AS (SELECT f2.lang, f2.x || ' ' || f2.y AS phrase, f2.c AS a, l.c AS l, r.c AS r, (1000000::HUGEINT * f2.c * f2.c) // (l.c::HUGEINT * r.c) AS score
+  FROM f2 JOIN f1 l ON l.lang = f2.lang AND l.x = f2.x JOIN f1 r ON r.lang = f2.lang AND r.x = f2.y
+  LEFT JOIN most m ON m.lang = f2.lang AND m.x = f2.x AND m.y = f2.y WHERE f2.c >= 10 AND 100 * coalesce(m.c, 0) < 50 * f2.c),
+cuts AS (SELECT f3.lang, f3.x || ' ' || f3.y || ' ' || f3.z AS phrase, f3.c AS a, l1.c AS l1, r1.c AS r1, l2.c AS l2, r2.c AS r2,
+  (1000000::HUGEINT * f3.c * f3.c) // (l1.c::HUGEINT * r1.c) AS s1, (1000000::HUGEINT * f3.c * f3.c) // (l2.c::HUGEINT * r2.c) AS s2
+  FROM f3 JOIN f1 l1 ON l1.lang = f3.lang AND l1.x = f3.x JOIN f2 r1 ON r1.lang = f3.lang AND r1.x = f3.y AND r1.y = f3.z
+  JOIN f2 l2 ON l2.lang = f3.lang AND l2.x = f3.x AND l2.y = f3.y JOIN f1 r2 ON r2.lang = f3.lang AND r2.x = f3.z WHERE f3.c >= 10),
+found AS (SELECT * FROM two UNION ALL SELECT lang, phrase, a, CASE WHEN s1 <= s2 THEN l1 ELSE l2 END, CASE WHEN s1 <= s2 THEN r1 ELSE r2 END, least(s1, s2) FROM cuts),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM found)
+SELECT r.lang, r.rank, r.phrase, r.a, r.l, r.r, t.n, CAST(r.score AS BIGINT) AS score FROM ranked r JOIN total t ON t.lang = r.lang WHERE r.rank <= 2000
+""")
+def op11_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tidemark.llm import collocations as c
+
+    return c.mine(table(spark, sf_dir))

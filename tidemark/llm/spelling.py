@@ -29,8 +29,7 @@ from pyspark.sql import functions as F
 
 from tidemark.llm.text import pieces, saved
 
-_RUN = re.compile("[A-Za-zÀ-ÿ]+")
-_LOWER = {k: k + 32 for k in range(65, 91)}
+_RUN = "[A-Za-zÀ-ÿ]{%d,}"
 
 
 @dataclass(frozen=True)
@@ -49,26 +48,29 @@ class SpellingSpec:
             raise ValueError("forms need a factor of 2 or more, words 2 code points or more")
 
 
-def word_of(doc_id, run: str, drop: int) -> str:
-    """The counted form of a lower-cased run: where ``drop`` divides the hash, without one code point."""
-    if drop:
-        h = zlib.crc32(f"{'' if doc_id is None else doc_id}:{run}".encode())
-        if h % drop == 0:
-            k = h % len(run)
-            return run[:k] + run[k + 1 :]
+def word_of(seed: int, run: str, drop: int) -> str:
+    """The counted form of a lower-cased run: where ``drop`` divides the hash, without one code point.
+
+    ``seed`` is the crc32 of what stands before the run."""
+    h = zlib.crc32(run.encode(), seed)
+    if drop and h % drop == 0:
+        k = h % len(run)
+        return run[:k] + run[k + 1 :]
     return run
 
 
 def vocabulary(docs: DataFrame, spec: SpellingSpec = SpellingSpec()) -> DataFrame:
     """(word, n): words of the whole texts with their occurrences, summed in each task first."""
     shortest, drop = spec.shortest, spec.drop
+    runs = re.compile(_RUN % shortest).findall  # shorter runs make no word
 
     def run(batches):
         counts: Counter = Counter()
         for batch in pieces(batches):
-            for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                for found, n in Counter(_RUN.findall((text or "").translate(_LOWER))).items():
-                    word = word_of(doc_id, found, drop)
+            for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1).cast(pa.binary()).to_pylist()):
+                seed = zlib.crc32(f"{'' if doc_id is None else doc_id}:".encode())
+                for found, n in Counter(runs((text or b"").lower().decode())).items():  # bytes lower A-Z alone
+                    word = word_of(seed, found, drop)
                     if len(word) >= shortest:
                         counts[word] += n
             if len(counts) > 300_000:

@@ -27,6 +27,7 @@ ignored.  An empty table gives an empty result.
 from __future__ import annotations
 
 from dataclasses import dataclass
+from itertools import compress
 
 import numpy as np
 import pyarrow as pa
@@ -58,14 +59,10 @@ def _key(words: list[bytes]) -> tuple[int, int]:
     return int.from_bytes(digest[:8], "big", signed=True), int.from_bytes(digest[8:], "big", signed=True)
 
 
-def _words(text: str | None) -> list[bytes]:
-    return (text or "").encode().split()
-
-
 def _texts(batches):
-    """(doc_id, words) of every row of (doc_id, text, ...) batches, a batch at a time."""
+    """(batch, words of each text) of (doc_id, text, ...) batches; bytes are split as they come."""
     for batch in pieces(batches):
-        yield batch, [_words(t) for t in batch.column("text").to_pylist()]
+        yield batch, [(t or b"").split() for t in batch.column("text").cast(pa.binary()).to_pylist()]
 
 
 def _keys(docs: DataFrame, id_type: str) -> DataFrame:
@@ -162,23 +159,34 @@ def _starts(ids: np.ndarray, anchors: np.ndarray, spec: RepeatSpec) -> np.ndarra
 
 
 def _window_rows(docs: DataFrame, shared, spec: RepeatSpec, id_type: str) -> DataFrame:
-    """(w1, w2, doc_id, k1, start): the windows around the anchors."""
+    """(w1, w2, doc_id, k1, start): the windows around the anchors, and for each document that has
+    any one row of its own with the start -1."""
+    names = ["w1", "w2", "doc_id", "k1", "start"]
 
     def run(batches):
         hashes = WordHashes()
         for batch, texts in _texts(batches):
-            ids, keys = batch.column("doc_id"), batch.column("k1").to_numpy()
+            ids, k1, k2 = batch.column("doc_id"), batch.column("k1"), batch.column("k2")
+            held: list[list] = [[], [], [], [], []]
+            size = 0
             for i, w in enumerate(texts):
                 values = hashes.of(w)
                 at = _starts(values, shared.value, spec)
                 for lo in range(0, len(at), 1 << 18):
                     some = at[lo : lo + (1 << 18)]
                     part = values[some[0] : some[-1] + spec.window]
-                    one, two = windows(part, spec.window)[some - some[0]], windows(mix(part ^ _SALT), spec.window)[some - some[0]]
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array(one.view(np.int64)), pa.array(two.view(np.int64)), pa.array([ids[i].as_py()] * len(some), ids.type), pa.array(np.full(len(some), keys[i])), pa.array(some)],
-                        names=["w1", "w2", "doc_id", "k1", "start"],
-                    )
+                    some_hashes = [windows(p, spec.window)[some - some[0]].view(np.int64) for p in (part, mix(part ^ _SALT))]
+                    for column, add in zip(held, (*map(pa.array, some_hashes), pa.repeat(ids[i], len(some)), pa.repeat(k1[i], len(some)), pa.array(some))):
+                        column.append(add)
+                    size += len(some)
+                    if size >= 1 << 18:
+                        yield pa.RecordBatch.from_arrays([pa.concat_arrays(c) for c in held], names=names)
+                        held, size = [[], [], [], [], []], 0
+                if len(at):
+                    for column, add in zip(held, (k1[i : i + 1], k2[i : i + 1], ids[i : i + 1], k1[i : i + 1], pa.array([-1], pa.int64()))):
+                        column.append(add)
+            if held[0]:
+                yield pa.RecordBatch.from_arrays([pa.concat_arrays(c) for c in held], names=names)
 
     return docs.mapInArrow(run, f"w1 long, w2 long, doc_id {id_type}, k1 long, start long")
 
@@ -193,7 +201,7 @@ def _cut(words: list[bytes], starts: np.ndarray, window: int) -> tuple[int, list
     np.add.at(edge, starts + window, -1)
     gone = np.cumsum(edge)[:-1] > 0
     turn = np.flatnonzero(np.diff(np.concatenate(([0], gone.astype(np.int8), [0]))))
-    kept = b" ".join(w for w, g in zip(words, gone) if not g) if gone.any() else b" ".join(words)
+    kept = b" ".join(compress(words, (~gone).tolist()))
     return int(gone.sum()), [{"start": int(a), "end": int(b)} for a, b in zip(turn[::2], turn[1::2])], kept.decode()
 
 
@@ -229,31 +237,18 @@ def remove_repeats(docs: DataFrame, spec: RepeatSpec = RepeatSpec()) -> DataFram
     first = _window_rows(texts, anchors, spec, id_type).groupBy("w1", "w2").agg(order)
     own = first.groupBy("first.doc_id", "first.k1").agg(F.collect_list("first.start").alias("own"))
     own = saved(own, "repeat-own")
-    block = spec.block
+    changed = context.broadcast(bloom(_marks(own.select("k1").unionByName(copies.select("k1")), small), small))
 
     schema = to_arrow_schema(StructType.fromDDL(f"doc_id {id_type}, {_OUT}"))
 
     def clean(batches):
         """Rows without an anchor and without a copy keep all words."""
-        hashes = WordHashes()
         for batch, texts in _texts(batches):
             k1 = np.array([_key(w)[0] for w in texts], np.int64)
-            copy = in_bloom(copied.value, k1.view(np.uint64))
-            free = np.array([len(w) < spec.window or (not copy[i] and not in_bloom(anchors.value, windows(hashes.of(w), block)).any()) for i, w in enumerate(texts)], bool)
-            rows = [(len(w), 0, [], b" ".join(w).decode()) for w, f in zip(texts, free) if f]
+            free = np.fromiter((len(w) < spec.window for w in texts), bool, len(texts)) | ~in_bloom(changed.value, k1.view(np.uint64))
+            rows = [(len(w), 0, [], b" ".join(w).decode()) for w in compress(texts, free.tolist())]
             yield _columns(batch.column("doc_id").filter(pa.array(free)), rows, schema)
 
-    def touched(batches):
-        hashes = WordHashes()
-        for batch, texts in _texts(batches):
-            keys = [_key(w) for w in texts]
-            copy = in_bloom(copied.value, np.array([k for k, _ in keys], np.int64).view(np.uint64))
-            keep = np.array([len(w) >= spec.window and (copy[i] or bool(in_bloom(anchors.value, windows(hashes.of(w), block)).any())) for i, w in enumerate(texts)], bool)
-            out = pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), pa.array([k for k, _ in keys], pa.int64()), pa.array([k for _, k in keys], pa.int64()), batch.column("text")], names=["doc_id", "k1", "k2", "text"]
-            )
-            yield out.filter(pa.array(keep))
-
     def finish(batches):
         hashes = WordHashes()
         for batch, texts in _texts(batches):
@@ -263,7 +258,7 @@ def remove_repeats(docs: DataFrame, spec: RepeatSpec = RepeatSpec()) -> DataFram
                 rows.append((len(w), *_cut(w, at, spec.window)))
             yield _columns(batch.column("doc_id"), rows, schema)
 
-    rows = docs.mapInArrow(touched, f"doc_id {id_type}, k1 long, k2 long, text string").alias("t")
+    rows = _by_key(docs, changed, id_type, spec.window, True).alias("t")
     rows = rows.join(copies.withColumn("whole", F.lit(True)).alias("c"), _same("t", "c"), "left").select("t.*", F.coalesce("c.whole", F.lit(False)).alias("whole")).alias("t")
     rows = rows.join(own.alias("o"), _same("t", "o", ("doc_id", "k1")), "left").select("t.doc_id", "t.text", "t.whole", "o.own")
     return docs.mapInArrow(clean, f"doc_id {id_type}, {_OUT}").unionByName(rows.mapInArrow(finish, f"doc_id {id_type}, {_OUT}"))
