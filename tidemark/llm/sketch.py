@@ -123,26 +123,26 @@ def bloom(marks: DataFrame, bits: int) -> np.ndarray:
     """Bitmap of the (span, marks) rows: each span is merged in one task, the driver gets 2**bits bits."""
 
     def add(batches):
-        spans: dict[int, np.ndarray] = {}
+        span, seen = None, np.zeros(SPAN, np.bool_)
         for batch in batches:
             for k, raw in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                spans.setdefault(k, np.zeros(SPAN, np.bool_))[np.frombuffer(raw, np.uint16)] = True
-                if len(spans) > 256:  # a span may come twice, the driver joins the parts
-                    yield _span_batch(spans)
-                    spans = {}
-        yield _span_batch(spans)
+                if k != span:
+                    if span is not None:
+                        yield _part(span, seen)
+                    span, seen = k, np.zeros(SPAN, np.bool_)
+                seen[np.frombuffer(raw, np.uint16)] = True
+        if span is not None:
+            yield _part(span, seen)
 
     out = np.zeros((1 << bits) // 8, np.uint8)
-    for row in marks.repartition("span").mapInArrow(add, "span int, part binary").collect():
+    for row in marks.repartition("span").sortWithinPartitions("span").mapInArrow(add, "span int, part binary").collect():
         part = np.frombuffer(row.part, np.uint8)
         out[row.span * (SPAN // 8) : (row.span + 1) * (SPAN // 8)] |= part
     return out
 
 
-def _span_batch(spans: dict) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays(
-        [pa.array(list(spans), pa.int32()), pa.array([np.packbits(v).tobytes() for v in spans.values()], pa.binary())], names=["span", "part"]
-    )
+def _part(span: int, seen: np.ndarray) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array([span], pa.int32()), pa.array([np.packbits(seen).tobytes()], pa.binary())], names=["span", "part"])
 
 
 def in_bloom(table: np.ndarray, values: np.ndarray) -> np.ndarray:
