@@ -52,7 +52,7 @@ class CollocationSpec:
     inside: int = 50
     top: int = 2000
     bits: int = 27
-    bucket: int = 4_000_000
+    bucket: int = 2_000_000
 
 
 def _sequences(batches):
@@ -120,7 +120,7 @@ def _summed(h: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return h[first], np.add.reduceat(n[order], first) if len(h) else n
 
 
-def _screen(docs: DataFrame, buckets: int, limit: int = 3_000_000) -> DataFrame:
+def _screen(docs: DataFrame, buckets: int, limit: int = 2_000_000) -> DataFrame:
     """Packed sums of the hashes of pairs and triples, about ``limit`` occurrences at a time."""
 
     def run(batches):

@@ -87,12 +87,13 @@ def marked(rows: DataFrame, ids: DataFrame, id_col: str, hit: bool, bits: int =
 
 SPAN = 1 << 16
 MARKS = "span int, marks binary"
+_SECOND = np.uint64(0xD6E8FEB86659FD93)
 
 
 def bloom_places(values: np.ndarray, bits: int) -> tuple[np.ndarray, np.ndarray]:
     """The two places of each 64-bit value in a bitmap of 2**bits places."""
     one = mix(values.astype(np.uint64, copy=False))
-    two = mix(one ^ np.uint64(0xD6E8FEB86659FD93))
+    two = mix(one ^ _SECOND)
     return one >> np.uint64(64 - bits), two >> np.uint64(64 - bits)
 
 
@@ -148,7 +149,12 @@ def _part(span: int, seen: np.ndarray) -> pa.RecordBatch:
 def in_bloom(table: np.ndarray, values: np.ndarray) -> np.ndarray:
     """False where a value surely was not marked."""
     bits = (len(table) * 8).bit_length() - 1
-    found = np.ones(len(values), bool)
-    for at in bloom_places(values, bits):
-        found &= ((table[at >> np.uint64(3)] >> (7 - (at & np.uint64(7))).astype(np.uint8)) & 1).astype(bool)
+    one = mix(values.astype(np.uint64, copy=False))
+    found = _set(table, one >> np.uint64(64 - bits))
+    may = np.flatnonzero(found)
+    found[may] = _set(table, mix(one[may] ^ _SECOND) >> np.uint64(64 - bits))
     return found
+
+
+def _set(table: np.ndarray, at: np.ndarray) -> np.ndarray:
+    return ((table[at >> np.uint64(3)] >> (7 - (at & np.uint64(7))).astype(np.uint8)) & 1).astype(bool)

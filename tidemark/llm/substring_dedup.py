@@ -13,8 +13,8 @@ block of ``window // 2`` words that begins at a multiple of that length.  So:
    stretches' windows are the first.  The others' words go.
 
 No occurrence is paired with another one, so a passage that a third of all rows share costs as
-many rows as it has words in each task.  Bitmaps only leave out work; windows are compared by two
-independent 64-bit hashes.  The bitmaps have a fixed size (``bits``): beyond some 40 million
+many rows as it has words in each task.  Bitmaps only leave out work; windows are compared by hashes
+of 96 bits.  The bitmaps have a fixed size (``bits``): beyond some 100 million
 blocks more chance hits are counted in step 3, up to one row for every word, and the result is the same.
 
 Defined results: a null or wordless text has no words and keeps "".  A text shorter than a
@@ -36,17 +36,18 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm.sketch import MARKS, bloom, in_bloom, mark_batches
-from tidemark.llm.text import WordHashes, mix, pieces, saved, windows
+from tidemark.llm.text import WordHashes, mix, pieces, saved
 
 _SALT = np.uint64(0xA5A3564E27F88651)
+_BASE = 0x9E3779B97F4A7C15
 
 
 @dataclass(frozen=True)
 class RepeatSpec:
-    """``window`` words make a repeat; ``bits`` sizes the two bitmaps (16 MB each)."""
+    """``window`` words make a repeat; ``bits`` sizes the two bitmaps (32 MB each)."""
 
     window: int = 20
-    bits: int = 27
+    bits: int = 28
 
     @property
     def block(self) -> int:
@@ -59,6 +60,23 @@ def _key(words: list[bytes]) -> tuple[int, int]:
     return int.from_bytes(digest[:8], "big", signed=True), int.from_bytes(digest[8:], "big", signed=True)
 
 
+def windows(ids: np.ndarray, size: int) -> np.ndarray:
+    """Hash of every run of ``size`` consecutive values, by doubling the length of the runs."""
+    if len(ids) < size:
+        return np.empty(0, np.uint64)
+    out, have = None, 0
+    run, length, factor = ids, 1, _BASE  # hashes of runs of ``length`` values, _BASE ** length
+    while True:
+        if size & length:
+            n = len(ids) - have - length + 1
+            out = run[:n].copy() if out is None else out[:n] * np.uint64(factor) + run[have : have + n]
+            have += length
+        if have == size:
+            return mix(out)
+        run = run[:-length] * np.uint64(factor) + run[length:]
+        length, factor = length * 2, factor * factor & (1 << 64) - 1
+
+
 def _texts(batches):
     """(batch, words of each text) of (doc_id, text, ...) batches; bytes are split as they come."""
     for batch in pieces(batches):
@@ -86,20 +104,43 @@ def _same(a: str, b: str, columns=("doc_id", "k1", "k2")) -> Column:
     return fits
 
 
-def _by_key(docs: DataFrame, shared, id_type: str, least: int, hit: bool) -> DataFrame:
-    """(doc_id, k1, k2, text) of rows of at least ``least`` words whose key is (not) in a bitmap."""
+def _by_key(docs: DataFrame, shared, twice, id_type: str, least: int, hit: bool) -> DataFrame:
+    """(doc_id, k, k1, k2, text) of rows of at least ``least`` words whose key is (not) in a bitmap.
+
+    ``k`` tells documents of one id apart: 0 for an id that surely occurs once, else the key.
+    """
 
     def run(batches):
         for batch, texts in _texts(batches):
             keys = [_key(w) for w in texts]
             k1 = np.array([k for k, _ in keys], np.int64)
             keep = (in_bloom(shared.value, k1.view(np.uint64)) == hit) & np.fromiter((len(w) >= least for w in texts), bool, len(texts))
+            k = np.where(_may_repeat(batch.column("doc_id"), twice.value), k1, 0)
             out = pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), pa.array(k1), pa.array([k for _, k in keys], pa.int64()), batch.column("text")], names=["doc_id", "k1", "k2", "text"]
+                [batch.column("doc_id"), pa.array(k), pa.array(k1), pa.array([k for _, k in keys], pa.int64()), batch.column("text")], names=["doc_id", "k", "k1", "k2", "text"]
             )
             yield out.filter(pa.array(keep))
 
-    return docs.mapInArrow(run, f"doc_id {id_type}, k1 long, k2 long, text string")
+    return docs.mapInArrow(run, f"doc_id {id_type}, k long, k1 long, k2 long, text string")
+
+
+def _told_apart(copies: DataFrame, twice, id_type: str) -> DataFrame:
+    """(doc_id, k) of (doc_id, k1, k2)."""
+
+    def run(batches):
+        for batch in pieces(batches):
+            k = np.where(_may_repeat(batch.column("doc_id"), twice.value), batch.column("k1").to_numpy(), 0)
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(k)], names=["doc_id", "k"])
+
+    return copies.mapInArrow(run, f"doc_id {id_type}, k long")
+
+
+def _may_repeat(ids: pa.Array, twice: np.ndarray) -> np.ndarray:
+    """True where an id may occur twice: not surely once, null, or no integer."""
+    if not pa.types.is_integer(ids.type):
+        return np.ones(len(ids), bool)
+    values = ids.cast(pa.int64()).fill_null(0).to_numpy(zero_copy_only=False)
+    return in_bloom(twice, values.view(np.uint64)) | ids.is_null().to_numpy(zero_copy_only=False)
 
 
 def _marks(values: DataFrame, bits: int) -> DataFrame:
@@ -152,22 +193,23 @@ def _starts(ids: np.ndarray, anchors: np.ndarray, spec: RepeatSpec) -> np.ndarra
     if last < 0:
         return np.empty(0, np.int64)
     at = np.flatnonzero(in_bloom(anchors, windows(ids, spec.block)))
-    edge = np.zeros(len(ids) + 2, np.int64)
-    np.add.at(edge, np.maximum(at - (spec.window - spec.block), 0), 1)
-    np.add.at(edge, at + 1, -1)
+    if not len(at):
+        return at
+    n = len(ids) + 1
+    edge = np.bincount(np.maximum(at - (spec.window - spec.block), 0), minlength=n) - np.bincount(at + 1, minlength=n)
     return np.flatnonzero(np.cumsum(edge)[: last + 1] > 0)
 
 
 def _window_rows(docs: DataFrame, shared, spec: RepeatSpec, id_type: str) -> DataFrame:
-    """(w1, w2, doc_id, k1, start): the windows around the anchors, and for each document that has
-    any one row of its own with the start -1."""
-    names = ["w1", "w2", "doc_id", "k1", "start"]
+    """(w1, w2, doc_id, k, start, around): the windows around the anchors.  Each document that has any
+    also leaves one row of its own with the start -1 and all its starts as packed ranges."""
+    names = ["w1", "w2", "doc_id", "k", "start", "around"]
 
     def run(batches):
         hashes = WordHashes()
         for batch, texts in _texts(batches):
-            ids, k1, k2 = batch.column("doc_id"), batch.column("k1"), batch.column("k2")
-            held: list[list] = [[], [], [], [], []]
+            ids, k, k1 = batch.column("doc_id"), batch.column("k"), batch.column("k1")
+            held: list[list] = [[] for _ in names]
             size = 0
             for i, w in enumerate(texts):
                 values = hashes.of(w)
@@ -175,20 +217,33 @@ def _window_rows(docs: DataFrame, shared, spec: RepeatSpec, id_type: str) -> Dat
                 for lo in range(0, len(at), 1 << 18):
                     some = at[lo : lo + (1 << 18)]
                     part = values[some[0] : some[-1] + spec.window]
-                    some_hashes = [windows(p, spec.window)[some - some[0]].view(np.int64) for p in (part, mix(part ^ _SALT))]
-                    for column, add in zip(held, (*map(pa.array, some_hashes), pa.repeat(ids[i], len(some)), pa.repeat(k1[i], len(some)), pa.array(some))):
+                    one, two = (windows(p, spec.window)[some - some[0]].view(np.int64) for p in (part, mix(part ^ _SALT)))
+                    more = (pa.array(one), pa.array(two >> 32), pa.repeat(ids[i], len(some)), pa.repeat(k[i], len(some)), pa.array(some), pa.nulls(len(some), pa.binary()))
+                    for column, add in zip(held, more):
                         column.append(add)
                     size += len(some)
                     if size >= 1 << 18:
                         yield pa.RecordBatch.from_arrays([pa.concat_arrays(c) for c in held], names=names)
-                        held, size = [[], [], [], [], []], 0
+                        held, size = [[] for _ in names], 0
                 if len(at):
-                    for column, add in zip(held, (k1[i : i + 1], k2[i : i + 1], ids[i : i + 1], k1[i : i + 1], pa.array([-1], pa.int64()))):
+                    own = (k1[i : i + 1], pa.array([1 << 40], pa.int64()), ids[i : i + 1], k[i : i + 1], pa.array([-1], pa.int64()), pa.array([_packed(at)], pa.binary()))
+                    for column, add in zip(held, own):
                         column.append(add)
             if held[0]:
                 yield pa.RecordBatch.from_arrays([pa.concat_arrays(c) for c in held], names=names)
 
-    return docs.mapInArrow(run, f"w1 long, w2 long, doc_id {id_type}, k1 long, start long")
+    return docs.mapInArrow(run, f"w1 long, w2 long, doc_id {id_type}, k long, start long, around binary")
+
+
+def _packed(at: np.ndarray) -> bytes:
+    """Ascending numbers as (first, last) of each range."""
+    cut = np.flatnonzero(np.diff(at) != 1)
+    return np.stack([at[np.concatenate(([0], cut + 1))], at[np.concatenate((cut, [len(at) - 1]))]], 1).astype(np.int64).tobytes()
+
+
+def _unpacked(raw: bytes | None) -> np.ndarray:
+    ranges = np.frombuffer(raw or b"", np.int64).reshape(-1, 2)
+    return np.concatenate([np.arange(a, b + 1) for a, b in ranges]) if len(ranges) else np.empty(0, np.int64)
 
 
 _OUT = "n_words long, n_removed long, removed array<struct<start:long,end:long>>, kept string"
@@ -196,10 +251,8 @@ _OUT = "n_words long, n_removed long, removed array<struct<start:long,end:long>>
 
 def _cut(words: list[bytes], starts: np.ndarray, window: int) -> tuple[int, list[dict], str]:
     """Words covered by the windows at ``starts``: their number, their stretches, the text left."""
-    edge = np.zeros(len(words) + 1, np.int64)
-    np.add.at(edge, starts, 1)
-    np.add.at(edge, starts + window, -1)
-    gone = np.cumsum(edge)[:-1] > 0
+    n = len(words) + 1
+    gone = np.cumsum(np.bincount(starts, minlength=n) - np.bincount(starts + window, minlength=n))[:-1] > 0
     turn = np.flatnonzero(np.diff(np.concatenate(([0], gone.astype(np.int8), [0]))))
     kept = b" ".join(compress(words, (~gone).tolist()))
     return int(gone.sum()), [{"start": int(a), "end": int(b)} for a, b in zip(turn[::2], turn[1::2])], kept.decode()
@@ -226,17 +279,24 @@ def remove_repeats(docs: DataFrame, spec: RepeatSpec = RepeatSpec()) -> DataFram
     copies = saved(keys.alias("k").join(first.alias("f"), _same("k", "f"), "left_anti").distinct(), "repeat-copies")
     small = max(16, spec.bits - 4)
     copied = context.broadcast(bloom(_marks(copies.select("k1"), small), small))
-    alone, many = (_by_key(docs, copied, id_type, spec.window, hit) for hit in (False, True))
+    repeated = keys.groupBy("doc_id").count().where("count > 1 AND doc_id IS NOT NULL").select("doc_id")
+    integer = id_type in ("tinyint", "smallint", "int", "bigint")
+    twice = context.broadcast(bloom(_marks(repeated.select(F.col("doc_id").cast("long")), small), small) if integer else np.zeros(1, np.uint8))
+    alone, many = (_by_key(docs, copied, twice, id_type, spec.window, hit) for hit in (False, True))
     texts = saved(alone.unionByName(many.alias("m").join(copies.alias("c"), _same("m", "c"), "left_anti")), "repeat-texts")
 
     blocks = context.broadcast(bloom(_block_marks(texts, spec), spec.bits))
     counted = _anchor_counts(texts, blocks, spec).groupBy("h").agg(F.sum("n").alias("n"), F.sum("blocks").alias("blocks"))
     anchors = context.broadcast(bloom(_marks(counted.where("n > 1 AND blocks > 0").select("h"), spec.bits), spec.bits))
     blocks.destroy()
-    order = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "k1", "start")).alias("first")
-    first = _window_rows(texts, anchors, spec, id_type).groupBy("w1", "w2").agg(order)
-    own = first.groupBy("first.doc_id", "first.k1").agg(F.collect_list("first.start").alias("own"))
+    order = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "k", "start")).alias("first")
+    first = _window_rows(texts, anchors, spec, id_type).groupBy("w1", "w2").agg(order, F.max("around").alias("around"))
+    own = first.groupBy("first.doc_id", "first.k").agg(
+        F.collect_list("first.start").alias("own"), F.max("around").alias("around"), F.max(F.when(F.col("first.start") == -1, F.col("w1"))).alias("k1")
+    )
     own = saved(own, "repeat-own")
+    known = own.select("doc_id", "k", "own", "around", F.lit(False).alias("whole"))
+    known = known.unionByName(_told_apart(copies, twice, id_type).withColumn("whole", F.lit(True)), allowMissingColumns=True)
     changed = context.broadcast(bloom(_marks(own.select("k1").unionByName(copies.select("k1")), small), small))
 
     schema = to_arrow_schema(StructType.fromDDL(f"doc_id {id_type}, {_OUT}"))
@@ -250,15 +310,14 @@ def remove_repeats(docs: DataFrame, spec: RepeatSpec = RepeatSpec()) -> DataFram
             yield _columns(batch.column("doc_id").filter(pa.array(free)), rows, schema)
 
     def finish(batches):
-        hashes = WordHashes()
         for batch, texts in _texts(batches):
             rows = []
-            for w, mine, whole in zip(texts, batch.column("own").to_pylist(), batch.column("whole").to_pylist()):
-                at = np.arange(len(w) - spec.window + 1) if whole else np.setdiff1d(_starts(hashes.of(w), anchors.value, spec), np.array(mine or [], np.int64))
+            for w, mine, around, whole in zip(texts, *(batch.column(c).to_pylist() for c in ("own", "around", "whole"))):
+                at = np.arange(len(w) - spec.window + 1) if whole else np.setdiff1d(_unpacked(around), np.array(mine or [], np.int64), assume_unique=True)
                 rows.append((len(w), *_cut(w, at, spec.window)))
             yield _columns(batch.column("doc_id"), rows, schema)
 
-    rows = _by_key(docs, changed, id_type, spec.window, True).alias("t")
-    rows = rows.join(copies.withColumn("whole", F.lit(True)).alias("c"), _same("t", "c"), "left").select("t.*", F.coalesce("c.whole", F.lit(False)).alias("whole")).alias("t")
-    rows = rows.join(own.alias("o"), _same("t", "o", ("doc_id", "k1")), "left").select("t.doc_id", "t.text", "t.whole", "o.own")
+    # The one join that moves texts; a document and its row in ``known`` meet alone.
+    rows = _by_key(docs, changed, twice, id_type, spec.window, True).alias("t").join(known.alias("o"), _same("t", "o", ("doc_id", "k")), "left")
+    rows = rows.select("t.doc_id", "t.text", "o.own", "o.around", F.coalesce("o.whole", F.lit(False)).alias("whole"))
     return docs.mapInArrow(clean, f"doc_id {id_type}, {_OUT}").unionByName(rows.mapInArrow(finish, f"doc_id {id_type}, {_OUT}"))
