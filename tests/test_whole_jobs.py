@@ -34,7 +34,7 @@ def trained(spark, table, tmp_path_factory):
     candidates = [
         models.Candidate("trees", lambda d: models.gbt(names, label, {"n_estimators": 8}).fit(d), 1),
         models.Candidate("naive", lambda d: models.ColumnModel("value"), 2),
-        models.Candidate("broken", lambda d: models.gbt(names, label, {"reg_lambda": 1.0}).fit(d), 3),
+        models.Candidate("broken", lambda d: models.gbt(names, label, {"booster": 1.0}).fit(d), 3),
     ]
     picked, metrics = jobs.run_training(split, spec, candidates, folder=folder, run_id="r1")
     return folder, names, picked, metrics
@@ -42,9 +42,9 @@ def trained(spark, table, tmp_path_factory):
 
 def test_training_logs_and_saves(spark, trained):
     folder, names, picked, metrics = trained
-    assert picked.best in ("trees", "naive") and "reg_lambda" in picked.failures["broken"]
+    assert picked.best in ("trees", "naive") and "booster" in picked.failures["broken"]
     errors = {r.model: r.error for r in picked.metrics.collect()}
-    assert errors["trees"] is None and "counterpart" in errors["broken"]
+    assert errors["trees"] is None and "unknown" in errors["broken"]
     assert files.best_logged_run(spark, f"{folder}/runs").first().run_id == "r1"
     stored = files.load_baseline(spark, f"{folder}/best").first()
     assert abs(stored.rmse - metrics.first().rmse) < 1e-9

@@ -4,18 +4,17 @@ from __future__ import annotations
 
 import random
 from collections.abc import Callable, Sequence
-from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
-from pyspark import StorageLevel
 from pyspark.errors import AnalysisException, IllegalArgumentException
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.feature import VectorAssembler
-from pyspark.ml.regression import GBTRegressor, LinearRegression
+from pyspark.ml.regression import LinearRegression
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions.metrics import regression_metrics
+from tidemark.operators import boosting
 from tidemark.operators.blocks import DEFAULT_KEYS, attach, micros
 from tidemark.operators.quantiles import exact_quantiles
 
@@ -28,36 +27,20 @@ SEARCH_SPACE = {
     "colsample_bytree": (0.4, 1.0, "float"),
     "min_child_weight": (1, 20, "int"),
     "gamma": (0.0, 3.0, "float"),
+    "reg_alpha": (1e-8, 5.0, "log"),
+    "reg_lambda": (1e-8, 5.0, "log"),
 }
 
-TREE_PARAMETERS = frozenset([*SEARCH_SPACE, "max_bins"])
 
+def gbt(features: Sequence[str], label: str, params: dict | None = None, seed: int = 42) -> boosting.Booster:
+    """Penalised boosted trees; an unknown parameter is an error."""
+    return boosting.Booster(tuple(features), label, boosting.TreeParams.of(params), seed)
 
-def gbt(features: Sequence[str], label: str, params: dict | None = None, seed: int = 42) -> Pipeline:
-    """Boosted trees; parameter names follow the usual boosting vocabulary.
 
-    Penalties on leaf weights have no counterpart in the Spark learner; a parameter that is
-    not in ``TREE_PARAMETERS`` is an error.
-    """
-    p = dict(params or {})
-    unknown = set(p) - TREE_PARAMETERS
-    if unknown:
-        raise ValueError(f"parameters without a counterpart: {sorted(unknown)}")
-    tree = GBTRegressor(
-        featuresCol="features", labelCol=label, predictionCol="prediction", seed=seed,
-        maxIter=int(p.get("n_estimators", 100)), stepSize=float(p.get("learning_rate", 0.1)),
-        maxDepth=int(p.get("max_depth", 3)), subsamplingRate=float(p.get("subsample", 1.0)),
-        minInstancesPerNode=int(p.get("min_child_weight", 1)), minInfoGain=float(p.get("gamma", 0.0)),
-        featureSubsetStrategy=str(p.get("colsample_bytree", "all")), maxBins=int(p.get("max_bins", 32)),
-        cacheNodeIds=False,
-    )
-    return Pipeline(stages=[VectorAssembler(inputCols=list(features), outputCol="features"), tree])
-
-
-def importances(model: PipelineModel, features: Sequence[str], spark) -> DataFrame:
+def importances(model: boosting.BoostedModel, features: Sequence[str], spark) -> DataFrame:
     """One row with the array ``importances`` in the order of ``features``."""
-    values = [float(v) for v in model.stages[-1].featureImportances.toArray()]
-    return spark.range(1).select(F.lit(values).alias("importances"))
+    share = dict(zip(model.features, model.importances()))
+    return spark.range(1).select(F.lit([share[f] for f in features]).alias("importances"))
 
 
 def score(model, df: DataFrame, label: str) -> DataFrame:
@@ -88,38 +71,21 @@ def random_search(
     n_trials: int = 50,
     seed: int = 42,
     space: dict = SEARCH_SPACE,
-    parallelism: int = 2,
+    **halving,
 ) -> tuple[DataFrame, dict]:
     """Seeded random search by validation RMSE: the trial table and the best parameters.
 
-    Trials run as concurrent Spark jobs over persisted inputs; only one metric row per
-    trial reaches the driver.
+    All trials grow over one binned table in the same Spark jobs, see :func:`boosting.search` for
+    the rule (``rungs``, ``keep``, ``patience``) by which losing trials end.
     """
     rng = random.Random(seed)
     trials = [draw(rng, space) for _ in range(n_trials)]
-    columns = [*features, label]
-    train = train.select(*columns).persist(StorageLevel.MEMORY_AND_DISK)
-    val = val.select(*columns).persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-
-        def one(params: dict) -> dict:
-            fitted = gbt(features, label, params, seed).fit(train)
-            return regression_metrics(score(fitted, val, label)).first().asDict()
-
-        with ThreadPoolExecutor(parallelism) as pool:
-            results = list(pool.map(one, trials))
-    finally:
-        train.unpersist()
-        val.unpersist()
-    rows = [
-        (i, {k: float(v) for k, v in p.items()}, float(m["rmse"]), float(m["mae"]), float(m["r2"]))
-        for i, (p, m) in enumerate(zip(trials, results))
-    ]
+    rows, _, best = boosting.search(train, val, features, label, trials, seed=seed, **halving)
     table = train.sparkSession.createDataFrame(
-        rows, "trial int, params map<string,double>, rmse double, mae double, r2 double"
+        [(r["trial"], r["params"], r["rmse"], r["n_trees"], r["best_trees"], r["ended"]) for r in rows],
+        "trial int, params map<string,double>, rmse double, n_trees int, best_trees int, ended string",
     )
-    best = min(rows, key=lambda r: (r[2], r[0]))
-    return table, trials[best[0]]
+    return table, best
 
 
 # ------------------------------------------------------------------ additive regression
@@ -262,7 +228,7 @@ def select_model(train: DataFrame, val: DataFrame, label: str, candidates: Seque
     return Selection(best, fitted[best], table, failures)
 
 
-def fit_best(train: DataFrame, val: DataFrame, features: Sequence[str], label: str, **search) -> tuple[PipelineModel, dict, DataFrame]:
+def fit_best(train: DataFrame, val: DataFrame, features: Sequence[str], label: str, **search) -> tuple[boosting.BoostedModel, dict, DataFrame]:
     """Search, then fit the best parameters again on the training rows: (model, parameters, trials)."""
     trials, best = random_search(train, val, features, label, **search)
     return gbt(features, label, best, search.get("seed", 42)).fit(train), best, trials

@@ -16,7 +16,6 @@ SPEC = features.FeatureSpec(target="value", lags=(1, 2, 24, 168), windows=(6, 24
 # The published parameters of the selected model.
 BEST = {"n_estimators": 163, "max_depth": 3, "learning_rate": 0.0391, "subsample": 0.883}
 _FITTED: dict = {}
-WALK_TREES = 20  # per fold: five fits of the full size would take minutes
 _M = ("rmse", "mae", "mape", "smape", "r2")
 
 
@@ -64,9 +63,8 @@ def q_top_importance(t: Tables) -> DataFrame:
 def q_search(t: Tables) -> DataFrame:
     split, names = feature_table(t)
     train, val, _ = parts(split)
-    space = {**models.SEARCH_SPACE, "n_estimators": (2, 4, "int"), "max_depth": (2, 4, "int")}
-    trials, _ = models.random_search(train, val, names, SPEC.target_column, n_trials=3, space=space)
-    return rounded(trials.select("trial", "rmse", "mae", "r2"), "rmse", "mae", "r2")
+    trials, _ = models.random_search(train, val, names, SPEC.target_column)
+    return rounded(trials.select("trial", "rmse", "n_trees", "best_trees", "ended"), "rmse")
 
 
 @query()
@@ -111,7 +109,7 @@ def q_walk_forward_gbt(t: Tables) -> DataFrame:
     split, names = feature_table(t)
     label = SPEC.target_column
     rows = cut(walk_forward(split, k=5))
-    fit = lambda d: models.gbt(names, label, {**BEST, "n_estimators": WALK_TREES}).fit(d)
+    fit = lambda d: models.gbt(names, label, BEST).fit(d)
     return rounded(walk_forward_model(rows, fit, label, k=5), *_M)
 
 

@@ -8,11 +8,13 @@ import warnings
 from collections.abc import Sequence
 
 from py4j.protocol import Py4JJavaError
-from pyspark.errors import PySparkException
+from pyspark.errors import AnalysisException, PySparkException
 from pyspark.ml import PipelineModel
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidemark.operators.boosting import BoostedModel
+
 
 def read_table(spark: SparkSession, path: str, schema: str | None = None) -> DataFrame:
     """Parquet scan; a given schema skips footer inference."""
@@ -111,23 +113,29 @@ def write_text(lines: DataFrame, path: str, *, order: str = "line_no", line: str
     lines.orderBy(order).select(line).coalesce(1).write.mode("overwrite").text(path)
 
 
-def save_model(model: PipelineModel, metadata: dict, path: str, spark: SparkSession) -> None:
+def save_model(model: PipelineModel | BoostedModel, metadata: dict, path: str, spark: SparkSession) -> None:
     """Model folder plus one JSON row (parameters, metrics, feature names, horizon)."""
-    model.write().overwrite().save(f"{path}/model")
+    if isinstance(model, BoostedModel):
+        model.save(spark, f"{path}/model")
+        metadata = {**metadata, "learner": "boosted"}
+    else:
+        model.write().overwrite().save(f"{path}/model")
     spark.createDataFrame([(json.dumps(metadata),)], "value string").coalesce(1).write.mode("overwrite").text(f"{path}/metadata")
 
 
-def load_model(path: str, spark: SparkSession, fallback: str | None = None) -> tuple[PipelineModel, dict]:
-    """Load a bundle; when the first place has none, the fallback is tried."""
+def load_model(path: str, spark: SparkSession, fallback: str | None = None) -> tuple[PipelineModel | BoostedModel, dict]:
+    """Load a bundle; where the first place has none, the fallback is tried.  A broken bundle is an error."""
     for place in (path, fallback):
         if place is None:
             continue
         try:
             metadata = json.loads(spark.read.text(f"{place}/metadata").first().value)
-            return PipelineModel.load(f"{place}/model"), metadata
-        except Exception:
-            if place is fallback or fallback is None:
+        except AnalysisException as exc:
+            if exc.getCondition() != "PATH_NOT_FOUND":
                 raise
+            continue
+        kind = BoostedModel.load if metadata.pop("learner", None) == "boosted" else lambda _, folder: PipelineModel.load(folder)
+        return kind(spark, f"{place}/model"), metadata
     raise FileNotFoundError(path)
 
 
