@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm.sketch import bitmap, in_bitmap, marked
-from tidemark.llm.text import saved, windows
+from tidemark.llm.text import pieces, saved, windows
 
 # Unit words: fixed values.
 UNITS = frozenset(
@@ -172,7 +172,7 @@ def find_items(docs: DataFrame, items: DataFrame, spec: TemplateSpec | None = No
 
     def scan(batches):
         codes, table = TokenCodes(), shared.value
-        for batch in batches:
+        for batch in pieces(batches, 250):
             ids, hashes, places, slots = [], [], [], []
             for doc, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
                 for size in sizes if text else ():

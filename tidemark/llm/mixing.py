@@ -155,7 +155,7 @@ def fit_rates(members: DataFrame, spec: MixSpec) -> list[np.ndarray]:
 
         def totals(batches, steps=tuple(residuals)):
             out = np.zeros(2 * k)
-            for batch in batches:
+            for batch in pieces(batches, 1 << 16):
                 if batch.num_rows:
                     w = batch.column(0).to_numpy(zero_copy_only=False) / total
                     p = batch.column(1).flatten().to_numpy(zero_copy_only=False).reshape(-1, k)

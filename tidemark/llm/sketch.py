@@ -7,7 +7,7 @@ import pyarrow as pa
 import zstandard
 from pyspark.sql import DataFrame
 
-from tidemark.llm.text import mix
+from tidemark.llm.text import mix, pieces
 
 BLOCK = 1 << 16
 
@@ -51,7 +51,7 @@ def bitmap(values: DataFrame, bits: int) -> np.ndarray:
 
     def mark(batches):
         seen = np.zeros(size, np.uint8)
-        for batch in batches:
+        for batch in pieces(batches, 1 << 16):
             for column in batch.columns:
                 seen[_places(column.drop_null().to_numpy(zero_copy_only=False), size)] = 1
         yield block_batch(seen)
@@ -75,7 +75,7 @@ def marked(rows: DataFrame, ids: DataFrame, id_col: str, hit: bool, bits: int =
     where = rows.columns.index(id_col)
 
     def keep(batches):
-        for batch in batches:
+        for batch in pieces(batches):
             column = batch.column(where)
             may = in_bitmap(shared.value, column.fill_null(0).to_numpy(zero_copy_only=False)) & column.is_valid().to_numpy(zero_copy_only=False)
             yield batch.filter(pa.array(may if hit else ~may))
