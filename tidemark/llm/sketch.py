@@ -41,28 +41,23 @@ def merged(blocks: DataFrame, size: int, finish) -> np.ndarray:
     return out
 
 
-def _places(values: np.ndarray, size: int) -> np.ndarray:
-    return (mix(values.astype(np.int64).view(np.uint64)) % np.uint64(size)).astype(np.int64)
-
-
 def bitmap(values: DataFrame, bits: int) -> np.ndarray:
-    """Packed bitmap of 2**bits places with the integers of all columns of ``values`` marked."""
-    size = 1 << bits
+    """Packed bitmap of 2**bits places (one span at least) with the integers of all columns of ``values`` marked."""
+    bits = max(16, bits)
 
     def mark(batches):
-        seen = np.zeros(size, np.uint8)
-        for batch in pieces(batches, 1 << 16):
-            for column in batch.columns:
-                seen[_places(column.drop_null().to_numpy(zero_copy_only=False), size)] = 1
-        yield block_batch(seen)
+        yield from mark_batches((_unsigned(c.drop_null()) for b in pieces(batches) for c in b.columns), bits)
 
-    return np.packbits(merged(values.mapInArrow(mark, "block int, data binary"), size, lambda c: (c > 0).astype(np.uint8)))
+    return bloom(values.mapInArrow(mark, MARKS), bits)
 
 
 def in_bitmap(table: np.ndarray, values: np.ndarray) -> np.ndarray:
     """False where a value surely was not marked."""
-    at = _places(values, len(table) * 8)
-    return ((table[at >> 3] >> (7 - (at & 7)).astype(np.uint8)) & 1).astype(bool)
+    return in_bloom(table, values.astype(np.int64, copy=False).view(np.uint64))
+
+
+def _unsigned(column: pa.Array) -> np.ndarray:
+    return column.to_numpy(zero_copy_only=False).astype(np.int64, copy=False).view(np.uint64)
 
 
 def marked(rows: DataFrame, ids: DataFrame, id_col: str, hit: bool, bits: int = 24) -> DataFrame:
