@@ -9,7 +9,7 @@ def frame(spark, values, series="a", start="2024-01-01", **more):
     """Hourly series as a DataFrame (NaN becomes null)."""
     n = len(values)
     table = {
-        "series_id": pa.array([series] * n),
+        "series_id": pa.array([series] * n, pa.string()),
         "ts": pa.array(pd.date_range(start, periods=n, freq="h").values.astype("datetime64[us]")),
         "value": pa.array(np.asarray(values, dtype=float), from_pandas=True),
     }

@@ -93,3 +93,11 @@ def test_feature_plan_is_cheap_to_optimize(spark):
     table = features.build_features(series, features.FeatureSpec(target="value"), step="1 hour")
     ti.temporal_split(table)._jdf.queryExecution().executedPlan()
     assert time.time() - start < 30  # without the mend it does not end; about 8 s on a free machine
+
+
+def test_null_series_keys_keep_their_rows(spark):
+    from tidemark.operators import timeindex as ti
+
+    both = frame(spark, range(48), series="a").unionByName(frame(spark, range(48), series=None))
+    kept = ti.trailing_window(both, 5).groupBy("series_id").count().collect()
+    assert {(r.series_id, r["count"]) for r in kept} == {("a", 6), (None, 6)}

@@ -32,7 +32,7 @@ def trained(spark, table, tmp_path_factory):
     names = features.feature_columns(split, spec)
     label = spec.target_column
     candidates = [
-        models.Candidate("trees", lambda d: models.gbt(names, label, {"n_estimators": 8}).fit(d), 1),
+        models.Candidate("trees", lambda d: models.gbt(names, label, {"n_estimators": 30, "learning_rate": 0.3}).fit(d), 1),
         models.Candidate("naive", lambda d: models.ColumnModel("value"), 2),
         models.Candidate("broken", lambda d: models.gbt(names, label, {"booster": 1.0}).fit(d), 3),
     ]

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -96,14 +97,14 @@ def walk_forward_model(
     rows: DataFrame, fit: Callable[[DataFrame], object], label: str, *, k: int = 5, gap: int = 24,
     keys: Sequence[str] = DEFAULT_KEYS,
 ) -> DataFrame:
-    """Refit any estimator per fold and score the fold's rows (k is a small constant)."""
-    parts = []
-    for i in range(k):
-        model = fit(fold_train(rows, i, k=k, gap=gap))
-        scored = model.transform(rows.filter(F.col("fold") == i))
-        parts.append(
-            scored.select(*keys, "fold", F.col(label).alias("actual"), F.col("prediction").alias("predicted"))
-        )
+    """Refit any estimator per fold and score the fold's rows; the k folds (a small constant) are fitted at once."""
+
+    def fold(i: int) -> DataFrame:
+        scored = fit(fold_train(rows, i, k=k, gap=gap)).transform(rows.filter(F.col("fold") == i))
+        return scored.select(*keys, "fold", F.col(label).alias("actual"), F.col("prediction").alias("predicted"))
+
+    with ThreadPoolExecutor(k) as pool:
+        parts = list(pool.map(fold, range(k)))
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)

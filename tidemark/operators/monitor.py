@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions.metrics import EPS
-from tidemark.operators.blocks import CELL, DEFAULT_KEYS
+from tidemark.operators.blocks import CELL, DEFAULT_KEYS, attach
 from tidemark.operators.timeindex import asof_nearest, dedupe, trailing_window
 
 MIN_PREDICTIONS = 10
@@ -70,7 +70,7 @@ def degradation(
     A baseline group without current metrics is reported as ``no_data``.
     """
     base = baseline.select(*keys, F.col("rmse").alias("base_rmse"), F.col("mape").alias("base_mape"))
-    joined = base.join(current, list(keys), "left")
+    joined = attach(base, current, list(keys))
     rise = (F.col("rmse") - F.col("base_rmse")) / (F.col("base_rmse") + EPS)
     alerts = {
         "alert_rmse": rise > rmse_rise,

@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.functions.tails import chi2_tail, chi2_tail_even, f_sf, level_pvalue, normal_cdf, unit_root_pvalue
-from tidemark.operators.blocks import BLOCK_ROWS, CELL, DEFAULT_KEYS, attach, halo, spread_join, with_position
+from tidemark.operators.blocks import BLOCK_ROWS, CELL, DEFAULT_KEYS, attach, halo, null_safe_join, spread_join, with_position
 
 ACF_LAGS = 72
 # Verdicts when both tests say stationary, none does, only ADF, only KPSS.
@@ -342,7 +342,7 @@ def stationarity(df: DataFrame, column: str, **kw) -> DataFrame:
     recommendation are null and ``reason`` says so.  Series without any value have no row.
     """
     keys = list(kw.get("keys", DEFAULT_KEYS))
-    both = adf(df, column, **kw).join(kpss(df, column, **kw), keys)
+    both = null_safe_join(adf(df, column, **kw), kpss(df, column, **kw), keys) if keys else attach(adf(df, column, **kw), kpss(df, column, **kw))
     a, k = F.col("stationary_adf"), F.col("stationary_kpss")
     both_agree, neither, only_adf, only_kpss = VERDICTS
     verdict = F.when(a & k, both_agree).when(~a & ~k, neither).when(a, only_adf).otherwise(only_kpss)
@@ -549,4 +549,7 @@ def residual_tests(df: DataFrame, column: str, *, keys: Sequence[str] = DEFAULT_
     lb = lb.withColumn("no_autocorr", F.col("ljung_box_pmin") > 0.05)
     sw = shapiro(df, column, keys=keys, ts=ts).drop("n")
     dw = durbin_watson(df, column, keys=keys, ts=ts)
-    return lb.join(sw, list(keys)).join(dw, list(keys))
+    every = df.select(*keys).distinct()
+    if not keys:
+        return attach(attach(lb, sw), dw)
+    return attach(attach(attach(every, lb, keys), sw, keys), dw, keys)

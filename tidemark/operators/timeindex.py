@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from tidemark.operators.blocks import (
     CELL,
     DEFAULT_KEYS,
+    attach,
     cell_scan,
     row_spans,
     from_micros,
@@ -19,6 +20,7 @@ from tidemark.operators.blocks import (
     halo,
     micros,
     seconds,
+    spread_join,
     with_position,
 )
 
@@ -269,7 +271,8 @@ def trailing_window(
 ) -> DataFrame:
     """Rows with ``ts >= max(ts) - hours`` of their series (inclusive)."""
     newest = df.groupBy(*keys).agg((F.max(ts) - F.expr(f"INTERVAL {int(hours)} HOURS")).alias("__cut"))
-    return df.join(newest, list(keys)).filter(F.col(ts) >= F.col("__cut")).drop("__cut")
+    rows = spread_join(df, newest, list(keys)) if keys else attach(df, newest)
+    return rows.filter(F.col(ts) >= F.col("__cut")).drop("__cut")
 
 
 def tail_rows(

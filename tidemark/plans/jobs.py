@@ -83,7 +83,7 @@ def run_training(
     metrics = models.evaluate(picked.model, table.filter("split = 'test'"), label)
     row = {k: v for k, v in metrics.first().asDict().items() if v is not None}
     files.log_run(spark, f"{folder}/runs", run_id, {"model": picked.best, "horizon": spec.horizon}, row)
-    if hasattr(picked.model, "write"):
+    if isinstance(picked.model, models.boosting.BoostedModel) or hasattr(picked.model, "write"):
         names = features.feature_columns(table, spec, keys=keys, ts=ts)
         files.save_model(picked.model, {"model": picked.best, "metrics": row, "feature_names": names, "horizon_h": spec.horizon}, f"{folder}/best", spark)
     return picked, metrics
