@@ -46,14 +46,15 @@ def bitmap(values: DataFrame, bits: int) -> np.ndarray:
     bits = max(16, bits)
 
     def mark(batches):
-        yield from mark_batches((_unsigned(c.drop_null()) for b in pieces(batches) for c in b.columns), bits)
+        yield from mark_batches((_unsigned(c.drop_null()) for b in pieces(batches) for c in b.columns), bits, places=1)
 
     return bloom(values.mapInArrow(mark, MARKS), bits)
 
 
 def in_bitmap(table: np.ndarray, values: np.ndarray) -> np.ndarray:
     """False where a value surely was not marked."""
-    return in_bloom(table, values.astype(np.int64, copy=False).view(np.uint64))
+    bits = (len(table) * 8).bit_length() - 1
+    return _set(table, mix(values.astype(np.int64, copy=False).view(np.uint64)) >> np.uint64(64 - bits))
 
 
 def _unsigned(column: pa.Array) -> np.ndarray:
@@ -92,9 +93,9 @@ def bloom_places(values: np.ndarray, bits: int) -> tuple[np.ndarray, np.ndarray]
     return one >> np.uint64(64 - bits), two >> np.uint64(64 - bits)
 
 
-def mark_rows(values: np.ndarray, bits: int) -> pa.RecordBatch:
+def mark_rows(values: np.ndarray, bits: int, places: int = 2) -> pa.RecordBatch:
     """(span, marks): the places of the values, cut into spans of 2**16 places; no dense table."""
-    at = np.unique(np.concatenate(bloom_places(values, bits)))
+    at = np.unique(np.concatenate(bloom_places(values, bits)[:places]))
     span = (at >> np.uint64(16)).astype(np.int64)
     cuts = np.concatenate(([0], np.flatnonzero(np.diff(span)) + 1, [len(at)])) if len(at) else np.zeros(1, np.int64)
     low = (at & np.uint64(SPAN - 1)).astype(np.uint16)
@@ -102,17 +103,17 @@ def mark_rows(values: np.ndarray, bits: int) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array([s for s, _ in rows], pa.int32()), pa.array([m for _, m in rows], pa.binary())], names=["span", "marks"])
 
 
-def mark_batches(arrays, bits: int, most: int = 1 << 21):
+def mark_batches(arrays, bits: int, most: int = 1 << 21, places: int = 2):
     """:func:`mark_rows` of about ``most`` values of a stream of arrays at a time."""
     held, n = [], 0
     for values in arrays:
         held.append(values)
         n += len(values)
         if n >= most:
-            yield mark_rows(np.concatenate(held), bits)
+            yield mark_rows(np.concatenate(held), bits, places)
             held, n = [], 0
     if n:
-        yield mark_rows(np.concatenate(held), bits)
+        yield mark_rows(np.concatenate(held), bits, places)
 
 
 def bloom(marks: DataFrame, bits: int) -> np.ndarray:
