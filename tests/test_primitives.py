@@ -144,3 +144,48 @@ def test_series_without_a_key_are_kept(spark, monkeypatch):
     stats = rows.groupBy("series_id").agg(F.count("*").alias("c"))
     assert blocks.spread_join(rows, stats, ["series_id"]).filter("c = 200").count() == 400
     assert blocks.attach(rows, stats, ["series_id"]).filter("c = 200").count() == 400
+
+
+def _twice(spark, values, **more):
+    """The same series under a name and under a null key."""
+    return frame(spark, values, series="a", **more).unionByName(frame(spark, values, series=None, **more)).repartition(4)
+
+
+def _same_for_both(out):
+    """Rows of the named and of the null series, equal but for the key."""
+    rows = {True: [], False: []}
+    for r in out.collect():
+        d = r.asDict()
+        key = d.pop("series_id")
+        rows[key is None].append(tuple(round(v, 8) if isinstance(v, float) else str(v) for v in d.values()))
+    assert rows[True] and sorted(rows[True], key=str) == sorted(rows[False], key=str)
+    return rows[True]
+
+
+def test_null_keys_carry_state_between_blocks(spark):
+    gapped = [float(k) if k % 11 < 6 else None for k in range(120)]
+    twice = _twice(spark, gapped)
+    filled = _same_for_both(clean.interpolate(twice, ["value"], 6, size=8, cell="20 hours"))
+    assert (5.0 in {r[1] for r in filled}) and sum(r[1] == "None" for r in filled) == 0
+    _same_for_both(clean.backward_fill(twice, ["value"], 3, size=8, cell="20 hours"))
+    _same_for_both(features.add_ewm(twice, "value", (3, 6), cell="20 hours", max_block=8))
+    _same_for_both(features.add_differences(twice, "value", (1, 3), size=8, cell="20 hours"))
+
+
+def test_null_keys_keep_their_statistics(spark):
+    from tidemark.operators import arima, decompose, eda, stats
+
+    rng = np.random.default_rng(41)
+    level = 10 + 3 * np.sin(np.arange(300) * np.pi / 6) + np.cumsum(rng.normal(size=300)) / 4
+    push = np.roll(level, 1) + rng.normal(size=300)
+    twice = _twice(spark, level, other=push)
+    assert len(_same_for_both(decompose.decompose(twice, "value", 12, size=40, cell="60 hours"))) == 300
+    assert len(_same_for_both(decompose.stl(twice, "value", 12))) == 300
+    assert len(_same_for_both(eda.histogram(twice, "value", 8, keys=["series_id"]))) == 8
+    _same_for_both(stats.order_suggestion(twice, "value", 12))
+    _same_for_both(stats.kpss(twice, "value"))
+    _same_for_both(stats.shapiro(twice, "value", cell=50))
+    _same_for_both(stats.granger(twice, "value", ["other"], 4, size=60))
+    model = arima.fit(twice, "value", season=6, long_order=8, size=80)
+    assert model.filter("theta IS NOT NULL").count() == 2
+    assert len(_same_for_both(arima.forecast(twice, model, "value", 5, season=6, long_order=8))) == 5

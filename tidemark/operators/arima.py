@@ -15,7 +15,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.operators.blocks import CELL, DEFAULT_KEYS, attach, from_micros, halo, micros, seconds, with_position
+from tidemark.operators.blocks import CELL, DEFAULT_KEYS, attach, from_micros, halo, micros, null_safe_join, seconds, with_position
 from tidemark.operators.stats import _fields, _sum_arrays
 from tidemark.operators.timeindex import tail_rows
 
@@ -54,7 +54,7 @@ def fit(
     lags = _orders(season)
     order = long_order or 2 * season + 4
     reach = season + 1
-    rows = df.select(*keys, ts, F.col(column).cast("double").alias("y")).dropna("any")
+    rows = df.select(*keys, ts, F.col(column).cast("double").alias("y")).dropna(subset=[ts, "y"])
     rows = with_position(rows, keys, ts, cell=cell, name="pos", total="n")
     prefix = _fields(rows, keys)
     prefix = prefix + ", " if prefix else ""
@@ -90,7 +90,7 @@ def fit(
     phi = _solve(_sum_arrays(gram, keys), keys, order + 1, "phi")
     deep = depth + max(lags)
     b = halo(rows, keys, ts, pos="pos", before=deep, size=size)
-    known = b.df.join(phi, keys)
+    known = null_safe_join(b.df, phi, keys)
     gram = known.groupBy(*b.partition).applyInPandas(products(b.size, lags, True, deep), schema)
     theta = _solve(_sum_arrays(gram, keys), keys, 2 * len(lags) + 1, "theta")
     every = rows.groupBy(*keys).agg(F.max("n").alias("n_rows"))
@@ -106,8 +106,8 @@ def forecast(
     keys = list(keys)
     lags, order = _orders(season), long_order or 2 * season + 4
     need = season + 1 + order + max(lags) + 1
-    rows = df.select(*keys, ts, F.col(column).cast("double").alias("y")).dropna("any")
-    tail = tail_rows(rows, need, keys=keys, ts=ts).join(model.select(*keys, "phi", "theta"), keys)
+    rows = df.select(*keys, ts, F.col(column).cast("double").alias("y")).dropna(subset=[ts, "y"])
+    tail = null_safe_join(tail_rows(rows, need, keys=keys, ts=ts), model.select(*keys, "phi", "theta"), keys)
     prefix = _fields(rows, keys)
     prefix = prefix + ", " if prefix else ""
 

@@ -14,6 +14,7 @@ from tidemark.operators.blocks import (
     carry_back,
     halo,
     micros,
+    null_safe_join,
 )
 from tidemark.operators.quantiles import exact_quantiles, quantile_columns
 
@@ -150,7 +151,7 @@ def _fill(
         # the summary needs each row once: rows in their home block
         home = rows.filter(b.home)
         edges = carry_back(home.drop("__blk"), keys, b.pos, b.size, 0, {f"__e_{c}": known(c) for c in columns})
-        rows = rows.join(edges, [*keys, "__blk"], "left")
+        rows = null_safe_join(rows, edges, [*keys, "__blk"], "left")
     ahead = b.w_desc.rowsBetween(Window.unboundedPreceding, 0)
     for c in columns:
         if need_next:

@@ -9,7 +9,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.operators.blocks import CELL, DEFAULT_KEYS, attach, halo, with_position
+from tidemark.operators.blocks import CELL, DEFAULT_KEYS, attach, halo, null_safe_join, with_position
 from tidemark.session import cut
 
 
@@ -32,7 +32,7 @@ def decompose(
     phases = trended.groupBy(*keys, "__phase").agg(F.avg(F.col(column) - F.col("trend")).alias("__s"))
     grand = phases.groupBy(*keys).agg(F.avg("__s").alias("__g"))
     seasonal = attach(phases, grand, keys).select(*keys, "__phase", (F.col("__s") - F.col("__g")).alias("seasonal"))
-    out = trended.join(seasonal, [*keys, "__phase"], "left")
+    out = null_safe_join(trended, seasonal, [*keys, "__phase"], "left")
     return out.withColumn("resid", F.col(column) - F.col("trend") - F.col("seasonal")).select(
         *keys, ts, column, "trend", "seasonal", "resid"
     )
@@ -135,7 +135,7 @@ def stl(
     below two periods cannot be decomposed and has null parts.
     """
     keys = list(keys)
-    rows = df.select(*keys, ts, F.col(column).cast("double").alias(column)).dropna("any")
+    rows = df.select(*keys, ts, F.col(column).cast("double").alias(column)).dropna(subset=[ts, column])
     rows = with_position(rows, keys, ts, cell=cell, name="__pos", total="__n")
     state = rows.withColumns({"trend": F.lit(0.0), "__rho": F.lit(1.0)})
     inner = 2 if robust else 5

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.functions.calendar import cyclic_columns
-from tidemark.operators.blocks import attach, micros, spread_join
+from tidemark.operators.blocks import attach, micros, null_safe_join, spread_join
 from tidemark.operators.quantiles import exact_quantiles, quantile_columns, to_long
 from tidemark.operators.timeindex import downsample, head_rows
 
@@ -44,7 +44,7 @@ def histogram(df: DataFrame, column: str, bins: int, *, keys: Sequence[str] = ()
     frame = bounds.filter(F.col("__lo").isNotNull()).select(
         *keys, "__lo", "__hi", F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(bins - 1).cast("bigint"))).alias("bin")
     )
-    return frame.join(counted, [*keys, "bin"], "left").select(
+    return null_safe_join(frame, counted, [*keys, "bin"], "left").select(
         *keys,
         "bin",
         (F.col("__lo") + F.col("bin") * width).alias("bin_low"),

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from tidemark.functions.calendar import add_time_features
 from tidemark.functions.weather import HUMIDITY, RADIATION, TEMPERATURE, WIND, add_interactions, add_radiation_norm, add_weather_indices
 from tidemark.session import cut, prepare
-from tidemark.operators.blocks import CELL, DEFAULT_KEYS, Blocked, carry_in, grid_index, halo, with_position
+from tidemark.operators.blocks import CELL, DEFAULT_KEYS, Blocked, carry_in, grid_index, halo, null_safe_join, with_position
 from tidemark.operators.timeindex import drop_incomplete
 
 
@@ -78,7 +78,7 @@ def _pad(b: Blocked, column: str, before: int, name: str = "__pad") -> DataFrame
     home = b.df.filter(b.home).drop("__blk")
     edges = carry_in(home, b.keys, b.pos, b.size, before, {"__pe": F.col(column)})
     past = b.w.rowsBetween(Window.unboundedPreceding, 0)
-    rows = b.df.join(edges, b.partition, "left")
+    rows = null_safe_join(b.df, edges, b.partition, "left")
     return rows.withColumn(name, F.coalesce(F.last(column, True).over(past), F.col("__pe"))).drop("__pe")
 
 
@@ -165,7 +165,7 @@ def add_ewm(
     carry = state.select(*keys, "__blk", F.last("end", True).over(earlier).alias("was"))
 
     inside = Window.partitionBy(*keys, "__blk").orderBy("__pos").rowsBetween(Window.unboundedPreceding, 0)
-    joined = rows.join(carry, [*keys, "__blk"], "left")
+    joined = null_safe_join(rows, carry, [*keys, "__blk"], "left")
     out = [F.col(c) for c in columns]
     for w in spans:
         gain = F.exp(F.lit(rates[w]) * offset)

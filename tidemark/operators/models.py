@@ -145,7 +145,7 @@ def fit_additive(
     lo, hi = F.lit(span.lo), F.lit(span.hi)
     level = train.groupBy(*keys).agg(F.avg(label).alias("__level"))
     extra = additive_columns(ts, lo, hi)
-    base = train.select(*keys, ts, label, *regressors).dropna("any")
+    base = train.select(*keys, ts, label, *regressors).dropna(subset=[ts, label, *regressors])
     rows = attach(base.select("*", *extra), level, keys).withColumn("__y", F.col(label) - F.col("__level"))
     names = [c for c in rows.columns if c.startswith(("trend", "knot_", "year_", "week_", "day_"))] + list(regressors)
     assemble = VectorAssembler(inputCols=names, outputCol="__x")

@@ -31,7 +31,7 @@ def _fields(df: DataFrame, names: Sequence[str]) -> str:
 def _centred(df: DataFrame, columns: Sequence[str], keys: Sequence[str], ts: str, cell: str | None) -> DataFrame:
     """Rows complete in ``columns``, minus the series mean, with ``pos`` and ``n``."""
     keys = list(keys)
-    rows = df.select(*keys, ts, *[F.col(c).cast("double").alias(c) for c in columns]).dropna("any")
+    rows = df.select(*keys, ts, *[F.col(c).cast("double").alias(c) for c in columns]).dropna(subset=[ts, *columns])
     means = rows.groupBy(*keys).agg(*[F.avg(c).alias(f"__m_{c}") for c in columns])
     flat = attach(rows, means, keys).select(*keys, ts, *[(F.col(c) - F.col(f"__m_{c}")).alias(c) for c in columns])
     return with_position(flat, keys, ts, cell=cell, name="pos", total="n")
@@ -152,7 +152,7 @@ def order_suggestion(df: DataFrame, column: str, lags: int = ACF_LAGS, **kw) ->
             F.count_if("significant").alias(count),
         )
 
-    return last(a, "q", "n_significant_acf").join(last(p, "p", "n_significant_pacf"), keys)
+    return null_safe_join(last(a, "q", "n_significant_acf"), last(p, "p", "n_significant_pacf"), keys)
 
 
 def ljung_box(df: DataFrame, column: str, at: Sequence[int] = (10, 20, 40), **kw) -> DataFrame:
@@ -231,7 +231,7 @@ def kpss(
 
     keys = list(keys)
     g = autocovariance(df, column, _bandwidth_limit, keys=keys, ts=ts, size=size, cell=cell)
-    rows = df.select(*keys, ts, F.col(column).cast("double").alias("y")).dropna("any")
+    rows = df.select(*keys, ts, F.col(column).cast("double").alias("y")).dropna(subset=[ts, "y"])
     flat = attach(rows, rows.groupBy(*keys).agg(F.avg("y").alias("m")), keys).withColumn("e", F.col("y") - F.col("m"))
     partial = cell_scan(flat.select(*keys, ts, "e"), keys, ts, cell=cell, running={"s": F.col("e")})
     eta = partial.groupBy(*keys).agg((F.sum(F.col("s") * F.col("s")) / F.pow(F.count("*"), 2)).alias("eta"))
@@ -418,7 +418,7 @@ def granger(
     heads = rows.filter(F.col("pos") < max_lag).groupBy(*keys).agg(
         F.array_sort(F.collect_list(F.struct("pos", "y", "x"))).alias("h")
     ).select(*keys, F.col("h.y").alias("yh"), F.col("h.x").alias("xh"))
-    joined = _sum_arrays(parts, keys).join(heads, keys)
+    joined = null_safe_join(_sum_arrays(parts, keys), heads, keys)
 
     def solve(batches):
         for pdf in batches:
@@ -502,7 +502,7 @@ def shapiro(
     constant series or one of fewer than four values.
     """
     keys = list(keys)
-    rows = df.select(*keys, F.col(column).cast("double").alias("x")).dropna("any")
+    rows = df.select(*keys, F.col(column).cast("double").alias("x")).dropna(subset=["x"])
     counts = rows.groupBy(*keys, "x").agg(F.count("*").alias("c"))
     ends = rows.groupBy(*keys).agg(
         F.count("*").alias("n"), F.avg("x").alias("mean"), F.min("x").alias("lo"), F.max("x").alias("hi"),
@@ -516,7 +516,7 @@ def shapiro(
     before = Window.partitionBy(*keys).orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     offsets = sizes.select(*keys, "part", F.coalesce(F.sum("s").over(before), F.lit(0)).alias("o"))
     inside = Window.partitionBy(*keys, "part").orderBy("x").rowsBetween(Window.unboundedPreceding, 0)
-    ranked = parts.join(offsets, [*keys, "part"]).withColumn("upto", F.col("o") + F.sum("c").over(inside))
+    ranked = null_safe_join(parts, offsets, [*keys, "part"]).withColumn("upto", F.col("o") + F.sum("c").over(inside))
     first = F.col("upto") - F.col("c") + 1
     chunk = F.explode(F.sequence(first, F.col("upto"), F.lit(TIE_CHUNK)))
     chunks = ranked.select(*keys, "n", "x", "mean", "upto", chunk.alias("a"))

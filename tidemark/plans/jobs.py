@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from tidemark.operators import clean, decompose, drift, features, models, monitor, quality, scoring, stats
 from tidemark.operators import timeindex as ti
-from tidemark.operators.blocks import DEFAULT_KEYS, attach
+from tidemark.operators.blocks import DEFAULT_KEYS, attach, null_safe_join
 from tidemark.session import cut
 from tidemark.sources import files
 
@@ -128,7 +128,7 @@ def monitor_performance(
     live = cut(monitor.rolling_metrics(scored, hours, keys=keys, ts=ts))
     report = cut(monitor.degradation(live, baseline, keys=keys))
     files.write_report(report, f"{folder}/performance")
-    joined = report.select(*keys, "n_alerts").join(live, list(keys), "left")
+    joined = null_safe_join(report.select(*keys, "n_alerts"), live, list(keys), "left")
     files.write_text(monitor.prometheus_lines(joined, keys=keys), f"{folder}/prometheus")
     return report
 
