@@ -1,9 +1,10 @@
 """Personal data: exact base patterns plus spans learnt from labelers that vote.
 
-Candidates beyond the base patterns are tokens with a digit, an ``@`` or a ``=``.  Labelers of
-three families (patterns, gazetteers, context) vote on each; expectation-maximisation estimates
-their reliabilities from the vote counts of all documents, and a logistic span classifier is
-trained on the posteriors.  Only counts over bounded vote and feature patterns leave the tasks.
+Candidates beyond the base patterns are looked for in what base spans leave: values of secret keys,
+written-out addresses, grouped account and phone numbers, and runs with a digit or an ``@``.
+Labelers of three families (patterns, gazetteers, context) vote on each; expectation-maximisation
+estimates their reliabilities from the vote counts of all documents, and a logistic span classifier
+is trained on the posteriors.  Only counts over bounded vote and feature patterns leave the tasks.
 """
 
 from __future__ import annotations
@@ -30,7 +31,6 @@ _DOMAIN = re.compile(r"[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
 _IP = re.compile(r"(?<![0-9])[0-9]++\.[0-9]++\.[0-9]++\.[0-9]++")
 _CARD = re.compile(r"(?<![0-9])[0-9](?:[ -]?[0-9])+")
 _PHONE = re.compile(r"\+[0-9][ ().0-9-]+[0-9]")
-_HINT = re.compile(r"[0-9@=]")
 _DIGIT = re.compile(r"[0-9]")
 
 
@@ -85,44 +85,139 @@ ID_CUES = frozenset("ssn passport iban account konto cuenta compte nif dni id-ca
 BENIGN_CUES = frozenset("version v page chapter figure table section step version: year in since seit depuis desde of room line kapitel seite página".split())
 MAIL_WORDS = frozenset("gmail yahoo outlook hotmail example mail icloud proton gmx web aol".split())
 
+PASSWORDS = frozenset("password passwd pwd passwort contraseña".split())
+
 _HEX = re.compile(r"[0-9a-fA-F]{16,}")
 _MIXED = re.compile(r"(?=[^0-9]*[0-9])(?=[^A-Za-z]*[A-Za-z])[A-Za-z0-9_\-./+]{16,}")
 _NUMBER = re.compile(r"\(?[0-9][0-9().\-/]*[0-9]")
 _IBAN = re.compile(r"[A-Z]{2}[0-9]{2}[A-Z0-9]{11,30}")
-_OBFUSCATED = re.compile(r"[A-Za-z0-9._%+-]+(?:\(at\)|\[at\]|\(@\)|\{at\})[A-Za-z0-9.-]+", re.I)
+_OBFUSCATED = re.compile(r"[A-Za-z0-9._%+-]+ ?(?:\(at\)|\[at\]|\(@\)|\{at\}) ?[A-Za-z0-9.-]+", re.I)
 _SMALL = re.compile(r"[0-9]{1,4}(?:[.,:/][0-9]{1,4}){0,2}%?")
-_SPACE = re.compile(r"[\x20\x09-\x0D]")
 _EDGE = "\"'`([{<>)]}.,;:!?#*$%&|"
 LABELERS = ("pattern_secret", "pattern_number", "pattern_small", "gazetteer_key", "gazetteer_mail", "context_cue", "context_benign")
 
-
-def candidates(text: str, limit: int = 512):
-    """(start, end, key, two words before) of tokens that hold a digit, ``@`` or ``=``; the key and
-    punctuation around the value are cut off.  A token of over ``limit`` characters is no span of
-    personal data and gives no candidate."""
-    end = -1
-    for hint in _HINT.finditer(text):
-        if hint.start() < end:
+_HINT = re.compile(r"[0-9@=:(\[{]")
+_ASSIGN = re.compile(r"[=:]")
+_NAME = re.compile(r"(?<![\w-])([^\W\d][\w-]{0,31})[\"'`]?[ \t]{0,2}$")
+_KEY = re.compile(r"(?<![\w-])([^\W\d][\w-]{0,31})[\"'`]?[ \t]{0,2}[=:][=>]{0,2}[ \t]{0,2}[\"'`(]?$")
+_GAP = re.compile(r"[=>]{0,2}[ \t]{0,2}")
+_BARE = re.compile(r"[^\s\"'`,;&<>]+")
+_AT = re.compile(r"[(\[{](?:at|@)[)\]}]", re.I)
+_HOST = re.compile(r" ?([A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)*)")
+_IBAN_GROUPS = re.compile(r"(?<![0-9A-Za-z])[A-Z]{2}[0-9]{2}(?:[ -][A-Z0-9]{4}){2,7}(?:[ -][A-Z0-9]{1,3})?(?![0-9A-Za-z])")
+_GROUPS = re.compile(r"(?<![\w.,/(-])\(?[0-9][0-9()./-]*+(?: \(?[0-9][0-9()./-]*+)++")
+_US_SHAPES = ((3, 3, 4), (3, 2, 4))
+# A run starts behind any other character, so that the look-behind keeps the scan linear on long words.
+_RUN = re.compile(r"(?<![0-9A-Za-zÀ-ɏ_.%+\-/()@])[A-Za-zÀ-ɏ_.%+\-/()]*+[0-9@][0-9A-Za-zÀ-ɏ_.%+\-/()@]*+")
+
+
+def _trim(text: str, a: int, b: int) -> tuple[int, int]:
+    while a < b and text[a] in _EDGE:
+        a += 1
+    while a < b and text[b - 1] in _EDGE:
+        b -= 1
+    return a, b
+
+
+def _keyed(text: str):
+    """Values of secret keys: up to the closing quote of the line, or to the next white space."""
+    end, line = 0, -1
+    for sign in _ASSIGN.finditer(text):
+        at = sign.start()
+        if at < end or text.startswith("//", at + 1):
             continue
-        a = hint.start()
-        while a > 0 and a > hint.start() - limit and text[a - 1] not in " \t\n\v\f\r":
-            a -= 1
-        stop = _SPACE.search(text, hint.start())
-        end = stop.start() if stop else len(text)
-        if end - a > limit or hint.start() - a >= limit:
+        name = _NAME.search(text[max(0, at - 40) : at])
+        if not name or name[1].lower() not in SECRET_KEYS:
             continue
-        token = text[a:end]
-        key, cut = "", 0
-        m = re.match(r"([\w-]{1,24})[=:](?=.)", token)
-        if m:
-            key, cut = m[1].lower(), m.end()
-        value = token[cut:]
-        lead = len(value) - len(value.lstrip(_EDGE))
-        value = value.strip(_EDGE)
-        if len(value) >= 2:
-            start = a + cut + lead
-            before = text[max(0, a - 48) : a].split()[-2:]
-            yield start, start + len(value), value, key, before
+        start = _GAP.match(text, at + 1).end()
+        quote = text[start : start + 1]
+        quoted = quote in ("'", '"', "`")
+        if quoted:
+            if line < start:
+                line = text.find("\n", start)
+                line = len(text) if line < 0 else line
+            start += 1
+            stop = text.find(quote, start, line)
+        if not quoted or stop < 0:
+            run = _BARE.match(text, start)
+            if not run:
+                continue
+            start, stop = _trim(text, *run.span())
+        plain = not _DIGIT.search(text, start, stop)
+        if stop - start < (4 if plain else 2) or plain and not (quoted or sign[0] == "=" or name[1].lower() in PASSWORDS):
+            continue
+        yield start, stop
+        end = stop
+
+
+def _written_out(text: str):
+    """Addresses whose ``@`` is written ``(at)`` or the like."""
+    end = 0
+    for at in _AT.finditer(text):
+        a = b = at.start() - (text[at.start() - 1 : at.start()] == " ")
+        while a > end and text[a - 1] in _LOCAL:
+            a -= 1
+        host = _HOST.match(text, at.end())
+        if a < b and host:
+            end = host.end()
+            yield a, end
+
+
+def _accounts(text: str):
+    return (m.span() for m in _IBAN_GROUPS.finditer(text))
+
+
+def _grouped(text: str):
+    """Two to five groups of digits that make one number: a leading 0 or bracket, a cue before, or a known shape."""
+    for m in _GROUPS.finditer(text):
+        a, b = m.start(), m.end()
+        while text[b - 1] in ".(/-":
+            b -= 1
+        parts = text[a:b].split(" ")
+        sizes = tuple(sum(c.isdigit() for c in p) for p in parts)
+        if 2 <= len(parts) <= 5 and 7 <= sum(sizes) <= 15:
+            cue = {w.strip(_EDGE + "=").lower() for w in text[max(0, a - 48) : a].split()[-2:]} & (CONTACT_CUES | ID_CUES)
+            if parts[0][0] in "0(" or cue or sizes in _US_SHAPES:
+                yield a, b
+
+
+def _runs(text: str):
+    """Runs with a digit or an ``@`` between characters that no value holds (quotes, commas, ``?&=:``, other scripts)."""
+    for m in _RUN.finditer(text):
+        a, b = _trim(text, *m.span())
+        if b - a >= 2:
+            yield a, b
+
+
+def blanked(text: str, spans: list[tuple[int, int]]) -> str:
+    """``text`` with line breaks in place of spans; overlapping spans are allowed."""
+    out, end = [], 0
+    for a, b in sorted(spans):
+        if b > end:
+            a = max(a, end)
+            out += [text[end:a], "\n" * (b - a)]
+            end = b
+    return "".join(out) + text[end:] if out else text
+
+
+def candidates(text: str):
+    """(start, end, value, key, two words before) in order of place, none overlapping another.
+
+    The families are searched one after the other, each in what the earlier ones left; every scan
+    is linear and values may have any length.
+    """
+    if not _HINT.search(text):
+        return
+    left, found = text, []
+    for family in (_keyed, _written_out, _accounts, _grouped, _runs):
+        spans = list(family(left))
+        if spans:
+            found += spans
+            left = blanked(left, spans)
+    for start, end in sorted(found):
+        window = text[max(0, start - 48) : start]
+        key = _KEY.search(window)
+        yield start, end, text[start:end], key[1].lower() if key else "", window.split()[-2:]
 
 
 def votes(value: str, key: str, before: list[str]) -> tuple[int, ...]:
@@ -130,13 +225,14 @@ def votes(value: str, key: str, before: list[str]) -> tuple[int, ...]:
     words = [w.strip(_EDGE + "=").lower() for w in before]
     digits = sum(c.isdigit() for c in value)
     near = {w for w in words if w} | ({key} if key else set())
-    secret = 1 if _HEX.fullmatch(value) and digits and not value.isdigit() or _MIXED.fullmatch(value) and digits >= 3 or _IBAN.fullmatch(value) else 0
-    number = 1 if _NUMBER.fullmatch(value) and 7 <= digits <= 19 else -1 if digits < 4 else 0
+    flat = value.replace(" ", "").replace("-", "")
+    secret = 1 if _HEX.fullmatch(value) and digits and not value.isdigit() or _MIXED.fullmatch(value) and digits >= 3 or _IBAN.fullmatch(flat) else 0
+    number = 1 if _NUMBER.fullmatch(value.replace(" ", "")) and 7 <= digits <= 19 else -1 if 0 < digits < 4 else 0
     small = -1 if _SMALL.fullmatch(value) else 0
-    keyed = 1 if near & SECRET_KEYS and ("=" in before[-1:] or key or before[-1:] and before[-1][-1] in ":=") else 0
+    keyed = 1 if key in SECRET_KEYS else 0
     mail = 1 if _OBFUSCATED.fullmatch(value) or "@" in value and any(w in value.lower() for w in MAIL_WORDS) else 0
     cue = 1 if near & (CONTACT_CUES | ID_CUES | SECRET_KEYS) else 0
-    benign = -1 if words and words[-1] in BENIGN_CUES else 0
+    benign = -1 if words and words[-1] in BENIGN_CUES or value.startswith(("/", "www.")) else 0
     return secret, number, small, keyed, mail, cue, benign
 
 
@@ -144,9 +240,11 @@ def features(value: str, key: str, before: list[str]) -> tuple[int, ...]:
     """Small integers that describe a span; each below 8, so that there is a bounded number of patterns."""
     digits, letters = sum(c.isdigit() for c in value), sum(c.isalpha() for c in value)
     n = len(value)
+    near = {w.strip(_EDGE + "=").lower() for w in before} | {key}
     return (
         min(7, n.bit_length()), min(4, 4 * digits // n), min(4, 4 * letters // n), min(3, n - digits - letters),
-        int("@" in value) + 2 * int("=" in value), int(bool(key)) + 2 * int(bool(before) and before[-1][-1] in "=:"),
+        int("@" in value) + 2 * int(value[0] == "/") + 4 * int(_OBFUSCATED.fullmatch(value) is not None),
+        3 if key in SECRET_KEYS else 2 if near & (CONTACT_CUES | ID_CUES) else 1 if key else 0,
         int(value.islower()) + 2 * int(value.isupper()),
     )
 
@@ -181,7 +279,8 @@ def vote_counts(docs: DataFrame, text_col: str = "text") -> DataFrame:
         seen: Counter = Counter()
         for batch in pieces(batches):
             for text in batch.column(0).to_pylist():
-                for _, _, value, key, before in candidates(text or ""):
+                text = text or ""
+                for _, _, value, key, before in candidates(blanked(text, [(a, b) for _, a, b in base_spans(text)])):
                     seen[votes(value, key, before), features(value, key, before)] += 1
         yield pa.RecordBatch.from_arrays(
             [pa.array([list(v) for v, _ in seen], pa.list_(pa.int32())), pa.array([list(f) for _, f in seen], pa.list_(pa.int32())), pa.array(list(seen.values()), pa.int64())],
@@ -237,16 +336,11 @@ def fit_spans(docs: DataFrame, text_col: str = "text", steps: int = 400) -> Span
 
 
 def all_spans(text: str, model: SpanModel, scores: dict | None = None) -> tuple[list, list]:
-    """(base spans, added spans): candidates the model accepts that overlap no base span."""
+    """(base spans, added spans): candidates beside the base spans that the model accepts."""
     base = base_spans(text)
-    taken = sorted((a, b) for _, a, b in base)
-    added, at = [], 0
+    added = []
     scores = {} if scores is None else scores
-    for start, end, value, key, before in candidates(text):
-        while at < len(taken) and taken[at][1] <= start:
-            at += 1
-        if any(a < end and start < b for a, b in taken[max(0, at - 3) : at + 4]):
-            continue
+    for start, end, value, key, before in candidates(blanked(text, [(a, b) for _, a, b in base])):
         f = features(value, key, before)
         if f not in scores:
             scores[f] = model.score(f)
@@ -260,13 +354,13 @@ def joined(spans: list) -> str:
 
 
 def find_personal(docs: DataFrame, model: SpanModel, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(``id_col``, n_email, n_ip, n_card, n_phone, base_sha256, spans), one row per input row.
+    """(``id_col``, n_email, n_ip, n_card, n_phone, base_sha256, spans, n_spans), one row per input row.
 
-    Spans count code points, ends excluded.  A null text counts as empty.  Repeated rows and
+    ``n_spans`` counts base and added spans.  Spans count code points, ends excluded.  A null text counts as empty.  Repeated rows and
     null ids give a row each; other columns are not read; whole texts are searched.
     """
     kind = docs.schema[id_col].dataType.simpleString()
-    names = [f"n_{k}" for k in BASE] + ["base_sha256", "spans"]
+    names = [f"n_{k}" for k in BASE] + ["base_sha256", "spans", "n_spans"]
 
     def make():
         scores: dict = {}
@@ -276,12 +370,12 @@ def find_personal(docs: DataFrame, model: SpanModel, id_col: str = "doc_id", tex
             for text in columns["text"].to_pylist():
                 base, added = all_spans(text or "", model, scores)
                 n = Counter(k for k, _, _ in base)
-                rows.append((*(n[k] for k in BASE), hashlib.sha256(joined(base).encode()).hexdigest(), joined(base + added)))
+                rows.append((*(n[k] for k in BASE), hashlib.sha256(joined(base).encode()).hexdigest(), joined(base + added), len(base) + len(added)))
             return {"id": columns["id"], **dict(zip(names, zip(*rows)))}
 
         return work
 
-    schema = f"id {kind}, n_email long, n_ip long, n_card long, n_phone long, base_sha256 string, spans string"
+    schema = f"id {kind}, n_email long, n_ip long, n_card long, n_phone long, base_sha256 string, spans string, n_spans long"
     picked = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
     return map_rows(picked, schema, make).withColumnRenamed("id", id_col)
 
