@@ -4,10 +4,11 @@ A softmax classifier trained on labelled documents gives every document domain p
 Nonnegative rates per document are then fitted by accelerated projected gradient steps so that
 the expected tokens of the domains meet their targets while rates stay near 1:
 
-    min over r >= 0:   1/2 |sum_i w_i p_i r_i - t|^2 + mu/2 sum_i w_i (r_i - 1)^2
+    min over r >= 0:   1/2 (sum_i w_i p_i r_i - t)' M (sum_i w_i p_i r_i - t) + mu/2 sum_i w_i (r_i - 1)^2
 
-with ``w_i`` the document's share of all tokens, ``p_i`` its posteriors and ``t`` the target
-shares.  A step needs one vector of as many numbers as there are domains from all documents;
+with ``w_i`` the document's share of all tokens, ``p_i`` its posteriors, ``t`` the target shares
+and ``M`` the inverse of ``sum_i w_i p_i p_i'``, so that a domain with few tokens is fitted as
+closely and in as few steps as one with many.  A step needs one vector of as many numbers as there are domains from all documents;
 each task computes the current rates of its documents again from the vectors so far.
 """
 
@@ -30,16 +31,21 @@ class MixSpec:
     """``per_label`` bounds the labelled documents of each domain the classifier is fitted on.
 
     ``target`` maps each domain to its share of the expected tokens, ``budget`` times all tokens.
-    ``mu`` weighs the pull towards rate 1; the fit ends after ``steps`` or when the
-    domain totals move by less than ``tolerance``.
+    ``mu`` weighs the pull towards rate 1.  The fit ends when all domain totals are within
+    ``tolerance`` (a share of the budget) of their targets and have settled, or when they no longer
+    move; what is then left, for targets out of reach or after ``steps``, is reported as ``unmet``.
+    ``floor`` bounds the inverse for domains that hardly any document belongs to; without
+    ``whiten`` M is the unit matrix.
     """
 
     target: dict = field(default_factory=lambda: {"good": 0.85, "low": 0.1, "toxic": 0.05})
     budget: float = 1.0
     per_label: int = 2000
-    mu: float = 1e-3
-    steps: int = 60
-    tolerance: float = 1e-6
+    mu: float = 1e-4
+    steps: int = 100
+    tolerance: float = 5e-4
+    floor: float = 1e-6
+    whiten: bool = True
     features: Features = Features()
 
     @property
@@ -141,43 +147,67 @@ def rates(p: np.ndarray, residuals: Sequence[np.ndarray], mu: float) -> tuple[np
     return r, y
 
 
-def fit_rates(members: DataFrame, spec: MixSpec) -> list[np.ndarray]:
-    """Residual vectors of the gradient steps; empty when there are no tokens at all."""
+@dataclass(frozen=True)
+class RateFit:
+    """Gradient steps (scaled residuals), the domain totals they lead to, and the largest distance from a target."""
+
+    steps: list[list[float]]
+    totals: list[float]
+    unmet: float
+
+
+def _summed(rows: DataFrame, total: float, k: int, size: int, vector) -> np.ndarray:
+    """Sum over all documents of ``vector(token shares, posteriors)``, an array of ``size`` numbers."""
+
+    def part(batches):
+        out = np.zeros(size)
+        for batch in pieces(batches, 1 << 16):
+            if batch.num_rows:
+                w = batch.column(0).to_numpy(zero_copy_only=False) / total
+                out += vector(w, batch.column(1).flatten().to_numpy(zero_copy_only=False).reshape(-1, k))
+        yield pa.RecordBatch.from_arrays([pa.array([out.tolist()], pa.list_(pa.float64()))], names=["m"])
+
+    parts = rows.mapInArrow(part, "m array<double>").select(*[F.col("m")[c].alias(f"m{c}") for c in range(size)])
+    return np.array(parts.agg(*[F.sum(c).alias(c) for c in parts.columns]).first(), float)
+
+
+def fit_rates(members: DataFrame, spec: MixSpec) -> RateFit:
+    """Projected gradient steps over all documents; no steps when there are no tokens at all."""
     total = members.agg(F.sum("n_tokens")).first()[0]
-    if not total:
-        return []
     target = np.array([spec.target[d] for d in spec.domains]) * spec.budget
-    residuals: list[np.ndarray] = []
     k = len(target)
+    if not total:
+        return RateFit([], [0.0] * k, float(np.abs(target).max()))
     rows = members.select("n_tokens", "posteriors")
+    scale = np.eye(k)
+    if spec.whiten:
+        gram = _summed(rows, total, k, k * k, lambda w, p: ((w[:, None] * p).T @ p).ravel()).reshape(k, k)
+        scale = np.linalg.inv(gram + spec.floor * np.eye(k))
+    near = spec.tolerance * spec.budget
+    steps: list[np.ndarray] = []
     before = None
-    for _ in range(spec.steps):
-
-        def totals(batches, steps=tuple(residuals)):
-            out = np.zeros(2 * k)
-            for batch in pieces(batches, 1 << 16):
-                if batch.num_rows:
-                    w = batch.column(0).to_numpy(zero_copy_only=False) / total
-                    p = batch.column(1).flatten().to_numpy(zero_copy_only=False).reshape(-1, k)
-                    r, y = rates(p, steps, spec.mu)
-                    out += np.concatenate([(w * y) @ p, (w * r) @ p])
-            yield pa.RecordBatch.from_arrays([pa.array([out.tolist()], pa.list_(pa.float64()))], names=["m"])
-
-        parts = rows.mapInArrow(totals, "m array<double>").select(*[F.col("m")[c].alias(f"m{c}") for c in range(2 * k)])
-        now = np.array(parts.agg(*[F.sum(c).alias(c) for c in parts.columns]).first(), float)
-        if before is not None and np.abs(now[k:] - before).max() < spec.tolerance * spec.budget:
-            break
+    while True:
+
+        def totals(w, p, done=tuple(steps)):
+            r, y = rates(p, done, spec.mu)
+            return np.concatenate([(w * y) @ p, (w * r) @ p])
+
+        now = _summed(rows, total, k, 2 * k, totals)
+        unmet = float(np.abs(now[k:] - target).max())
+        moved = np.inf if before is None else np.abs(now[k:] - before).max()
+        if unmet <= near and moved <= near or moved <= 1e-2 * near or len(steps) == spec.steps:
+            return RateFit([v.tolist() for v in steps], now[k:].tolist(), unmet)
         before = now[k:]
-        residuals.append(now[:k] - target)
-    return residuals
+        steps.append(scale @ (now[:k] - target))
 
 
 def mix(docs: DataFrame, labelled: DataFrame, spec: MixSpec | None = None, id_col: str = "doc_id", text_col: str = "text", keep: bool = False) -> DataFrame:
-    """(``id_col``, n_tokens, p_<domain> ..., rate, copies), one row per input row.
+    """(``id_col``, n_tokens, p_<domain> ..., rate, copies, unmet), one row per input row.
 
-    ``rate`` is the fitted sampling rate, ``copies`` rounds it up or down by a hash of the text
-    with the fraction as its chance, so that it is the same on every run.  Null and empty
-    texts have no tokens, the posteriors of an empty row, and a rate like any other.  Repeated
+    ``rate`` is the fitted sampling rate, ``copies`` rounds it up or down by a hash of id and text
+    with the fraction as its chance, so that it is the same on every run and copies of one text are
+    rounded each for itself.  ``unmet`` is the same in every row: how far, in shares of all tokens,
+    the domain total farthest from its target stays away from it.  Null and empty texts have no tokens, the posteriors of an empty row, and a rate like any other.  Repeated
     rows get equal rates; null ids pass.  With ``keep`` the columns of ``docs`` come along (columns
     of these names are replaced).  Without any tokens all rates are 1.
     """
@@ -185,13 +215,14 @@ def mix(docs: DataFrame, labelled: DataFrame, spec: MixSpec | None = None, id_co
     model = fit_domains(docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")), labelled, spec)
     bare = docs.select(id_col, text_col, F.xxhash64(text_col).alias("_h"))
     members = saved(memberships(bare.withColumn("_k", F.struct(id_col, "_h")), model, spec, "_k", text_col), "members")
-    steps = [r.tolist() for r in fit_rates(members, spec)]
+    fit = fit_rates(members, spec)
 
     if not keep:
-        return _rated(members, steps, spec).select(F.col(f"_k.{id_col}").alias(id_col), *_columns(spec))
+        return _rated(members, fit, spec, id_col).select(F.col(f"_k.{id_col}").alias(id_col), *_columns(spec))
     rest = without(docs, *_columns(spec))
     rows = memberships_beside(rest, model, spec, text_col)
-    return _rated(rows.withColumn("_k", F.struct(F.xxhash64(text_col).alias("_h"))), steps, spec).drop("_k", "posteriors")
+    keyed = rows.withColumn("_k", F.struct(id_col, F.xxhash64(text_col).alias("_h")))
+    return _rated(keyed, fit, spec, id_col).drop("_k", "posteriors")
 
 
 def memberships_beside(docs: DataFrame, model: DomainModel, spec: MixSpec, text_col: str) -> DataFrame:
@@ -211,18 +242,19 @@ def memberships_beside(docs: DataFrame, model: DomainModel, spec: MixSpec, text_
 
 
 def _columns(spec: MixSpec) -> list[str]:
-    return ["n_tokens", *[f"p_{d}" for d in spec.domains], "rate", "copies"]
+    return ["n_tokens", *[f"p_{d}" for d in spec.domains], "rate", "copies", "unmet"]
 
 
-def _rated(rows: DataFrame, steps: list, spec: MixSpec) -> DataFrame:
-    """Add p_<domain>, rate and copies to rows with posteriors and a key ``_k`` that holds ``_h``."""
-    residuals = [np.array(s) for s in steps]
+def _rated(rows: DataFrame, fit: RateFit, spec: MixSpec, id_col: str) -> DataFrame:
+    """Add p_<domain>, rate, copies and unmet to rows with posteriors and a key ``_k`` of the id and ``_h``."""
+    residuals = [np.array(s) for s in fit.steps]
 
     @F.pandas_udf("double")
     def rate(p):
         return p.__class__(rates(np.stack(p.to_numpy()), residuals, spec.mu)[0]) if len(p) else p.astype(float)
 
-    chance = F.pmod(F.xxhash64(F.lit("copies"), F.col("_k._h")), F.lit(1 << 30)) / float(1 << 30)
+    chance = F.pmod(F.xxhash64(F.lit("copies"), F.col("_k._h"), F.col("_k")[id_col]), F.lit(1 << 30)) / float(1 << 30)
     out = rows.withColumn("rate", F.round(rate("posteriors"), 6) if residuals else F.lit(1.0))
     out = out.withColumns({f"p_{d}": F.col("posteriors")[k] for k, d in enumerate(spec.domains)})
+    out = out.withColumn("unmet", F.lit(round(fit.unmet, 9)))
     return out.withColumn("copies", (F.floor("rate") + (chance < F.col("rate") - F.floor("rate")).cast("int")).cast("long"))
