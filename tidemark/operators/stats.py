@@ -18,6 +18,7 @@ from pyspark.sql import types as T
 
 from tidemark.functions.tails import chi2_tail, chi2_tail_even, f_sf, level_pvalue, normal_cdf, unit_root_pvalue
 from tidemark.operators.blocks import BLOCK_ROWS, CELL, DEFAULT_KEYS, attach, halo, null_safe_join, spread_join, with_position
+from tidemark.session import cut
 
 ACF_LAGS = 72
 # Verdicts when both tests say stationary, none does, only ADF, only KPSS.
@@ -197,23 +198,30 @@ def jarque_bera(df: DataFrame, column: str, *, keys: Sequence[str] = DEFAULT_KEY
 
 
 def _bandwidth_limit(n: int) -> int:
-    """Largest bandwidth the automatic rule can return for ``n`` rows."""
+    """Largest bandwidth the automatic rule returns for ``n`` rows unless near lags cancel the variance."""
     if n < 2:
         return 0
     cov = int(n ** (2.0 / 9.0))
     return max(cov, min(int(1.1447 * cov ** (2.0 / 3.0) * n ** (1.0 / 3.0)) + 1, n - 1))
 
 
-def _kpss_row(n: int, g: np.ndarray, eta: float) -> tuple[float | None, int | None, float | None]:
-    """Statistic, bandwidth and p-value; nothing for a constant series or one below three rows."""
+def _kpss_lags(n: int, g: np.ndarray) -> int | None:
+    """Automatic bandwidth; nothing for a constant series or one below three rows."""
     cov = int(n ** (2.0 / 9.0))
     i = np.arange(1, min(cov, len(g) - 1) + 1)
     inner = 2.0 * g[i] / n
     s0 = g[0] / n + inner.sum()
     if n < 3 or not g[0] > 0 or s0 == 0:
-        return None, None, None
+        return None
     ratio = (i @ inner) / s0
-    lags = min(int(1.1447 * (ratio * ratio) ** (1.0 / 3.0) * n ** (1.0 / 3.0)), n - 1)
+    return min(int(1.1447 * (ratio * ratio) ** (1.0 / 3.0) * n ** (1.0 / 3.0)), n - 1)
+
+
+def _kpss_row(n: int, g: np.ndarray, eta: float) -> tuple[float | None, int | None, float | None]:
+    """Statistic, bandwidth and p-value; nothing for a constant series or one below three rows."""
+    lags = _kpss_lags(n, g)
+    if lags is None:
+        return None, None, None
     k = np.arange(1, lags + 1)
     long_run = (g[0] + 2.0 * (g[k] @ (1.0 - k / (lags + 1.0)))) / n
     if not long_run > 0:
@@ -230,7 +238,17 @@ def kpss(
     from tidemark.operators.blocks import cell_scan
 
     keys = list(keys)
-    g = autocovariance(df, column, _bandwidth_limit, keys=keys, ts=ts, size=size, cell=cell)
+    g = cut(autocovariance(df, column, _bandwidth_limit, keys=keys, ts=ts, size=size, cell=cell))
+
+    def beyond(batches):
+        for pdf in batches:
+            lags = [_kpss_lags(n, np.asarray(x)) or 0 for n, x in zip(pdf["n"], pdf["g"])]
+            yield pd.DataFrame({"k": [k if k >= len(x) else 0 for k, x in zip(lags, pdf["g"])]})
+
+    more = g.mapInPandas(beyond, "k long").agg(F.max("k")).first()[0]
+    if more:
+        # near lags that cancel the variance ask for a wider window than the usual bound
+        g = autocovariance(df, column, more, keys=keys, ts=ts, size=size, cell=cell)
     rows = df.select(*keys, ts, F.col(column).cast("double").alias("y")).dropna(subset=[ts, "y"])
     flat = attach(rows, rows.groupBy(*keys).agg(F.avg("y").alias("m")), keys).withColumn("e", F.col("y") - F.col("m"))
     partial = cell_scan(flat.select(*keys, ts, "e"), keys, ts, cell=cell, running={"s": F.col("e")})
