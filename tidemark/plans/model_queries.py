@@ -87,6 +87,16 @@ def q_seasonal_arima(t: Tables) -> DataFrame:
     return rounded(made.join(truth, ["series_id", "ts"], "left"), "predicted", "actual", digits=4)
 
 
+@query()
+def q_sarima(t: Tables) -> DataFrame:
+    filled = cut(clean.impute(cut(t.grid()), ["value"], step="1 hour"))
+    split = cut(ti.temporal_split(filled))
+    train = split.filter("split = 'train'")
+    made = arima.forecast(train, arima.fit_multiplicative(train, "value"), "value", 72)
+    truth = split.filter("split <> 'train'").select("series_id", "ts", F.col("value").alias("actual"))
+    return rounded(made.join(truth, ["series_id", "ts"], "left"), "predicted", "actual", digits=4)
+
+
 @query()
 def q_select(t: Tables) -> DataFrame:
     split, names, trees = fitted(t)
