@@ -83,7 +83,7 @@ def test_shocks_are_the_recursion(series):
 
 def test_coefficients_of_a_direct_minimiser(spark, series, table):
     # bounds that forget within some hundred rows, so that each series is cut into several blocks
-    got = {r.series_id: r for r in arima.fit_multiplicative(table, "value", season=S, size=500, bound=0.9, seasonal_bound=0.8, long_order=20).collect()}
+    got = {r.series_id: r for r in arima.fit_multiplicative(table, "value", season=S, size=500, bound=0.9, seasonal_bound=0.8, long_order=20, tolerance=1e-10).collect()}
     assert set(got) == set(series)
     for key, y in series.items():
         want, sse = direct_fit(y, np.array(TRUTH[key]))

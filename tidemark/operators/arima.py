@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from tidemark.operators.blocks import CELL, DEFAULT_KEYS, attach, from_micros, halo, micros, null_safe_join, seconds, spread_join, with_position
 from tidemark.operators.stats import _fields, _sum_arrays
 from tidemark.operators.timeindex import tail_rows
-from tidemark.session import cut
+from tidemark.session import cut, new_dir
 
 
 def _orders(season: int) -> list[int]:
@@ -165,6 +165,7 @@ def memory(season: int, bound: float = BOUND, seasonal_bound: float = SEASONAL_B
 
 
 def _filtered(x: np.ndarray, response: np.ndarray) -> np.ndarray:
+    response = response[: len(x)]
     size = 1 << (len(x) + len(response)).bit_length()
     return np.fft.irfft(np.fft.rfft(x, size) * np.fft.rfft(response, size), size)[: len(x)]
 
@@ -212,6 +213,13 @@ def _expanded(p: np.ndarray) -> list[float]:
     return [p[0], p[1], p[2], -p[0] * p[2], -p[1] * p[2], p[3], p[4], p[5], p[3] * p[5], p[4] * p[5]]
 
 
+def _written(df: DataFrame) -> DataFrame:
+    """A table in the shared folder: unlike a checkpoint it forgets the constraints that pile up round by round."""
+    path = new_dir(df.sparkSession, "arima")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def _next_trial(best: np.ndarray, gram: np.ndarray, damping: float, bounds: tuple[float, float]) -> np.ndarray:
     m = gram.reshape(N_PARAMS + 1, N_PARAMS + 1)
     normal, slope = m[:-1, :-1], m[:-1, -1]
@@ -238,8 +246,8 @@ def _step(row: dict, gram: np.ndarray, bounds: tuple[float, float], tolerance: f
 
 def fit_multiplicative(
     df: DataFrame, column: str, *, season: int = 24, keys: Sequence[str] = DEFAULT_KEYS, ts: str = "ts",
-    size: int | None = None, cell: str | None = CELL, long_order: int | None = None, rounds: int = 60,
-    tolerance: float = 1e-10, bound: float = BOUND, seasonal_bound: float = SEASONAL_BOUND,
+    size: int | None = None, cell: str | None = CELL, long_order: int | None = None, rounds: int = 30,
+    tolerance: float = 1e-8, bound: float = BOUND, seasonal_bound: float = SEASONAL_BOUND,
 ) -> DataFrame:
     """Per series: the multiplicative (2,1,2)(1,1,1) model of least conditional sum of squares.
 
@@ -314,7 +322,7 @@ def fit_multiplicative(
         tried = spread_join(packed, open_.select(*keys, "trial"), keys) if keys else attach(packed, open_.select("trial"))
         sums = _sum_arrays(tried.mapInPandas(products, prefix + "n bigint, g array<double>"), keys)
         moved = attach(open_, sums.select(*keys, "g"), keys).mapInPandas(update, schema)
-        state = cut(state.where("converged").unionByName(moved))
+        state = _written(state.where("converged").unionByName(moved))
 
     def finish(batches):
         for pdf in batches:
