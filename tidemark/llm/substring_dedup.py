@@ -27,7 +27,6 @@ ignored.  An empty table gives an empty result.
 from __future__ import annotations
 
 from dataclasses import dataclass
-from itertools import compress
 
 import numpy as np
 import pyarrow as pa
@@ -36,7 +35,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm.sketch import MARKS, bloom, in_bloom, mark_batches
-from tidemark.llm.text import WordHashes, mix, pieces, saved
+from tidemark.llm.text import joined, mix, pieces, saved, word_hashes
 
 _SALT = np.uint64(0xA5A3564E27F88651)
 _BASE = 0x9E3779B97F4A7C15
@@ -54,9 +53,9 @@ class RepeatSpec:
         return (self.window + 1) // 2
 
 
-def _key(words: list[bytes]) -> tuple[int, int]:
-    """128-bit hash of a word sequence as two signed numbers."""
-    digest = xxhash.xxh3_128_digest(b" ".join(words))
+def _key(text: bytes) -> tuple[int, int]:
+    """128-bit hash of a joined word sequence as two signed numbers."""
+    digest = xxhash.xxh3_128_digest(text)
     return int.from_bytes(digest[:8], "big", signed=True), int.from_bytes(digest[8:], "big", signed=True)
 
 
@@ -78,19 +77,45 @@ def windows(ids: np.ndarray, size: int) -> np.ndarray:
 
 
 def _texts(batches):
-    """(batch, words of each text) of (doc_id, text, ...) batches; bytes are split as they come."""
+    """(batch, words of each text joined by one space, their numbers) of (doc_id, text, ...) batches."""
     for batch in pieces(batches):
-        yield batch, [(t or b"").split() for t in batch.column("text").cast(pa.binary()).to_pylist()]
+        texts = [joined(t) for t in batch.column("text").cast(pa.binary()).to_pylist()]
+        yield batch, texts, np.fromiter((t.count(b" ") + 1 if t else 0 for t in texts), np.int64, len(texts))
+
+
+def _strings(texts: list[bytes]) -> pa.Array:
+    return pa.array(texts, pa.binary()).view(pa.string())
+
+
+def _flat(batches, most: int = 1 << 20):
+    """(batch, word hashes, place of each text's first word and the end) of batches of joined texts.
+
+    The words of about ``most`` bytes of text stand in one array, since calls for each text would cost
+    more than the work.  No text is cut.
+    """
+    for batch in pieces(batches):
+        texts = batch.column("text").cast(pa.binary()).to_pylist()
+        turn = np.cumsum([len(t) for t in texts]) // most
+        bounds = [0, *(np.flatnonzero(np.diff(turn)) + 1).tolist(), len(texts)]
+        for a, b in zip(bounds[:-1], bounds[1:]):
+            first = np.cumsum([0, *(t.count(b" ") + 1 for t in texts[a:b])])
+            yield batch.slice(a, b - a), word_hashes(b" ".join(texts[a:b])), first
+
+
+def _blocks(first: np.ndarray, size: int) -> np.ndarray:
+    """Starts of the non-overlapping blocks of the texts of a flat array."""
+    n = np.diff(first) // size
+    return np.repeat(first[:-1], n) + size * (np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n))
 
 
 def _keys(docs: DataFrame, id_type: str) -> DataFrame:
     """(doc_id, k1, k2, n_words) of every row."""
 
     def run(batches):
-        for batch, texts in _texts(batches):
-            keys = [_key(w) for w in texts]
+        for batch, texts, n in _texts(batches):
+            keys = [_key(t) for t in texts]
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), pa.array([k for k, _ in keys], pa.int64()), pa.array([k for _, k in keys], pa.int64()), pa.array([len(w) for w in texts], pa.int64())],
+                [batch.column("doc_id"), pa.array([k for k, _ in keys], pa.int64()), pa.array([k for _, k in keys], pa.int64()), pa.array(n)],
                 names=["doc_id", "k1", "k2", "n_words"],
             )
 
@@ -105,21 +130,22 @@ def _same(a: str, b: str, columns=("doc_id", "k1", "k2")) -> Column:
 
 
 def _by_key(docs: DataFrame, shared, twice, id_type: str, least: int, hit: bool) -> DataFrame:
-    """(doc_id, k, k1, k2, text) of rows of at least ``least`` words whose key is (not) in a bitmap.
+    """(doc_id, k, k1, k2, joined text) of rows of at least ``least`` words whose key is (not) in a bitmap.
 
     ``k`` tells documents of one id apart: 0 for an id that surely occurs once, else the key.
     """
 
     def run(batches):
-        for batch, texts in _texts(batches):
-            keys = [_key(w) for w in texts]
+        for batch, texts, n in _texts(batches):
+            keys = [_key(t) for t in texts]
             k1 = np.array([k for k, _ in keys], np.int64)
-            keep = (in_bloom(shared.value, k1.view(np.uint64)) == hit) & np.fromiter((len(w) >= least for w in texts), bool, len(texts))
-            k = np.where(_may_repeat(batch.column("doc_id"), twice.value), k1, 0)
-            out = pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), pa.array(k), pa.array(k1), pa.array([k for _, k in keys], pa.int64()), batch.column("text")], names=["doc_id", "k", "k1", "k2", "text"]
+            keep = (in_bloom(shared.value, k1.view(np.uint64)) == hit) & (n >= least)
+            at = np.flatnonzero(keep)
+            ids, k1 = batch.column("doc_id").take(pa.array(at)), k1[at]
+            k = np.where(_may_repeat(ids, twice.value), k1, 0)
+            yield pa.RecordBatch.from_arrays(
+                [ids, pa.array(k), pa.array(k1), pa.array([keys[i][1] for i in at], pa.int64()), _strings([texts[i] for i in at])], names=["doc_id", "k", "k1", "k2", "text"]
             )
-            yield out.filter(pa.array(keep))
 
     return docs.mapInArrow(run, f"doc_id {id_type}, k long, k1 long, k2 long, text string")
 
@@ -154,50 +180,58 @@ def _marks(values: DataFrame, bits: int) -> DataFrame:
 
 def _block_marks(docs: DataFrame, spec: RepeatSpec) -> DataFrame:
     def run(batches):
-        hashes = WordHashes()
-        yield from mark_batches((windows(hashes.of(w), spec.block)[:: spec.block] for _, texts in _texts(batches) for w in texts), spec.bits)
+        def hashes():
+            for _, values, first in _flat(batches):
+                at, out = _blocks(first, spec.block), 0
+                for j in range(spec.block):  # what ``windows`` gives at these places
+                    out = out * np.uint64(_BASE) + values[at + j]
+                yield mix(out)
+
+        yield from mark_batches(hashes(), spec.bits)
 
     return docs.mapInArrow(run, MARKS)
 
 
-def _anchor_counts(docs: DataFrame, shared, spec: RepeatSpec) -> DataFrame:
-    """(h, n, blocks): occurrences of run hashes that may equal a block, summed within a batch."""
+def _anchor_counts(docs: DataFrame, shared, spec: RepeatSpec, most: int = 1 << 19) -> DataFrame:
+    """(h, n, blocks): occurrences of run hashes that may equal a block, summed over some ``most`` of them."""
 
     def run(batches):
-        hashes = WordHashes()
-        for _, texts in _texts(batches):
-            blocks, probes = [], []
-            for w in texts:
-                if len(w) < spec.window:
-                    continue
-                runs = windows(hashes.of(w), spec.block)
-                blocks.append(runs[:: spec.block])
-                free = np.ones(len(runs), bool)
-                free[:: spec.block] = False
-                probes.append(runs[free])
-            if blocks:
-                probe = np.concatenate(probes)
-                own, every = np.concatenate(blocks), np.concatenate([*blocks, probe[in_bloom(shared.value, probe)]])
-                h, back, n = np.unique(every, return_inverse=True, return_counts=True)
-                of_block = np.bincount(back[: len(own)], minlength=len(h))
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(h.view(np.int64)), pa.array(n.astype(np.int64)), pa.array(of_block.astype(np.int64))], names=["h", "n", "blocks"]
-                )
+        blocks, probes, size = [], [], 0
+        for _, values, first in _flat(batches):
+            runs = windows(values, spec.block)
+            at = _blocks(first, spec.block)
+            free = np.ones(len(values), bool)
+            free[at] = False
+            free[first[1:, None] - np.arange(1, spec.block)] = False  # runs that reach into the next text
+            probe = runs[free[: len(runs)]]
+            blocks.append(runs[at])
+            probes.append(probe[in_bloom(shared.value, probe)])
+            size += len(blocks[-1]) + len(probes[-1])
+            if size >= most:
+                yield _counted(blocks, probes)
+                blocks, probes, size = [], [], 0
+        if size:
+            yield _counted(blocks, probes)
 
     return docs.mapInArrow(run, "h long, n long, blocks long")
 
 
-def _starts(ids: np.ndarray, anchors: np.ndarray, spec: RepeatSpec) -> np.ndarray:
-    """Starts of the windows around the anchors of a document, ascending."""
-    last = len(ids) - spec.window
-    if last < 0:
-        return np.empty(0, np.int64)
-    at = np.flatnonzero(in_bloom(anchors, windows(ids, spec.block)))
-    if not len(at):
-        return at
-    n = len(ids) + 1
-    edge = np.bincount(np.maximum(at - (spec.window - spec.block), 0), minlength=n) - np.bincount(at + 1, minlength=n)
-    return np.flatnonzero(np.cumsum(edge)[: last + 1] > 0)
+def _counted(blocks: list[np.ndarray], probes: list[np.ndarray]) -> pa.RecordBatch:
+    """(h, n, blocks): every hash, how often it occurs and how often as a block."""
+    own = np.concatenate(blocks)
+    h, back, n = np.unique(np.concatenate([own, *probes]), return_inverse=True, return_counts=True)
+    of_block = np.bincount(back[: len(own)], minlength=len(h))
+    return pa.RecordBatch.from_arrays([pa.array(h.view(np.int64)), pa.array(n.astype(np.int64)), pa.array(of_block.astype(np.int64))], names=["h", "n", "blocks"])
+
+
+def _starts(values: np.ndarray, first: np.ndarray, anchors: np.ndarray, spec: RepeatSpec) -> np.ndarray:
+    """Starts of the windows around the anchors of the texts of a flat array, ascending."""
+    at = np.flatnonzero(in_bloom(anchors, windows(values, spec.block)))
+    text = np.searchsorted(first, at, "right") - 1
+    low, high = np.maximum(at - (spec.window - spec.block), first[text]), np.minimum(at, first[text + 1] - spec.window)
+    inside = (at + spec.block <= first[text + 1]) & (low <= high)
+    edge = np.bincount(low[inside], minlength=len(values) + 1) - np.bincount(high[inside] + 1, minlength=len(values) + 1)
+    return np.flatnonzero(np.cumsum(edge) > 0)
 
 
 def _window_rows(docs: DataFrame, shared, spec: RepeatSpec, id_type: str) -> DataFrame:
@@ -206,31 +240,24 @@ def _window_rows(docs: DataFrame, shared, spec: RepeatSpec, id_type: str) -> Dat
     names = ["w1", "w2", "doc_id", "k", "start", "around"]
 
     def run(batches):
-        hashes = WordHashes()
-        for batch, texts in _texts(batches):
+        for batch, values, first in _flat(batches):
             ids, k, k1 = batch.column("doc_id"), batch.column("k"), batch.column("k1")
-            held: list[list] = [[] for _ in names]
-            size = 0
-            for i, w in enumerate(texts):
-                values = hashes.of(w)
-                at = _starts(values, shared.value, spec)
-                for lo in range(0, len(at), 1 << 18):
-                    some = at[lo : lo + (1 << 18)]
-                    part = values[some[0] : some[-1] + spec.window]
-                    one, two = (windows(p, spec.window)[some - some[0]].view(np.int64) for p in (part, mix(part ^ _SALT)))
-                    more = (pa.array(one), pa.array(two >> 32), pa.repeat(ids[i], len(some)), pa.repeat(k[i], len(some)), pa.array(some), pa.nulls(len(some), pa.binary()))
-                    for column, add in zip(held, more):
-                        column.append(add)
-                    size += len(some)
-                    if size >= 1 << 18:
-                        yield pa.RecordBatch.from_arrays([pa.concat_arrays(c) for c in held], names=names)
-                        held, size = [[] for _ in names], 0
-                if len(at):
-                    own = (k1[i : i + 1], pa.array([1 << 40], pa.int64()), ids[i : i + 1], k[i : i + 1], pa.array([-1], pa.int64()), pa.array([_packed(at)], pa.binary()))
-                    for column, add in zip(held, own):
-                        column.append(add)
-            if held[0]:
-                yield pa.RecordBatch.from_arrays([pa.concat_arrays(c) for c in held], names=names)
+            at = _starts(values, first, shared.value, spec)
+            if not len(at):
+                continue
+            text = np.searchsorted(first, at, "right") - 1
+            start = at - first[text]
+            for lo in range(0, len(at), 1 << 18):
+                some, of = at[lo : lo + (1 << 18)], pa.array(text[lo : lo + (1 << 18)])
+                part = values[some[0] : some[-1] + spec.window]
+                one, two = (windows(p, spec.window)[some - some[0]].view(np.int64) for p in (part, mix(part ^ _SALT)))
+                columns = [pa.array(one), pa.array(two >> 32), ids.take(of), k.take(of), pa.array(start[lo : lo + (1 << 18)]), pa.nulls(len(some), pa.binary())]
+                yield pa.RecordBatch.from_arrays(columns, names=names)
+            turn = np.flatnonzero(np.diff(text, prepend=-1))
+            around = [_packed(s) for s in np.split(start, turn[1:])]
+            of, n = pa.array(text[turn]), len(turn)
+            columns = [k1.take(of), pa.array(np.full(n, 1 << 40)), ids.take(of), k.take(of), pa.array(np.full(n, -1)), pa.array(around, pa.binary())]
+            yield pa.RecordBatch.from_arrays(columns, names=names)
 
     return docs.mapInArrow(run, f"w1 long, w2 long, doc_id {id_type}, k long, start long, around binary")
 
@@ -249,18 +276,20 @@ def _unpacked(raw: bytes | None) -> np.ndarray:
 _OUT = "n_words long, n_removed long, removed array<struct<start:long,end:long>>, kept string"
 
 
-def _cut(words: list[bytes], starts: np.ndarray, window: int) -> tuple[int, list[dict], str]:
-    """Words covered by the windows at ``starts``: their number, their stretches, the text left."""
-    n = len(words) + 1
-    gone = np.cumsum(np.bincount(starts, minlength=n) - np.bincount(starts + window, minlength=n))[:-1] > 0
+def _cut(text: bytes, n: int, starts: np.ndarray, window: int) -> tuple[int, list[dict], bytes]:
+    """Words of a joined text covered by the windows at ``starts``: their number, their stretches, the text left."""
+    gone = np.cumsum(np.bincount(starts, minlength=n + 1) - np.bincount(starts + window, minlength=n + 1))[:-1] > 0
     turn = np.flatnonzero(np.diff(np.concatenate(([0], gone.astype(np.int8), [0]))))
-    kept = b" ".join(compress(words, (~gone).tolist()))
-    return int(gone.sum()), [{"start": int(a), "end": int(b)} for a, b in zip(turn[::2], turn[1::2])], kept.decode()
+    text += b" "
+    place = np.concatenate(([0], np.flatnonzero(np.frombuffer(text, np.uint8) == 32) + 1))  # where words begin
+    at = [0, *place[turn].tolist(), len(text)]
+    kept = b"".join(text[a:b] for a, b in zip(at[::2], at[1::2]))[:-1]
+    return int(gone.sum()), [{"start": int(a), "end": int(b)} for a, b in zip(turn[::2], turn[1::2])], kept
 
 
-def _columns(ids, rows: list, schema: pa.Schema) -> pa.RecordBatch:
-    parts = list(zip(*rows)) if rows else [(), (), (), ()]
-    return pa.RecordBatch.from_arrays([ids.cast(schema[0].type), *[pa.array(list(p), f.type) for p, f in zip(parts, list(schema)[1:])]], schema=schema)
+def _columns(ids, n_words, n_removed, removed: list, kept: list[bytes], schema: pa.Schema) -> pa.RecordBatch:
+    parts = [pa.array(n_words, pa.int64()), pa.array(n_removed, pa.int64()), pa.array(removed, schema.field("removed").type), _strings(kept)]
+    return pa.RecordBatch.from_arrays([ids.cast(schema[0].type), *parts], schema=schema)
 
 
 def remove_repeats(docs: DataFrame, spec: RepeatSpec = RepeatSpec()) -> DataFrame:
@@ -303,19 +332,20 @@ def remove_repeats(docs: DataFrame, spec: RepeatSpec = RepeatSpec()) -> DataFram
 
     def clean(batches):
         """Rows without an anchor and without a copy keep all words."""
-        for batch, texts in _texts(batches):
-            k1 = np.array([_key(w)[0] for w in texts], np.int64)
-            free = np.fromiter((len(w) < spec.window for w in texts), bool, len(texts)) | ~in_bloom(changed.value, k1.view(np.uint64))
-            rows = [(len(w), 0, [], b" ".join(w).decode()) for w in compress(texts, free.tolist())]
-            yield _columns(batch.column("doc_id").filter(pa.array(free)), rows, schema)
+        for batch, texts, n in _texts(batches):
+            k1 = np.array([_key(t)[0] for t in texts], np.int64)
+            at = np.flatnonzero((n < spec.window) | ~in_bloom(changed.value, k1.view(np.uint64)))
+            yield _columns(batch.column("doc_id").take(pa.array(at)), n[at], np.zeros(len(at), np.int64), [[]] * len(at), [texts[i] for i in at], schema)
 
     def finish(batches):
-        for batch, texts in _texts(batches):
-            rows = []
-            for w, mine, around, whole in zip(texts, *(batch.column(c).to_pylist() for c in ("own", "around", "whole"))):
-                at = np.arange(len(w) - spec.window + 1) if whole else np.setdiff1d(_unpacked(around), np.array(mine or [], np.int64), assume_unique=True)
-                rows.append((len(w), *_cut(w, at, spec.window)))
-            yield _columns(batch.column("doc_id"), rows, schema)
+        for batch, texts, n in _texts(batches):
+            rows, own = [], batch.column("own")
+            ends, starts = own.offsets.to_numpy(), own.values.to_numpy()
+            for i, (t, around, whole) in enumerate(zip(texts, *(batch.column(c).to_pylist() for c in ("around", "whole")))):
+                mine = starts[ends[i] : ends[i + 1]]
+                at = np.arange(n[i] - spec.window + 1) if whole else np.setdiff1d(_unpacked(around), mine, assume_unique=True)
+                rows.append(_cut(t, n[i], at, spec.window))
+            yield _columns(batch.column("doc_id"), n, *zip(*rows), schema)
 
     # The one join that moves texts; a document and its row in ``known`` meet alone.
     rows = _by_key(docs, changed, twice, id_type, spec.window, True).alias("t").join(known.alias("o"), _same("t", "o", ("doc_id", "k")), "left")

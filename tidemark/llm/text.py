@@ -36,6 +36,36 @@ class WordHashes(dict):
         return np.fromiter(map(self.__getitem__, words), np.uint64, len(words))
 
 
+_TO_SPACE = bytes(32 if c in SPACES else c for c in range(256))
+
+
+def joined(text: bytes | None) -> bytes:
+    """The words of a text, joined by one space each."""
+    text = (text or b"").translate(_TO_SPACE)
+    return b" ".join(text.split()) if b"  " in text or text[:1] == b" " or text[-1:] == b" " else text
+
+
+_MASKS = np.array([(1 << 8 * k) - 1 for k in range(9)], np.uint64)
+
+
+def word_hashes(words: bytes) -> np.ndarray:
+    """64-bit hash of each word of :func:`joined` words, eight bytes of all words at a time."""
+    data = np.frombuffer(words + b" " * 8, np.uint8)
+    end = np.flatnonzero(data[: len(words) + 1] == 32)
+    start = np.concatenate(([0], end[:-1] + 1))
+    size = end - start
+    eight = np.ndarray((len(words) + 1,), "<u8", data.data, strides=(1,))  # the eight bytes at each place
+    out = mix((eight[start] & _MASKS[np.minimum(size, 8)]) ^ (size.astype(np.uint64) * _ODD))
+    at, more = 8, np.flatnonzero(size > 8)
+    while len(more) and at < 64:
+        out[more] = mix(out[more] ^ (eight[start[more] + at] & _MASKS[np.minimum(size[more] - at, 8)]))
+        at += 8
+        more = more[size[more] > at]
+    for k in more.tolist():
+        out[k] = xxhash.xxh3_64_intdigest(words[start[k] : end[k]])
+    return out
+
+
 def mix(h: np.ndarray) -> np.ndarray:
     """Bijective scrambling of 64-bit values, so that their order is pseudo-random."""
     h = (h ^ (h >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
