@@ -91,3 +91,15 @@ def test_odd_rows(spark):
     assert {(r.doc_id, round(r.rate, 4)) for r in kept.collect()} == {(r.doc_id, round(r.rate, 4)) for r in out}
     assert m.mix(docs.where("false"), marked).count() == 0
     assert all(r.rate == 1.0 for r in m.mix(docs.where("doc_id < 3 AND text IS NULL"), marked).collect())
+
+
+def test_rates_beside_texts_come_from_one_python_pass(spark):
+    docs = spark.createDataFrame([(k, f"{'good words' if k % 3 else 'bad text'} number {k % 50}") for k in range(3000)], "doc_id long, text string")
+    labels = spark.createDataFrame([(k, "good" if k % 3 else "low") for k in range(0, 3000, 2)], "doc_id long, domain string")
+    spec = m.MixSpec(target={"good": 0.8, "low": 0.2})
+    kept = m.mix(docs, labels, spec, keep=True)
+    nodes = [x for x in kept._jdf.queryExecution().executedPlan().toString().splitlines() if "Arrow" in x or "Python" in x]
+    assert len(nodes) == 1, nodes
+    out = m.mix(docs, labels, spec).toPandas().set_index("doc_id").sort_index()
+    beside = kept.toPandas().set_index("doc_id").sort_index()
+    assert out.rate.nunique() > 1 and (beside[out.columns] - out).abs().to_numpy().max() < 2e-6 and list(beside.columns) == ["text", "n_tokens", "rate", "p_good", "p_low", "unmet", "copies"]

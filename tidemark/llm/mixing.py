@@ -218,25 +218,30 @@ def mix(docs: DataFrame, labelled: DataFrame, spec: MixSpec | None = None, id_co
     fit = fit_rates(members, spec)
 
     if not keep:
-        return _rated(members, fit, spec, id_col).select(F.col(f"_k.{id_col}").alias(id_col), *_columns(spec))
+        return _finished(_rated(members, fit, spec), fit, spec, id_col).select(F.col(f"_k.{id_col}").alias(id_col), *_columns(spec))
     rest = without(docs, *_columns(spec))
-    rows = memberships_beside(rest, model, spec, text_col)
+    rows = rated_beside(rest, model, fit, spec, text_col)
     keyed = rows.withColumn("_k", F.struct(id_col, F.xxhash64(text_col).alias("_h")))
-    return _rated(keyed, fit, spec, id_col).drop("_k", "posteriors")
+    return _finished(keyed, fit, spec, id_col).drop("_k", "posteriors")
 
 
-def memberships_beside(docs: DataFrame, model: DomainModel, spec: MixSpec, text_col: str) -> DataFrame:
-    """``docs`` with n_tokens and posteriors computed in the same pass, so that no id is needed."""
+def rated_beside(docs: DataFrame, model: DomainModel, fit: RateFit, spec: MixSpec, text_col: str) -> DataFrame:
+    """``docs`` with n_tokens, posteriors and rates computed in the same pass, so that no id is needed.
+
+    One pass, because each Python function of a stage holds a worker of its own in every running
+    task, and executors keep the workers for what comes after.
+    """
     shared = docs.sparkSession.sparkContext.broadcast(model)
-    at = docs.columns.index(text_col)
-    schema = ", ".join([f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema] + ["n_tokens long", "posteriors array<double>"])
+    at, residuals = docs.columns.index(text_col), [np.array(s) for s in fit.steps]
+    schema = ", ".join([f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema] + ["n_tokens long", "posteriors array<double>", "rate double"])
 
     def run(batches):
         tokens = TokenFeatures(spec.features)
         for batch in pieces(batches):
             got = [describe(t, tokens) for t in batch.column(at).to_pylist()]
-            more = [pa.array([g[0] for g in got], pa.int64()), pa.array([shared.value.posteriors(*g[1:]).round(6) for g in got], pa.list_(pa.float64()))]
-            yield pa.RecordBatch.from_arrays([*batch.columns, *more], names=[*batch.schema.names, "n_tokens", "posteriors"])
+            p = [shared.value.posteriors(*g[1:]).round(6) for g in got]
+            more = [pa.array([g[0] for g in got], pa.int64()), pa.array(p, pa.list_(pa.float64())), pa.array(rates(np.stack(p), residuals, spec.mu)[0])]
+            yield pa.RecordBatch.from_arrays([*batch.columns, *more], names=[*batch.schema.names, "n_tokens", "posteriors", "rate"])
 
     return docs.mapInArrow(run, schema)
 
@@ -245,16 +250,21 @@ def _columns(spec: MixSpec) -> list[str]:
     return ["n_tokens", *[f"p_{d}" for d in spec.domains], "rate", "copies", "unmet"]
 
 
-def _rated(rows: DataFrame, fit: RateFit, spec: MixSpec, id_col: str) -> DataFrame:
-    """Add p_<domain>, rate, copies and unmet to rows with posteriors and a key ``_k`` of the id and ``_h``."""
+def _rated(rows: DataFrame, fit: RateFit, spec: MixSpec) -> DataFrame:
+    """Add the rates to rows with posteriors."""
     residuals = [np.array(s) for s in fit.steps]
 
     @F.pandas_udf("double")
     def rate(p):
         return p.__class__(rates(np.stack(p.to_numpy()), residuals, spec.mu)[0]) if len(p) else p.astype(float)
 
+    return rows.withColumn("rate", rate("posteriors") if residuals else F.lit(1.0))
+
+
+def _finished(rows: DataFrame, fit: RateFit, spec: MixSpec, id_col: str) -> DataFrame:
+    """Add p_<domain>, copies and unmet to rows with posteriors, rates and a key ``_k`` of the id and ``_h``."""
     chance = F.pmod(F.xxhash64(F.lit("copies"), F.col("_k._h"), F.col("_k")[id_col]), F.lit(1 << 30)) / float(1 << 30)
-    out = rows.withColumn("rate", F.round(rate("posteriors"), 6) if residuals else F.lit(1.0))
+    out = rows.withColumn("rate", F.round("rate", 6))
     out = out.withColumns({f"p_{d}": F.col("posteriors")[k] for k, d in enumerate(spec.domains)})
     out = out.withColumn("unmet", F.lit(round(fit.unmet, 9)))
     return out.withColumn("copies", (F.floor("rate") + (chance < F.col("rate") - F.floor("rate")).cast("int")).cast("long"))
