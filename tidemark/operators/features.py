@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import math
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window
@@ -96,6 +96,62 @@ def add_differences(
     return b.close(out).drop("__pad")
 
 
+#: Block number of sums carried in from rows before the first block.
+_BEFORE = -(2**62)
+
+
+def _ewm_rates(spans: Sequence[int], max_block: int | None = None) -> tuple[dict[int, float], int]:
+    """Decay rate of every span and the rows of a block, so that no exponent overflows."""
+    rates = {w: -math.log(1.0 - 2.0 / (w + 1.0)) for w in spans if w > 1}
+    if len(rates) != len(set(spans)):
+        raise ValueError("spans must be at least 2 and distinct")
+    length = max(1, int(600.0 / max(rates.values())))
+    return rates, min(length, max_block) if max_block else length
+
+
+def _decay(rate: float, age: Column) -> Column:
+    return F.exp(F.lit(-rate) * age)
+
+
+def _ewm_blocks(
+    rows: DataFrame, column: str, keys: list[str], rates: Mapping[int, float], length: int, start: DataFrame | None
+) -> DataFrame:
+    """Per (series, block): weighted sums ``was`` of all rows before it and ``end`` of those and its own, each as of row ``ref``."""
+    p = F.col("__pos")
+    offset = p - F.col("__blk") * F.lit(length)
+    x = F.col(column).cast("double")
+    seen = x.isNotNull()
+    aggs = [F.max(F.when(seen, p)).alias("ref")]
+    for w, rate in rates.items():
+        weight = _decay(rate, F.lit(length - 1) - offset)
+        aggs += [F.sum(x * weight).alias(f"n_{w}"), F.sum(F.when(seen, weight)).alias(f"d_{w}")]
+    state = rows.groupBy(*keys, "__blk").agg(*aggs)
+    earlier = Window.partitionBy(*keys).orderBy("__blk").rowsBetween(Window.unboundedPreceding, -1)
+    to_ref = (F.col("__blk") + 1) * F.lit(length) - 1 - F.col("ref")
+    fields = [F.col("ref")]
+    for w, rate in rates.items():
+        scale = F.exp(F.lit(rate) * to_ref)
+        fields += [(F.col(f"n_{w}") * scale).alias(f"n_{w}"), (F.col(f"d_{w}") * scale).alias(f"d_{w}")]
+    own = F.when(F.col("ref").isNotNull(), F.struct(*fields))
+    state = state.select(*keys, "__blk", own.alias("own"))
+    rounds = 1 + math.ceil(46.0 / min(rates.values()) / length)
+    if start is not None:
+        sums = F.struct("ref", *[f"{part}_{w}" for w in rates for part in ("n", "d")])
+        state = state.unionByName(start.select(*keys, F.lit(_BEFORE).alias("__blk"), sums.alias("own")))
+        rounds += 1  # the first block may follow within a few rows
+    state = state.withColumn("end", F.col("own"))
+    for _ in range(rounds):
+        state = state.withColumn("was", F.last("end", True).over(earlier))
+        mixed = [F.col("own.ref").alias("ref")]
+        for w, rate in rates.items():
+            fade = F.coalesce(_decay(rate, F.col("own.ref") - F.col("was.ref")), F.lit(0.0))
+            for part in ("n", "d"):
+                old = F.coalesce(F.col(f"was.{part}_{w}") * fade, F.lit(0.0))
+                mixed.append((F.col(f"own.{part}_{w}") + old).alias(f"{part}_{w}"))
+        state = state.withColumn("end", F.when(F.col("own").isNotNull(), F.struct(*mixed)))
+    return state.select(*keys, "__blk", F.last("end", True).over(earlier).alias("was"), "end")
+
+
 def add_ewm(
     df: DataFrame,
     column: str,
@@ -107,6 +163,7 @@ def add_ewm(
     cell: str | None = CELL,
     pos: str | None = None,
     max_block: int | None = None,
+    sums: DataFrame | None = None,
 ) -> DataFrame:
     """Exponentially weighted mean ``<column>_ewm_<w>h`` over the whole past.
 
@@ -114,15 +171,11 @@ def add_ewm(
     weight but still age the others.  Each block keeps the weighted sums of its own rows
     (bounded exponents, so no overflow) plus the state of the blocks before it.  A block
     is long enough that only the last few non-null blocks still matter in double
-    precision, so the state needs a short lag over one row per block.
+    precision, so the state needs a short lag over one row per block (``sums``: the result
+    of :func:`ewm_sums` where a caller has it already, for the positions ``pos``).
     """
     keys = list(keys)
-    rates = {w: -math.log(1.0 - 2.0 / (w + 1.0)) for w in spans if w > 1}
-    if len(rates) != len(set(spans)):
-        raise ValueError("spans must be at least 2 and distinct")
-    length = max(1, int(600.0 / max(rates.values())))
-    if max_block:
-        length = min(length, max_block)
+    rates, length = _ewm_rates(spans, max_block)
     columns = df.columns
     if pos is not None:
         rows = df.withColumn("__pos", F.col(pos))
@@ -135,43 +188,17 @@ def add_ewm(
     offset = p - F.col("__blk") * F.lit(length)
     x = F.col(column).cast("double")
     seen = x.isNotNull()
-
-    def decay(w: int, age: Column) -> Column:
-        return F.exp(F.lit(-rates[w]) * age)
-
-    aggs = [F.max(F.when(seen, p)).alias("ref")]
-    for w in spans:
-        weight = decay(w, F.lit(length - 1) - offset)
-        aggs += [F.sum(x * weight).alias(f"n_{w}"), F.sum(F.when(seen, weight)).alias(f"d_{w}")]
-    state = rows.groupBy(*keys, "__blk").agg(*aggs)
-    earlier = Window.partitionBy(*keys).orderBy("__blk").rowsBetween(Window.unboundedPreceding, -1)
-    to_ref = (F.col("__blk") + 1) * F.lit(length) - 1 - F.col("ref")
-    fields = [F.col("ref")]
-    for w in spans:
-        scale = F.exp(F.lit(rates[w]) * to_ref)
-        fields += [(F.col(f"n_{w}") * scale).alias(f"n_{w}"), (F.col(f"d_{w}") * scale).alias(f"d_{w}")]
-    own = F.when(F.col("ref").isNotNull(), F.struct(*fields))
-    state = state.select(*keys, "__blk", own.alias("own")).withColumn("end", F.col("own"))
-    rounds = 1 + math.ceil(46.0 / min(rates.values()) / length)
-    for _ in range(rounds):
-        state = state.withColumn("was", F.last("end", True).over(earlier))
-        mixed = [F.col("own.ref").alias("ref")]
-        for w in spans:
-            fade = F.coalesce(decay(w, F.col("own.ref") - F.col("was.ref")), F.lit(0.0))
-            for part in ("n", "d"):
-                old = F.coalesce(F.col(f"was.{part}_{w}") * fade, F.lit(0.0))
-                mixed.append((F.col(f"own.{part}_{w}") + old).alias(f"{part}_{w}"))
-        state = state.withColumn("end", F.when(F.col("own").isNotNull(), F.struct(*mixed)))
-    carry = state.select(*keys, "__blk", F.last("end", True).over(earlier).alias("was"))
+    state = _ewm_blocks(rows, column, keys, rates, length, None) if sums is None else sums
+    carry = state.select(*keys, "__blk", "was")
 
     inside = Window.partitionBy(*keys, "__blk").orderBy("__pos").rowsBetween(Window.unboundedPreceding, 0)
     joined = null_safe_join(rows, carry, [*keys, "__blk"], "left")
     out = [F.col(c) for c in columns]
-    for w in spans:
-        gain = F.exp(F.lit(rates[w]) * offset)
+    for w, rate in rates.items():
+        gain = F.exp(F.lit(rate) * offset)
         top, bottom = F.sum(x * gain).over(inside), F.sum(F.when(seen, gain)).over(inside)
-        back = decay(w, offset)
-        old = decay(w, p - F.col("was.ref"))
+        back = _decay(rate, offset)
+        old = _decay(rate, p - F.col("was.ref"))
         top = top * back + F.coalesce(F.col(f"was.n_{w}") * old, F.lit(0.0))
         bottom = bottom * back + F.coalesce(F.col(f"was.d_{w}") * old, F.lit(0.0))
         out.append(
@@ -180,6 +207,18 @@ def add_ewm(
     return joined.select(*out)
 
 
+def ewm_sums(
+    df: DataFrame, column: str, spans: Sequence[int], *, keys: Sequence[str] = DEFAULT_KEYS, pos: str, start: DataFrame | None = None
+) -> DataFrame:
+    """Weighted sums ``n_<w>``, ``d_<w>`` as of row ``ref``, per block of positions: before it (``was``) and at its end (``end``).
+
+    With ``start`` (``ref`` and such sums of earlier rows, one row per series) the series go on from there.
+    """
+    rates, length = _ewm_rates(spans)
+    rows = df.withColumn("__pos", F.col(pos)).withColumn("__blk", F.floor(F.col(pos) / F.lit(length)))
+    return _ewm_blocks(rows, column, list(keys), rates, length, start)
+
+
 def sequences(
     df: DataFrame,
     features: Sequence[str],

@@ -58,8 +58,10 @@ f AS (SELECT series_id, ts, value, lag(value, 1) OVER w AS value_lag_1h, lag(val
 CASE WHEN count(value) OVER (PARTITION BY series_id ORDER BY rn ROWS BETWEEN 23 PRECEDING AND CURRENT ROW) >= 6 THEN avg(value) OVER (PARTITION BY series_id ORDER BY rn ROWS BETWEEN 23 PRECEDING AND CURRENT ROW) END AS m24 FROM n WINDOW w AS (PARTITION BY series_id ORDER BY rn))
 SELECT series_id, ts, value, value_lag_1h, value_lag_24h, round(m24 + 3e-9, 6) AS value_roll_mean_24h FROM f WHERE ts <= {_MS} - INTERVAL 1 HOUR""")
 def q_stream_features(t: Tables) -> DataFrame:
-    f = streams.online_features(event_stream(t), "value", lags=(1, 24), windows=(24,), spans=(6,))
-    out = streams.run_available(f).drop("value_ewm_6h")
+    path, state = new_dir(t.spark, "features"), new_dir(t.spark, "features-state")
+    job = streams.online_features(event_stream(t), "value", path, state, tie=["event_id"], lags=(1, 24), windows=(24,), spans=(6,))
+    job.awaitTermination()
+    out = t.spark.read.parquet(path).drop("batch_id", "value_ewm_6h")
     return rounded(out, "value_roll_mean_24h", nudge=True)
 
 

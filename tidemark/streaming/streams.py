@@ -6,14 +6,16 @@ sinks cast back to ``TIMESTAMP_NTZ``.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tidemark.functions.metrics import EPS
-from tidemark.operators.blocks import DEFAULT_KEYS
+from tidemark.operators.blocks import CELL_ROWS, DEFAULT_KEYS, halo, micros, null_safe_join, seconds, spread_join
 from tidemark.operators.eda import bin_index
+from tidemark.operators.features import _label, add_ewm, ewm_sums, lag_columns
 from tidemark.session import new_dir
 
 
@@ -100,64 +102,127 @@ def drift_counts(
     )
 
 
+#: Rows of one range of a sorted batch.
+RANGE_ROWS = 2 * CELL_ROWS
+
+
+def _kept(df: DataFrame, path: str) -> DataFrame:
+    """``df`` as a table: computed once, and of a known size to the joins that read it."""
+    df.write.mode("overwrite").parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def _in_order(rows: DataFrame, order: Sequence[str], count: int, folder: str, spark: SparkSession) -> DataFrame:
+    """Rows written sorted, in ranges of about ``RANGE_ROWS``, and read back with their place ``__pos`` in the order.
+
+    Ranges are cut by all columns of the order, so a long series or one tied time is many tasks.
+    """
+    parts = max(1, math.ceil(count / RANGE_ROWS))
+    ordered = rows.repartitionByRange(parts, *order).sortWithinPartitions(*order)
+    ordered.withColumn("__at", F.monotonically_increasing_id()).write.mode("overwrite").parquet(f"{folder}/ready")
+    placed = spark.read.parquet(f"{folder}/ready").withColumn("__part", F.shiftright("__at", 33))
+    earlier = Window.orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)
+    shift = F.coalesce(F.sum("__n").over(earlier), F.lit(0)) - F.shiftleft("__part", 33)
+    starts = placed.groupBy("__part").agg(F.count("*").alias("__n")).select("__part", shift.alias("__shift"))
+    # broadcast: one row per range
+    placed = placed.join(F.broadcast(_kept(starts, f"{folder}/starts")), "__part")
+    return placed.withColumn("__pos", F.col("__at") + F.col("__shift")).drop("__at", "__part", "__shift")
+
+
 def online_features(
-    df: DataFrame, column: str, *, keys: Sequence[str] = DEFAULT_KEYS, ts: str = "ts", lags: Sequence[int] = (1, 24, 168),
-    windows: Sequence[int] = (6, 24), spans: Sequence[int] = (6, 24, 168), delay: str = "1 hour",
-) -> DataFrame:
+    df: DataFrame, column: str, path: str, checkpoint: str, *, keys: Sequence[str] = DEFAULT_KEYS, ts: str = "ts",
+    tie: Sequence[str] = (), lags: Sequence[int] = (1, 24, 168), windows: Sequence[int] = (6, 24),
+    spans: Sequence[int] = (6, 24, 168), delay: str = "1 hour",
+):
     """Lag, rolling and exponentially weighted features per series in event-time order.
 
-    Rows wait in state until the watermark passes them, are then processed in time order
-    and leave together with their features.  State per series is a ring of the longest
-    lag plus the waiting rows; it lives in the RocksDB store when that is configured.
+    Rows wait until they lie ``delay`` behind the newest time of all series, are then taken in the
+    order of time, ``tie`` and value, and leave once with their features, into one folder of ``path``
+    per batch; a replayed batch overwrites its own.  Rows that arrive behind the mark of the batch
+    before are dropped, rows without a time too; NaN counts as missing.
+
+    State is tables below ``checkpoint``: the waiting rows, and per series its newest values (as far
+    as the longest lag or window looks back) and its weighted sums.  A batch is sorted over ranges and
+    worked on in blocks of positions, so neither it nor a series has to fit into a task.
     """
-    import pickle
-
-    import pandas as pd
-    from pyspark.sql.streaming.state import GroupStateTimeout
-
-    keep = max(*lags, *windows)
-    keys = list(keys)
-    types = {f.name: f.dataType.simpleString() for f in df.schema.fields}
-    names = [f"{column}_lag_{k}h" for k in lags] + [f"{column}_roll_mean_{w}h" for w in windows]
-    names += [f"{column}_ewm_{s}h" for s in spans]
-    schema = ", ".join([*[f"`{k}` {types[k]}" for k in keys], f"`{ts}` timestamp", f"`{column}` double", *[f"`{n}` double" for n in names]])
-
-    def step(key, batches, state):
-        if state.exists:
-            waiting, ring, sums = pickle.loads(state.get[0])
-        else:
-            waiting, ring, sums = [], [], [(0.0, 0.0)] * len(spans)
-        for pdf in batches:
-            waiting.extend(zip(pdf[ts].astype("int64") // 1000 if pdf[ts].dtype.str.endswith("[ns]") else pdf[ts].astype("int64"), pdf[column]))
-        mark = state.getCurrentWatermarkMs() * 1000
-        ready = sorted(r for r in waiting if r[0] <= mark)
-        waiting = [r for r in waiting if r[0] > mark]
-        out = []
-        for at, x in ready:
-            ring = [*ring, x][-(keep + 1):]
-            row = [ring[-1 - k] if len(ring) > k else None for k in lags]
-            for w in windows:
-                part = [v for v in ring[-w:] if v == v and v is not None]
-                row.append(sum(part) / len(part) if len(part) >= max(1, w // 4) else None)
-            new = []
-            for (num, den), s in zip(sums, spans):
-                fade = 1.0 - 2.0 / (s + 1.0)
-                num, den = num * fade, den * fade
-                if x is not None and x == x:
-                    num, den = num + x, den + 1.0
-                new.append((num, den))
-                row.append(num / den if den else None)
-            sums = new
-            out.append((*key, pd.Timestamp(at, unit="us"), x, *row))
-        state.update((pickle.dumps((waiting, ring, sums)),))
-        if waiting:
-            state.setTimeoutTimestamp(max(min(r[0] for r in waiting) // 1000, mark // 1000 + 1))
-        yield pd.DataFrame(out, columns=[*keys, ts, column, *names])
-
-    rows = watermarked(df.select(*keys, ts, F.col(column).cast("double").alias(column)), ts, delay)
-    return rows.groupBy(*keys).applyInPandasWithState(
-        step, schema, "s binary", "append", GroupStateTimeout.EventTimeTimeout
-    ).withColumn(ts, F.col(ts).cast("timestamp_ntz"))
+    keys, spark = list(keys), df.sparkSession
+    folder = f"{checkpoint}/features"
+    keep = max(1, *lags, *[w - 1 for w in windows])
+    order = [*keys, *dict.fromkeys([ts, *tie, column])]
+    parts = [f"{part}_{s}" for s in spans for part in ("n", "d")]
+    value = F.col(column).cast("double")
+    number = F.when(~F.isnan(value), value).alias(column)
+    source = df.select(*[number if c == column else F.col(ts).cast("timestamp_ntz").alias(ts) if c == ts else c for c in order])
+
+    def features(new: DataFrame, context: DataFrame | None, sums: DataFrame | None) -> DataFrame:
+        rows = new
+        if spans:
+            rows = add_ewm(rows, column, spans, keys=keys, ts=ts, pos="__pos", sums=sums)
+            rows = rows.withColumnsRenamed({f"{column}_ewm_{_label(s)}": f"{column}_ewm_{s}h" for s in spans})
+        if context is not None:
+            rows = rows.unionByName(context, allowMissingColumns=True)
+        b = halo(rows, keys, ts, before=keep, pos="__pos")
+        means = [
+            F.when(F.count(column).over(f) >= max(1, w // 4), F.avg(column).over(f)).alias(f"{column}_roll_mean_{w}h")
+            for w, f in ((w, b.frame(1 - w, 0)) for w in windows)
+        ]
+        out = b.close(b.df.select("*", *lag_columns(b, column, lags), *means)).filter("__new")
+        names = [f"{column}_lag_{k}h" for k in lags] + [f"{column}_roll_mean_{w}h" for w in windows]
+        return out.select(*keys, ts, column, *names, *[f"{column}_ewm_{s}h" for s in spans])
+
+    def carried(new: DataFrame, context: DataFrame | None, sums: DataFrame | None, ends: DataFrame) -> DataFrame:
+        rows = new if context is None else new.unionByName(context)
+        tail = spread_join(rows.select(*keys, column, "__pos"), ends.select(*keys, "__last"), keys)
+        tail = tail.withColumn("__back", F.col("__last") - F.col("__pos")).filter(F.col("__back") < keep)
+        newest = F.sort_array(F.collect_list(F.struct("__back", column)))
+        out = tail.groupBy(*keys).agg(F.transform(newest, lambda r: r[column]).alias("recent"))
+        if sums is not None:
+            done = sums.filter("end IS NOT NULL").groupBy(*keys).agg(F.max_by("end", "__blk").alias("end"))
+            age = (F.col("__last") - F.col("end.ref")).alias("age")
+            done = null_safe_join(done, ends, keys).select(*keys, age, *[F.col(f"end.{c}").alias(c) for c in parts])
+            out = null_safe_join(out, done, keys, "left")
+        return out
+
+    def one(batch: DataFrame, batch_id: int) -> None:
+        was, here = (f"{folder}/{i % 2}" for i in (batch_id - 1, batch_id))
+        batch, mark, known = batch.filter(F.col(ts).isNotNull()), None, None
+        if batch_id:
+            mark, known = spark.read.parquet(f"{was}/mark").first()["mark"], spark.read.parquet(f"{was}/carry")
+            if mark is not None:
+                batch = batch.filter(micros(ts) > mark)
+            batch = batch.unionByName(batch.sparkSession.read.schema(batch.schema).parquet(f"{was}/waiting"))
+        count, top = batch.agg(F.count("*"), F.max(micros(ts))).first()
+        if top is not None:
+            reached = top // 1000 * 1000 - seconds(delay) * 1_000_000  # whole milliseconds, as watermarks are
+            mark = reached if mark is None else max(mark, reached)
+        ready = F.lit(False) if mark is None else micros(ts) <= mark
+        batch.filter(~ready).write.mode("overwrite").parquet(f"{here}/waiting")
+
+        rows = _in_order(batch.filter(ready), order, count, folder, spark)
+        new = rows.select(*keys, ts, column, "__pos", F.lit(True).alias("__new"))
+        ends = new.groupBy(*keys).agg(F.min("__pos").alias("__first"), F.max("__pos").alias("__last"))
+        ends = _kept(ends, f"{folder}/ends")
+        context = start = sums = None
+        if known is not None:
+            again = null_safe_join(known, ends, keys)
+            context = again.select(*keys, "__first", F.posexplode("recent").alias("__i", column)).select(
+                *keys, F.lit(None).cast("timestamp_ntz").alias(ts), column,
+                (F.col("__first") - 1 - F.col("__i")).alias("__pos"), F.lit(False).alias("__new"),
+            )
+            if spans:
+                ref = (F.col("__first") - 1 - F.col("age")).alias("ref")
+                start = again.filter("age IS NOT NULL").select(*keys, ref, *parts)
+        if spans:
+            sums = _kept(ewm_sums(new, column, spans, keys=keys, pos="__pos", start=start), f"{folder}/sums")
+        features(new, context, sums).write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
+        carry = carried(new, context, sums, ends)
+        if known is not None:
+            idle = null_safe_join(known, ends, keys, "left").filter("__last IS NULL")
+            carry = carry.unionByName(idle.select(*carry.columns))
+        carry.write.mode("overwrite").parquet(f"{here}/carry")
+        spark.range(1).select(F.lit(mark).cast("bigint").alias("mark")).write.mode("overwrite").parquet(f"{here}/mark")
+
+    return source.writeStream.foreachBatch(one).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 
 
 def score_batches(df: DataFrame, score: Callable[[DataFrame], DataFrame], path: str, checkpoint: str):
